@@ -24,7 +24,7 @@ PAGE_BITS = 32768
 
 def _survivors(keys: DataFrame) -> DataFrame:
     """Bit set pages (page, bits) of the (length, prefix) groups with two documents or more."""
-    by_prefix = keys.groupBy("n_bytes", "prefix").agg(F.count("*").alias("n"))
+    by_prefix = written(keys.groupBy("n_bytes", "prefix").agg(F.count("*").alias("n")), "exact-prefixes")
     by_length = by_prefix.groupBy("n_bytes").agg(F.sum("n").alias("n_length")).where("n_length > 1")
     several = by_prefix.where("n > 1").join(by_length, "n_bytes", "left_semi")
     slot = F.pmod(F.xxhash64("n_bytes", "prefix"), F.lit(FILTER_PAGES * PAGE_BITS))
@@ -69,7 +69,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.max("id").alias("keep"), F.count("*").alias("n"))
         .where("n > 1")
     )
-    one = rows.join(groups, "digest", "left")
+    alone = rows.where("digest is null").withColumns({"keep": F.col("id"), "n": F.lit(1).cast("long")})
+    one = rows.where("digest is not null").join(groups, "digest", "left").unionByName(alone)
     keep = F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep"))
     return one.select(
         F.col("id").alias(id_col),

@@ -7,14 +7,61 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partsieve.llm.bpe import Bpe
 from partsieve.llm.exact_dedup import exact_groups
+from partsieve.llm.line_dedup import line_dedup
 from partsieve.llm.mixing import mix
+from partsieve.llm.quality_model import quality_scores
+from partsieve.llm.repetition import quality_rules
+from partsieve.llm.url_rules import judge_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def multilingual_bpe(spark: SparkSession) -> Bpe:
+    """The BPE of the public multilingual ranks."""
+    import public_tokenizers
+
+    return Bpe(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the bytes they decode to, as digests."""
+    bpe = multilingual_bpe(spark)
+    ids = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text")).alias("ids"))
+    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids")).alias("decoded"))
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def url_rules(spark: SparkSession) -> DataFrame:
+    """The rules that op4 applies: host, path, verdict."""
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    cells = [F.struct(*(F.lit(x).alias(n) for x, n in zip(rule, ("host", "path", "verdict"), strict=True))) for rule in rules]
+    return spark.range(1).select(F.inline(F.array(*cells)))
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule and verdict of every page."""
+    return judge_urls(_table(spark, sf_dir, "pages"), url_rules(spark))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and repetition verdict of every document."""
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 5:2:1 mix of 150% takes from each document."""
     return mix(_table(spark, sf_dir, "documents"))
@@ -26,6 +73,31 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"), carry=[digest])
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that every document loses, and what stays of it as a digest."""
+    out = line_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP4_SQL = """
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u
+), r(rhost, rpath, rverdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), m AS (
+  SELECT page_id, rhost || rpath AS rule, rverdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC, length(rhost) DESC) AS n
+  FROM p JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+)
+SELECT p.page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict
+FROM p LEFT JOIN m ON p.page_id = m.page_id AND m.n = 1
+"""
+
 OP8_SQL = """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
@@ -39,11 +111,39 @@ SELECT doc_id,
 FROM d
 """
 
+OP9_SQL = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(a, 1) - 1 AS i, unnest(a) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
+), w AS (
+  SELECT doc_id, i, line || chr(10) || lead(line, 1) OVER d || chr(10) || lead(line, 2) OVER d AS three
+  FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY three ORDER BY doc_id, i) AS n
+    FROM w WHERE three IS NOT NULL AND regexp_matches(three, '[^\x20\x09-\x0D]'))
+  WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM later, (VALUES (0), (1), (2)) AS t(k)
+)
+SELECT l.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed,
+       sha256(coalesce(string_agg(CASE WHEN gone.i IS NULL THEN l.line END, chr(10) ORDER BY l.i), '')) AS kept_sha256
+FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i
+GROUP BY l.doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op4_url_filters": op4_url_filters,
+    "op5_quality_rules": op5_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_url_filters": OP4_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op9_line_dedup": OP9_SQL,
 }
