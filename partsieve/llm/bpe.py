@@ -11,20 +11,20 @@ from __future__ import annotations
 import base64
 import heapq
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 #: Bytes of text whose pre-tokens are held at once.
 SLICE_BYTES = 1 << 20
 #: Distinct pre-tokens whose ids a worker keeps between slices.
-KNOWN = 1 << 19
+KNOWN = 400_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -169,7 +169,7 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _slices(values: list, size=len) -> Iterator[list]:
+def _slices(values: Iterable, size=len) -> Iterator[list]:
     part, held = [], 0
     for v in values:
         part.append(v)
@@ -199,7 +199,17 @@ class Bpe:
             for part in parts:
                 yield pa.array([codec.decode(x or b"") for x in part.to_pylist()], pa.binary())
 
-        self._encode, self._decode = encode, decode
+        def both(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            codec = shared.value
+            for part in parts:
+                at = 0
+                for some in _slices(part.column(1), lambda t: len(t.as_py() or "")):
+                    ids = codec.encode([t.as_py() or "" for t in some])
+                    back = [codec.decode(x) for x in ids]
+                    yield pa.RecordBatch.from_arrays([part.column(0).slice(at, len(some)), pa.array(ids, pa.binary()), pa.array(back, pa.binary())], names=["id", "ids", "decoded"])
+                    at += len(some)
+
+        self._encode, self._decode, self._both = encode, decode, both
 
     def encode(self, text: Column) -> Column:
         """Binary: the ids of a whole text, four little-endian bytes each; null and empty texts give no ids."""
@@ -208,3 +218,12 @@ class Bpe:
     def decode(self, ids: Column) -> Column:
         """Binary: the bytes that ids stand for; null gives none."""
         return self._decode(ids)
+
+    def round_trip(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """One row per row of docs: id, ids (as encode gives them), decoded (the bytes these decode to), in one pass.
+
+        Null texts count as empty; ids may be null or repeat; other columns are not read; an empty table gives no rows.
+        """
+        rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+        kind = rows.schema["id"].dataType.simpleString()
+        return rows.mapInArrow(self._both, f"id {kind}, ids binary, decoded binary").withColumnRenamed("id", id_col)

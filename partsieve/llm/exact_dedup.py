@@ -13,13 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partsieve.llm.shared import ascii_lower, whole, written
+from partsieve.llm.shared import ascii_lower, bit_set, whole, with_hit, written
 
 #: Characters of the prefix hash.
 PREFIX_CHARS = 256
 #: Pages of the survivors' bit set, 4 KB each: at most 1 MB is broadcast, whatever the input.
 FILTER_PAGES = 256
-PAGE_BITS = 32768
 
 
 def _survivors(keys: DataFrame) -> DataFrame:
@@ -27,12 +26,7 @@ def _survivors(keys: DataFrame) -> DataFrame:
     by_prefix = written(keys.groupBy("n_bytes", "prefix").agg(F.count("*").alias("n")), "exact-prefixes")
     by_length = by_prefix.groupBy("n_bytes").agg(F.sum("n").alias("n_length")).where("n_length > 1")
     several = by_prefix.where("n > 1").join(by_length, "n_bytes", "left_semi")
-    slot = F.pmod(F.xxhash64("n_bytes", "prefix"), F.lit(FILTER_PAGES * PAGE_BITS))
-    return (
-        several.select(slot.alias("slot"))
-        .groupBy((F.col("slot") / PAGE_BITS).cast("int").alias("page"))
-        .agg(F.expr(f"bitmap_construct_agg(slot % {PAGE_BITS})").alias("bits"))
-    )
+    return bit_set(several, ["n_bytes", "prefix"], FILTER_PAGES)
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[Column] = ()) -> DataFrame:
@@ -52,16 +46,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix"),
     )
     pages = _survivors(narrow.select("n_bytes", "prefix"))
-    slot = F.pmod(F.xxhash64("n_bytes", "prefix"), F.lit(FILTER_PAGES * PAGE_BITS))
-    at = F.col("slot") % PAGE_BITS
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
-    rows = (
-        narrow.withColumn("slot", slot)
-        .withColumn("page", (F.col("slot") / PAGE_BITS).cast("int"))
-        .join(F.broadcast(pages), "page", "left")
-        .select("id", F.when(hit, F.unhex(F.sha2("norm", 256))).alias("digest"), *carry)
-    )
+    marked = with_hit(narrow, pages, ["n_bytes", "prefix"], FILTER_PAGES)
+    rows = marked.select("id", F.when(F.col("hit"), F.unhex(F.sha2("norm", 256))).alias("digest"), *carry)
     rows = written(rows, "exact-digests")
     groups = (
         rows.where("digest is not null")

@@ -11,6 +11,7 @@ from partsieve.llm.bpe import Bpe
 from partsieve.llm.exact_dedup import exact_groups
 from partsieve.llm.line_dedup import line_dedup
 from partsieve.llm.mixing import mix
+from partsieve.llm.ngram_join import ngram_components
 from partsieve.llm.quality_model import quality_scores
 from partsieve.llm.repetition import quality_rules
 from partsieve.llm.url_rules import judge_urls
@@ -29,9 +30,7 @@ def multilingual_bpe(spark: SparkSession) -> Bpe:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
-    bpe = multilingual_bpe(spark)
-    ids = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text")).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids")).alias("decoded"))
+    both = multilingual_bpe(spark).round_trip(_table(spark, sf_dir, "documents"))
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -79,6 +78,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles reach a Jaccard similarity of 0.85."""
+    return ngram_components(_table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = """
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -140,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLES: dict[str, str] = {

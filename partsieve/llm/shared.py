@@ -39,3 +39,23 @@ def whole(text: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it was."""
     return F.translate(text, UPPER, LOWER)
+
+
+#: Bits of one page of a bit set: 4 KB.
+PAGE_BITS = 32768
+
+
+def bit_set(keys: DataFrame, columns: list[str], pages: int) -> DataFrame:
+    """Bit set (page, bits) of the hashes of some columns: at most pages * 4 KB, whatever the number of keys."""
+    slot = F.pmod(F.xxhash64(*columns), F.lit(pages * PAGE_BITS))
+    slots = keys.select(slot.alias("slot"))
+    return slots.groupBy((F.col("slot") / PAGE_BITS).cast("int").alias("page")).agg(F.expr(f"bitmap_construct_agg(slot % {PAGE_BITS})").alias("bits"))
+
+
+def with_hit(rows: DataFrame, bits: DataFrame, columns: list[str], pages: int) -> DataFrame:
+    """Column hit: false where a row's key is certainly not in the bit set. The set is broadcast: its size is bounded."""
+    slot = F.pmod(F.xxhash64(*columns), F.lit(pages * PAGE_BITS))
+    at = slot % PAGE_BITS
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    both = rows.withColumn("page", (slot / PAGE_BITS).cast("int")).join(F.broadcast(bits), "page", "left")
+    return both.withColumn("hit", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("page", "bits")
