@@ -6,9 +6,6 @@ symmetric difference D of any two sets that reach the threshold. A sketch has mo
 member flips one bit of one block, so the Hamming distance of two sketches is at most D and at least one block must be
 equal: blocks are the join keys. Blocks that are zero say nothing; a few more blocks than D + 1 make up for those, and
 sets with more zero blocks than that send them too, so no pair is lost.
-
-Pairs in a group of equal blocks are never all written out. First every member is verified against the least member of
-its group; the links give components; then only pairs of members that are in different components still need a look.
 """
 
 from __future__ import annotations
@@ -20,17 +17,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from partsieve.llm.components import components
-from partsieve.llm.shared import bit_set, with_hit, written
+from partsieve.llm.shared import written
+from partsieve.llm.similarity import SimilarityJoin
 
 #: Words whose hashes a worker keeps.
 KNOWN = 1 << 19
-#: Bit set pages that pre-filter keys and documents before a shuffle: 8 MB at most.
-FILTER_PAGES = 2048
-#: Members of a group that still has several components beyond which its pairs are compared in tiles, and a tile's members.
-TILE = 256
 U = np.uint64
 
 
@@ -136,71 +128,6 @@ def _members(n: int):
     return run
 
 
-@F.arrow_udf(LongType())
-def shared_members(left: pa.Array, right: pa.Array) -> pa.Array:
-    """How many hashes two sorted sets share."""
-    both = zip(left, right, strict=True)
-    return pa.array([len(np.intersect1d(np.frombuffer(x.as_py(), U), np.frombuffer(y.as_py(), U), assume_unique=True)) for x, y in both], pa.int64())
-
-
-class NgramJoin:
-    """The join of one table with itself: sets, links, groups."""
-
-    def __init__(self, docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str):
-        self.n, self.num, self.den = n, num, den
-        self.texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-        kind = self.texts.schema["id"].dataType.simpleString()
-        all_rows = self.texts.mapInArrow(_signatures(n, num, den), f"id {kind}, size long, node long, keys array<long>")
-        self.rows = written(all_rows, "ngram-signatures")
-
-    def _linked(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-        """Those of the pairs of nodes a, b that reach the threshold, by the exact size of the intersection."""
-        near = pairs.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b")
-        near = written(near.where(self.den * F.least("size_a", "size_b") >= self.num * F.greatest("size_a", "size_b")), "ngram-pairs")
-        asked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        keep = self.reps.join(asked, "node", "left_semi")
-        found = with_hit(self.texts, bit_set(keep, ["id"], FILTER_PAGES), ["id"], FILTER_PAGES).where("hit").drop("hit")
-        sets = found.join(keep, "id").select("node", "text").mapInArrow(_members(self.n), "node long, members binary")
-        sets = written(sets.dropDuplicates(["node"]), "ngram-sets")
-        both = near.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-        both = both.withColumn("shared", shared_members("left", "right")).drop("left", "right")
-        return both.where(self.den * F.col("shared") >= self.num * (F.col("size_a") + F.col("size_b") - F.col("shared")))
-
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """Nodes that reach each other: verified links a, b that span every component, and node -> component."""
-        some = self.rows.where("size > 0")
-        self.reps = written(some.groupBy("node").agg(F.min("id").alias("id"), F.first("size").alias("size")), "ngram-nodes")
-        sizes = self.reps.select("node", "size")
-        sent = some.select("node", F.explode("keys").alias("key"))
-        groups = sent.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key", "least")
-        groups = written(groups, "ngram-groups")
-        asked = with_hit(sent, bit_set(groups, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
-        met = written(asked.join(groups, "key").select("key", "node", "least").distinct(), "ngram-met")
-        first = met.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-        one = written(self._linked(first, sizes).select("a", "b"), "ngram-links")
-        joined = components(one)
-        rest = met.join(joined, "node", "left").select("key", "node", "least", F.coalesce("component", "node").alias("c"))
-        open_keys = rest.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n")
-        rest = written(rest.join(open_keys, "key").join(sizes, "node"), "ngram-open")
-        second = written(self._apart(rest).join(first, ["a", "b"], "left_anti"), "ngram-apart")
-        two = self._linked(second, sizes).select("a", "b")
-        every = written(one.unionByName(two), "ngram-links")
-        return every, components(every)
-
-    def _apart(self, rest: DataFrame) -> DataFrame:
-        """Pairs of members of a group that are in different components and near enough in size; large groups in tiles."""
-        tiles = F.ceil(F.col("n") / TILE).cast("int")
-        own = F.pmod(F.xxhash64("node"), tiles).cast("int")
-        rest = rest.withColumn("tiles", tiles).withColumn("tile", own).select("key", "node", "c", "size", "tiles", "tile")
-        left = rest.withColumn("other", F.explode(F.sequence("tile", F.col("tiles") - 1)))
-        right = rest.withColumn("other", F.col("tile")).withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tile"))))
-        x, y = (t.select("key", "tile", "other", F.struct("node", "c", "size").alias(n)) for t, n in ((left, "x"), (right, "y")))
-        near = self.den * F.least("x.size", "y.size") >= self.num * F.greatest("x.size", "y.size")
-        met = x.join(y, ["key", "tile", "other"]).where((F.col("x.c") != F.col("y.c")) & near)
-        a, b = F.least("x.node", "y.node"), F.greatest("x.node", "y.node")
-        return met.select(a.alias("a"), b.alias("b")).distinct()
-
-
 def ngram_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id (least id that links of similarity num/den or more reach).
 
@@ -208,13 +135,15 @@ def ngram_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
     and empty texts have none and are linked with nothing. Equal sets are linked whatever their number. Null ids can be
     linked but are never a component's id unless it has no other. Other columns are not read; empty tables give no rows.
     """
-    join = NgramJoin(docs, n, num, den, id_col, text_col)
-    _, joined = join.links()
-    rows = join.rows.where("size > 0").select("id", "size", "node").join(joined, "node", "left")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind = texts.schema["id"].dataType.simpleString()
+    sets = written(texts.mapInArrow(_signatures(n, num, den), f"id {kind}, size long, node long, keys array<long>"), "ngram-signatures")
+    _, joined = SimilarityJoin(sets, texts, _members(n), num, den, "ngram").links()
+    rows = sets.where("size > 0").select("id", "size", "node").join(joined, "node", "left")
     rows = written(rows.select("id", "size", F.coalesce("component", "node").alias("group")), "ngram-rows")
     least = rows.groupBy("group").agg(F.min("id").alias("component_id"))
     linked = rows.join(least, "group").select("id", "size", "component_id")
-    alone = join.rows.where("size = 0").select("id", "size", F.col("id").alias("component_id"))
+    alone = sets.where("size = 0").select("id", "size", F.col("id").alias("component_id"))
     out = linked.unionByName(alone)
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
 

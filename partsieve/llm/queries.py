@@ -12,6 +12,7 @@ from partsieve.llm.exact_dedup import exact_groups
 from partsieve.llm.line_dedup import line_dedup
 from partsieve.llm.mixing import mix
 from partsieve.llm.ngram_join import ngram_components
+from partsieve.llm.paragraph_dedup import paragraph_clusters
 from partsieve.llm.quality_model import quality_scores
 from partsieve.llm.repetition import quality_rules
 from partsieve.llm.url_rules import judge_urls
@@ -44,6 +45,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of near-equal paragraphs of all documents, and which of them go."""
+    return paragraph_clusters(_table(spark, sf_dir, "documents"))
+
+
 def url_rules(spark: SparkSession) -> DataFrame:
     """The rules that op4 applies: host, path, verdict."""
     rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -139,6 +145,7 @@ GROUP BY l.doc_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_paragraph_dedup": op3_paragraph_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
     "op7_mixing": op7_mixing,
