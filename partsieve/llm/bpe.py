@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import heapq
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -206,7 +206,8 @@ class Bpe:
                 for some in _slices(part.column(1), lambda t: len(t.as_py() or "")):
                     ids = codec.encode([t.as_py() or "" for t in some])
                     back = [codec.decode(x) for x in ids]
-                    yield pa.RecordBatch.from_arrays([part.column(0).slice(at, len(some)), pa.array(ids, pa.binary()), pa.array(back, pa.binary())], names=["id", "ids", "decoded"])
+                    carried = [part.column(i).slice(at, len(some)) for i in (0, *range(2, part.num_columns))]
+                    yield pa.RecordBatch.from_arrays([*carried, pa.array(ids, pa.binary()), pa.array(back, pa.binary())], names=[str(i) for i in range(len(carried) + 2)])
                     at += len(some)
 
         self._encode, self._decode, self._both = encode, decode, both
@@ -219,11 +220,15 @@ class Bpe:
         """Binary: the bytes that ids stand for; null gives none."""
         return self._decode(ids)
 
-    def round_trip(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """One row per row of docs: id, ids (as encode gives them), decoded (the bytes these decode to), in one pass.
+    def round_trip(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+        """One row per row of docs: id, the columns carry, text, ids (as encode gives them), decoded (the bytes these
+        decode to), in one pass; text only with carry.
 
         Null texts count as empty; ids may be null or repeat; other columns are not read; an empty table gives no rows.
         """
-        rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-        kind = rows.schema["id"].dataType.simpleString()
-        return rows.mapInArrow(self._both, f"id {kind}, ids binary, decoded binary").withColumnRenamed("id", id_col)
+        text = F.col(text_col).cast("string")
+        more = [F.col(c).alias(f"c{i}") for i, c in enumerate(carry)] + ([text.alias("text")] if carry else [])
+        rows = docs.select(F.col(id_col).alias("id"), text.alias("t"), *more)
+        shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "t")
+        out = rows.mapInArrow(self._both, f"{shape}, ids binary, decoded binary")
+        return out.withColumnsRenamed({"id": id_col} | {f"c{i}": c for i, c in enumerate(carry)})

@@ -6,7 +6,7 @@ puts its predecessor in. Keys only grow during a sweep, so over bytes the queue
 file a byte, whose blocks numpy handles whole; over the names of the recursion it is a heap that spills sorted runs.
 A tuple carries its suffix and the length of the prefix it shares with the tuple before it under the same byte: one more
 than the least such length between the two that induced them. LMS substrings are sorted by the same sweeps, named, and
-the string of names is sorted by recursion.
+the string of names is sorted by recursion, whose base case (a string of names that fits in memory) doubles prefixes.
 
 Queues keep IN_MEMORY rows and spill the rest to unnamed scratch files of the task, which go when it ends and which
 nothing else reads. Texts and flags beyond that size are memory-mapped files of the same kind.
@@ -24,6 +24,8 @@ import numpy as np
 IN_MEMORY = 1 << 20
 #: Rows handled at once.
 BLOCK = 1 << 17
+#: Names of the recursion's base case.
+NAMES_IN_MEMORY = 1 << 22
 
 
 def _array(n: int, dtype) -> np.ndarray:
@@ -136,11 +138,40 @@ def _lms(s: np.ndarray) -> np.ndarray:
     return np.flatnonzero(s[1:] & ~s[:-1]) + 1
 
 
+def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of keys; for each sorted place, where its run of equal keys starts; whether it is alone."""
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(keys) + 1, bool)
+    new[1:-1] = np.diff(keys[order]) != 0
+    start = np.maximum.accumulate(np.where(new[:-1], np.arange(len(keys)), 0))
+    return order, start, new[:-1] & new[1:]
+
+
+def _sort_in_memory(names: np.ndarray) -> np.ndarray:
+    """Suffix array by prefix doubling; only places that still share their rank are looked at again."""
+    n, h = len(names), 1
+    order, start, alone = _ranked(names)
+    rank = np.empty(n, np.int64)
+    rank[order] = start
+    live = np.sort(order[~alone])
+    while len(live):
+        old = rank[live]
+        after = np.where(live + h < n, rank[np.minimum(live + h, n - 1)] + 1, 0)
+        order, start, alone = _ranked(old * (n + 1) + after)
+        s = old[order]
+        first = np.ones(len(s), bool)
+        first[1:] = s[1:] != s[:-1]
+        rank[live[order]] = s + start - np.maximum.accumulate(np.where(first, np.arange(len(s)), 0))
+        live, h = np.sort(live[order[~alone]]), h * 2
+    out = np.empty(n, np.int64)
+    out[rank] = np.arange(n)
+    return out
+
+
 def sort_names(names: np.ndarray) -> np.ndarray:
     """Suffix array of numbers whose last is the only least one."""
-    order = np.argsort(names, kind="stable")
-    if (np.diff(names[order]) > 0).all():
-        return order
+    if len(names) <= NAMES_IN_MEMORY:
+        return _sort_in_memory(names)
     s = _types(names)
     lms = _lms(s)
     t, small = names.tolist(), s.tolist()

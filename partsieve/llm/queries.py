@@ -15,6 +15,7 @@ from partsieve.llm.ngram_join import ngram_components
 from partsieve.llm.paragraph_dedup import paragraph_clusters
 from partsieve.llm.quality_model import quality_scores
 from partsieve.llm.repetition import quality_rules
+from partsieve.llm.suffix_dedup import suffix_dedup
 from partsieve.llm.url_rules import judge_urls
 
 
@@ -67,6 +68,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that every document loses to repeated 200-byte strings, and what stays of it as a digest."""
+    out = suffix_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 5:2:1 mix of 150% takes from each document."""
     return mix(_table(spark, sf_dir, "documents"))
@@ -148,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_paragraph_dedup": op3_paragraph_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_mixing": op7_mixing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
