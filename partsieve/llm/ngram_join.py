@@ -5,7 +5,7 @@ Sizes fall into bands; a pair is looked for in the band of its larger set, whose
 symmetric difference D of any two sets that reach the threshold. A sketch has more than D blocks of 64 bits; each
 member flips one bit of one block, so the Hamming distance of two sketches is at most D and at least one block must be
 equal: blocks are the join keys. Blocks that are zero say nothing; a few more blocks than D + 1 make up for those, and
-sets with more zero blocks than that send them too, so no pair is lost.
+sets with more zero blocks than that send them too, so no pair is lost and any two linked sets share two keys.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partsieve.llm.shared import written
-from partsieve.llm.similarity import SimilarityJoin
+from partsieve.llm.similarity import SimilarityJoin, parity
 
 #: Words whose hashes a worker keeps.
 KNOWN = 1 << 19
@@ -97,7 +97,7 @@ def _keys(members: np.ndarray, bands: Bands) -> np.ndarray:
             with np.errstate(over="ignore"):
                 keys = _mixed(_mixed(words) + U(band + 1) * U(0xD6E8FEB86659FD93) + np.arange(blocks, dtype=np.uint64) * U(0xA0761D6478BD642F))
             said = words != 0
-            out.append(keys if blocks - said.sum() > spare else keys[said])
+            out.append(keys if blocks - said.sum() >= spare else keys[said])
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
@@ -105,15 +105,16 @@ def _signatures(n: int, num: int, den: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, bands = Shingler(n), Bands(num, den)
         for part in parts:
-            raw, sizes, nodes, keys = part.column(1).cast(pa.binary()), [], [], []
+            raw, sizes, nodes, sketches, keys = part.column(1).cast(pa.binary()), [], [], [], []
             for t in raw:
                 s = shingles(t.as_py() or b"")
                 sizes.append(len(s))
                 nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
+                sketches.append(parity(s))
                 keys.append(_keys(s, bands) if len(s) else np.zeros(0, np.int64))
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), lists], names=["id", "size", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), lists], names=["id", "size", "node", "sketch", "keys"])
 
     return run
 
@@ -122,8 +123,14 @@ def _members(n: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for part in parts:
-            sets = [shingles(t.as_py() or b"").tobytes() for t in part.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "members"])
+            nodes, sets = [], []
+            for wanted, t in zip(part.column(0), part.column(1).cast(pa.binary()), strict=True):
+                s = shingles(t.as_py() or b"").tobytes()
+                node = xxhash.xxh3_64_intdigest(s) - (1 << 63)
+                if node in wanted.as_py():
+                    nodes.append(node)
+                    sets.append(s)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "members"])
 
     return run
 
@@ -137,7 +144,7 @@ def ngram_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    sets = written(texts.mapInArrow(_signatures(n, num, den), f"id {kind}, size long, node long, keys array<long>"), "ngram-signatures")
+    sets = written(texts.mapInArrow(_signatures(n, num, den), f"id {kind}, size long, node long, sketch binary, keys array<long>"), "ngram-signatures")
     _, joined = SimilarityJoin(sets, texts, _members(n), num, den, "ngram").links()
     rows = sets.where("size > 0").select("id", "size", "node").join(joined, "node", "left")
     rows = written(rows.select("id", "size", F.coalesce("component", "node").alias("group")), "ngram-rows")

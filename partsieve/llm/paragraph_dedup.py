@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from partsieve.llm.ngram_join import Shingler, U, _mixed
 from partsieve.llm.shared import whole, written
-from partsieve.llm.similarity import SimilarityJoin
+from partsieve.llm.similarity import SimilarityJoin, parity
 
 #: Words of a shingle; words of the shortest paragraph that counts.
 SHINGLE, MIN_WORDS = 5, 20
@@ -70,8 +70,8 @@ def _signatures(n: int, shortest: int):
                 if sets and (held >= BLOCK or row == part.num_rows - 1):
                     keys = band_keys(sets)
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
-                    columns = [part.column(0).take(pa.array(at)), pa.array(where, pa.int32()), pa.array(words, pa.int32()), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), lists]
-                    yield pa.RecordBatch.from_arrays(columns, names=["id", "paragraph", "n_words", "size", "node", "keys"])
+                    columns = [part.column(0).take(pa.array(at)), pa.array(where, pa.int32()), pa.array(words, pa.int32()), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), pa.array([parity(s) for s in sets], pa.binary()), lists]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "paragraph", "n_words", "size", "node", "sketch", "keys"])
                     at, where, words, sets, held = [], [], [], [], 0
 
     return run
@@ -81,9 +81,14 @@ def _members(n: int, shortest: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for part in parts:
-            for t in part.column(1).cast(pa.binary()):
-                sets = [shingles(line) for _, _, line in _paragraphs(t.as_py() or b"", shortest)]
-                yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
+            for wanted, t in zip(part.column(0), part.column(1).cast(pa.binary()), strict=True):
+                left, found = set(wanted.as_py()), {}
+                for _, _, line in _paragraphs(t.as_py() or b"", shortest):
+                    s = shingles(line)
+                    if (node := _node(s)) in left:
+                        found[node] = s.tobytes()
+                        left.discard(node)
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "members"])
 
     return run
 
@@ -98,7 +103,7 @@ def paragraph_clusters(docs: DataFrame, n: int = SHINGLE, num: int = 80, den: in
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    shape = f"id {kind}, paragraph int, n_words int, size long, node long, keys array<long>"
+    shape = f"id {kind}, paragraph int, n_words int, size long, node long, sketch binary, keys array<long>"
     sets = written(texts.mapInArrow(_signatures(n, shortest), shape), "paragraph-signatures")
     _, joined = SimilarityJoin(sets, texts, _members(n, shortest), num, den, "paragraph").links()
     rows = sets.select("id", "paragraph", "n_words", "node").distinct().join(joined, "node", "left")

@@ -3,6 +3,11 @@
 Sets of equal content are one node. Under each key every member is first verified against the key's least member; the
 links give components; then only pairs of members that are in different components still need a look, large groups in
 tiles. Every pair that shares a key is therefore verified or already connected, so components come out exactly.
+
+Keys that very many sets share say little. Two linked sets share at least two keys (by pigeonhole, or with the recall
+of the bands), so a group of more than MANY members is replaced by the groups of that key and one further key each.
+Verification has two steps: the Hamming distance of parity sketches is at most the symmetric difference, so it rules
+pairs out; whole sets are fetched and compared only for the pairs it leaves.
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ from partsieve.llm.shared import bit_set, with_hit, written
 
 #: Bit set pages that pre-filter keys and documents before a shuffle: 8 MB at most.
 FILTER_PAGES = 2048
+#: Members of a group from which on it is split by a second key.
+MANY = 96
 #: Members of a tile of a group that still has several components.
 TILE = 256
 
@@ -31,12 +38,34 @@ def shared_members(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array([len(np.intersect1d(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), assume_unique=True)) for x, y in both], pa.int64())
 
 
+def parity(members: np.ndarray) -> bytes:
+    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with about as many bits as members."""
+    bits = max(64, 1 << (len(members) | 1).bit_length())
+    odd = np.bincount((members >> np.uint64(6) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+@F.arrow_udf(LongType())
+def hamming(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Bits in which two parity sketches differ; the longer one is folded to the length of the other."""
+    out = []
+    for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True):
+        short, long = sorted((x, y), key=len)
+        a, b, bits = int.from_bytes(short, "little"), int.from_bytes(long, "little"), 8 * len(long)
+        while bits > 8 * len(short):
+            bits //= 2
+            b = (b >> bits) ^ (b & ((1 << bits) - 1))
+        out.append((a ^ b).bit_count())
+    return pa.array(out, pa.int64())
+
+
 class SimilarityJoin:
     """Verified links and components of sets that meet under a common key.
 
-    rows: id, size, node (a number for the set's content), keys; sets of size 0 are left out. texts: id, text. members:
-    a function for mapInArrow from (node, text) to (node, members), members being the sorted 64-bit hashes of a set; it
-    may return further sets of the same text. Two sets are linked if they share num/den of their union or more.
+    rows: id, size, node (a number for the set's content), sketch (its parity), keys; sets of size 0 are left out. texts:
+    id, text. members: a function for mapInArrow from (nodes, text) to (node, members), which gives those of the wanted
+    nodes that the text has, once each, with the sorted 64-bit hashes of the set. Two sets are linked if they share
+    num/den of their union or more.
     """
 
     def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, num: int, den: int, name: str):
@@ -47,13 +76,16 @@ class SimilarityJoin:
 
     def _linked(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
         """Those of the pairs of nodes a, b that reach the threshold, by the exact size of the intersection."""
-        near = pairs.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b")
-        near = self._written(near.where(self.den * F.least("size_a", "size_b") >= self.num * F.greatest("size_a", "size_b")), "pairs")
+        near = pairs.join(sizes.toDF("a", "size_a", "sketch_a"), "a").join(sizes.toDF("b", "size_b", "sketch_b"), "b")
+        near = near.where(self.den * F.least("size_a", "size_b") >= self.num * F.greatest("size_a", "size_b"))
+        near = near.withColumn("differ", hamming("sketch_a", "sketch_b")).where((self.den + self.num) * F.col("differ") <= (self.den - self.num) * (F.col("size_a") + F.col("size_b")))
+        near = self._written(near.select("a", "b", "size_a", "size_b"), "pairs")
         asked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        keep = self.reps.join(asked, "node", "left_semi")
+        keep = self.reps.join(asked, "node", "left_semi").groupBy("id").agg(F.collect_list("node").alias("nodes"))
+        keep = self._written(keep, "asked")
         found = with_hit(self.texts, bit_set(keep, ["id"], FILTER_PAGES), ["id"], FILTER_PAGES).where("hit").drop("hit")
-        sets = found.join(keep, "id").select("node", "text").mapInArrow(self.members, "node long, members binary")
-        sets = self._written(sets.join(asked, "node", "left_semi").dropDuplicates(["node"]), "sets")
+        found = found.withColumnRenamed("id", "_id").join(keep, F.col("_id").eqNullSafe(F.col("id")))
+        sets = self._written(found.select("nodes", "text").mapInArrow(self.members, "node long, members binary"), "sets")
         both = near.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
         both = both.withColumn("shared", shared_members("left", "right")).drop("left", "right")
         return both.where(self.den * F.col("shared") >= self.num * (F.col("size_a") + F.col("size_b") - F.col("shared")))
@@ -61,19 +93,29 @@ class SimilarityJoin:
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Nodes that reach each other: verified links a, b that span every component, and node -> component."""
         some = self.rows.where("size > 0")
-        self.reps = self._written(some.groupBy("node").agg(F.min("id").alias("id"), F.first("size").alias("size")), "nodes")
-        sizes = self.reps.select("node", "size")
-        sent = some.select("node", F.explode("keys").alias("key"))
-        groups = sent.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key", "least")
-        groups = self._written(groups, "groups")
+        self.reps = self._written(some.groupBy("node").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "nodes")
+        sizes = self.reps.select("node", "size", "sketch")
+        sent = some.dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
+        count = sent.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("n"))
+        groups = self._written(count.where("least <> most").select("key", "least", "n"), "groups")
+        large = groups.where(F.col("n") > MANY).select("key")
+        if large.first():
+            crowded = with_hit(sent, bit_set(large, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit").join(large, "key")
+            crowded = self._written(crowded.groupBy("node").agg(F.collect_set("key").alias("crowds")), "crowded")
+            both = some.dropDuplicates(["node"]).select("node", "keys").join(crowded, "node")
+            both = both.select("node", "crowds", F.explode("keys").alias("other")).select("node", "other", F.explode("crowds").alias("key")).where("key <> other")
+            both = both.select("node", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key")).distinct()
+            sent = sent.join(large, "key", "left_anti").select("node", "key").unionByName(both)
+            count = sent.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+            groups = self._written(count.where("least <> most").select("key", "least"), "groups")
         asked = with_hit(sent, bit_set(groups, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
-        met = self._written(asked.join(groups, "key").select("key", "node", "least").distinct(), "met")
+        met = self._written(asked.join(groups, "key").select("key", "node", "least"), "met")
         first = met.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
         one = self._written(self._linked(first, sizes).select("a", "b"), "links")
         joined = components(one)
         rest = met.join(joined, "node", "left").select("key", "node", "least", F.coalesce("component", "node").alias("c"))
         open_keys = rest.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n")
-        rest = self._written(rest.join(open_keys, "key").join(sizes, "node"), "open")
+        rest = self._written(rest.join(open_keys, "key").join(sizes.select("node", "size"), "node"), "open")
         second = self._written(self._apart(rest).join(first, ["a", "b"], "left_anti"), "apart")
         two = self._linked(second, sizes).select("a", "b")
         every = self._written(one.unionByName(two), "links")
