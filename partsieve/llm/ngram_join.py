@@ -4,8 +4,9 @@ A document's set holds 64-bit hashes of its distinct word n-grams. Sets of equal
 Sizes fall into bands; a pair is looked for in the band of its larger set, whose bound on the sizes bounds the
 symmetric difference D of any two sets that reach the threshold. A sketch has more than D blocks of 64 bits; each
 member flips one bit of one block, so the Hamming distance of two sketches is at most D and at least one block must be
-equal: blocks are the join keys. Blocks that are zero say nothing; a few more blocks than D + 1 make up for those, and
-sets with more zero blocks than that send them too, so no pair is lost and any two linked sets share two keys.
+equal: blocks are the join keys. Blocks of WEAK bits or fewer say little (a passage that many documents share fills
+them); a tenth more blocks than D + 1 make up for those, and sets with more weak blocks than that send them too. Equal
+blocks are equally weak, so no pair is lost and any two linked sets share two keys.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from partsieve.llm.shared import written
 from partsieve.llm.similarity import SimilarityJoin, parity
 
+#: Bits of a block that is not sent if it can be spared.
+WEAK = 2
 #: Words whose hashes a worker keeps.
 KNOWN = 1 << 19
 U = np.uint64
@@ -68,10 +71,10 @@ class Bands:
         self.starts = np.array(self.low)
 
     def blocks(self, band: int) -> tuple[int, int]:
-        """Blocks of a sketch in a band, and how many of them may be zero without being sent. Two sets of a and b members that share o reach the threshold if den * o >= num * (a + b - o)."""
+        """Blocks of a sketch in a band, and how many of them there are beyond those that must differ. Two sets of a and b members that share o reach the threshold if den * o >= num * (a + b - o)."""
         top = self.low[band + 1] - 1
         differ = 2 * top * (self.den - self.num) // (self.num + self.den)
-        spare = 2 + differ // 48 if differ else 0
+        spare = 2 + differ // 10 if differ else 0
         return differ + 1 + spare, spare
 
     def of(self, size: int) -> list[int]:
@@ -96,7 +99,7 @@ def _keys(members: np.ndarray, bands: Bands) -> np.ndarray:
             words = sketch(members, blocks)
             with np.errstate(over="ignore"):
                 keys = _mixed(_mixed(words) + U(band + 1) * U(0xD6E8FEB86659FD93) + np.arange(blocks, dtype=np.uint64) * U(0xA0761D6478BD642F))
-            said = words != 0
+            said = np.bitwise_count(words) > WEAK
             out.append(keys if blocks - said.sum() >= spare else keys[said])
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 

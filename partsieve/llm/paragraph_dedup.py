@@ -42,13 +42,17 @@ def _node(members: np.ndarray) -> int:
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     """One row of BANDS keys a set."""
     r = np.random.default_rng(20)
-    factors = r.integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) | U(1)
+    factors = r.integers(1, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     first = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]]).astype(np.int64)
-    every, minima = np.concatenate(sets), np.empty((len(sets), BANDS * BAND_ROWS), np.uint64)
+    every = np.concatenate(sets)
+    every = (every ^ (every >> U(32))).astype(np.uint32)
+    minima = np.empty((len(sets), BANDS * BAND_ROWS), np.uint64)
     with np.errstate(over="ignore"):
         for k, f in enumerate(factors):
             x = every * f
-            minima[:, k] = np.minimum.reduceat(x ^ (x >> U(32)), first)
+            x ^= x >> np.uint32(15)
+            x *= np.uint32(0x2C1B3C6D)
+            minima[:, k] = np.minimum.reduceat(x, first)
         keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sets), 1))
         for k in range(BAND_ROWS):
             keys = _mixed(keys * U(0x9E3779B97F4A7C15) + minima[:, k::BAND_ROWS])

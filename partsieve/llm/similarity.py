@@ -26,7 +26,7 @@ from partsieve.llm.shared import bit_set, with_hit, written
 #: Bit set pages that pre-filter keys and documents before a shuffle: 8 MB at most.
 FILTER_PAGES = 2048
 #: Members of a group from which on it is split by a second key.
-MANY = 96
+MANY = 256
 #: Members of a tile of a group that still has several components.
 TILE = 256
 
@@ -95,20 +95,20 @@ class SimilarityJoin:
         some = self.rows.where("size > 0")
         self.reps = self._written(some.groupBy("node").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "nodes")
         sizes = self.reps.select("node", "size", "sketch")
-        sent = some.dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
-        count = sent.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("n"))
-        groups = self._written(count.where("least <> most").select("key", "least", "n"), "groups")
-        large = groups.where(F.col("n") > MANY).select("key")
+        sent = some.select("node", F.explode("keys").alias("key"))
+        # 31 bits of a node are enough to see that a key has two
+        count = sent.select("key", F.xxhash64("node").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("n32")).groupBy("key").agg(F.min("n32").alias("x"), F.max("n32").alias("y"))
+        several = self._written(count.where("x <> y").select("key"), "keys")
+        asked = with_hit(sent, bit_set(several, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
+        asked = self._written(asked.join(several, "key", "left_semi").select("key", "node").distinct(), "asked-keys")
+        large = self._written(asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select("key"), "large")
         if large.first():
-            crowded = with_hit(sent, bit_set(large, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit").join(large, "key")
-            crowded = self._written(crowded.groupBy("node").agg(F.collect_set("key").alias("crowds")), "crowded")
-            both = some.dropDuplicates(["node"]).select("node", "keys").join(crowded, "node")
-            both = both.select("node", "crowds", F.explode("keys").alias("other")).select("node", "other", F.explode("crowds").alias("key")).where("key <> other")
-            both = both.select("node", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key")).distinct()
-            sent = sent.join(large, "key", "left_anti").select("node", "key").unionByName(both)
-            count = sent.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-            groups = self._written(count.where("least <> most").select("key", "least"), "groups")
-        asked = with_hit(sent, bit_set(groups, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
+            own = asked.groupBy("node").agg(F.collect_list("key").alias("keys"))
+            crowds = asked.join(large, "key", "left_semi").withColumnRenamed("key", "crowd").join(own, "node")
+            both = crowds.select("node", "crowd", F.explode("keys").alias("key")).where("key <> crowd")
+            both = both.select(F.xxhash64(F.least("key", "crowd"), F.greatest("key", "crowd")).alias("key"), "node").distinct()
+            asked = self._written(asked.join(large, "key", "left_anti").select("key", "node").unionByName(both), "split-keys")
+        groups = asked.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key", "least")
         met = self._written(asked.join(groups, "key").select("key", "node", "least"), "met")
         first = met.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
         one = self._written(self._linked(first, sizes).select("a", "b"), "links")
