@@ -1,4 +1,4 @@
-"""All registered queries and oracles of the reference's operators."""
+"""All registered queries and oracles but those of the training-data operators."""
 
 from __future__ import annotations
 
@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from partsieve.plans import domain, relational
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = relational.QUERIES | domain.QUERIES
+ORACLES: dict[str, str] = relational.ORACLES | domain.ORACLES
