@@ -190,5 +190,5 @@ def stream_ingest(s: SparkSession, d: str) -> DataFrame:
     """State of a file stream after every batch was merged: the last event of each user."""
     base = s.conf.get("spark.checkpoint.dir", None) or "/tmp"
     run = f"{base.rstrip('/')}/partsieve-stream-{uuid.uuid4().hex}"
-    ingest(s, f"{d}/events.parquet", f"{run}/out", f"{run}/checkpoint")
+    ingest(s, d, "events.parquet", f"{run}/out", f"{run}/checkpoint")
     return ingested(s, f"{run}/out")

@@ -13,13 +13,13 @@ def latest_per_user(events: DataFrame) -> DataFrame:
     return merge(events, ["user_id"], ["ts", "event_id"], {c: "last" for c in ("event_id", "ts", "event_type", "value")})
 
 
-def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, late: str = "60 days") -> None:
-    """Runs the files that are there through the stream once: every batch becomes one folder of target, named by its id.
+def ingest(spark: SparkSession, folder: str, pattern: str, target: str, checkpoint: str, late: str = "60 days") -> None:
+    """Runs the files of a folder that match once through the stream: every batch becomes one folder of target, named by its id.
 
     A batch that runs again after a failure overwrites its own folder, so each event counts once.
     """
-    schema = spark.read.parquet(source).schema
-    stream = spark.readStream.schema(schema).parquet(source).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
+    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
 
     def write(batch: DataFrame, number: int) -> None:
         latest_per_user(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
