@@ -4,8 +4,9 @@ Sets of equal content are one node. Under each key every member is first verifie
 links give components; then only pairs of members that are in different components still need a look, large groups in
 tiles. Every pair that shares a key is therefore verified or already connected, so components come out exactly.
 
-Keys that very many sets share say little. Two linked sets share at least two keys (by pigeonhole, or with the recall
-of the bands), so a group of more than MANY members is replaced by the groups of that key and one further key each.
+Keys that many unlike sets share say little. Two linked sets share at least two keys (by pigeonhole, or with the recall
+of the bands), so a group that still has more than MANY components is replaced by the groups of that key and one
+further key each.
 Verification has two steps: the Hamming distance of parity sketches is at most the symmetric difference, so it rules
 pairs out; whole sets are fetched and compared only for the pairs it leaves.
 """
@@ -25,8 +26,8 @@ from partsieve.llm.shared import bit_set, with_hit, written
 
 #: Bit set pages that pre-filter keys and documents before a shuffle: 8 MB at most.
 FILTER_PAGES = 2048
-#: Members of a group from which on it is split by a second key.
-MANY = 256
+#: Components of a group from which on it is split by a second key.
+MANY = 4
 #: Members of a tile of a group that still has several components.
 TILE = 256
 
@@ -101,26 +102,32 @@ class SimilarityJoin:
         several = self._written(count.where("x <> y").select("key"), "keys")
         asked = with_hit(sent, bit_set(several, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
         asked = self._written(asked.join(several, "key", "left_semi").select("key", "node").distinct(), "asked-keys")
-        large = self._written(asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select("key"), "large")
-        if large.first():
-            own = asked.groupBy("node").agg(F.collect_list("key").alias("keys"))
-            crowds = asked.join(large, "key", "left_semi").withColumnRenamed("key", "crowd").join(own, "node")
-            both = crowds.select("node", "crowd", F.explode("keys").alias("key")).where("key <> crowd")
-            both = both.select(F.xxhash64(F.least("key", "crowd"), F.greatest("key", "crowd")).alias("key"), "node").distinct()
-            asked = self._written(asked.join(large, "key", "left_anti").select("key", "node").unionByName(both), "split-keys")
         groups = asked.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key", "least")
         met = self._written(asked.join(groups, "key").select("key", "node", "least"), "met")
         first = met.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
         one = self._written(self._linked(first, sizes).select("a", "b"), "links")
         joined = components(one)
         rest = met.join(joined, "node", "left").select("key", "node", "least", F.coalesce("component", "node").alias("c"))
-        open_keys = rest.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n")
-        rest = self._written(rest.join(open_keys, "key").join(sizes.select("node", "size"), "node"), "open")
+        parts = rest.groupBy("key", "c").agg(F.count("*").alias("n"))
+        open_keys = self._written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1"), "open-keys")
+        rest = self._written(rest.join(open_keys, "key").select("key", "node", "c", "n", "parts"), "open")
+        rest = rest.where(F.col("parts") <= MANY).drop("parts").unionByName(self._split(rest))
+        rest = self._written(rest.join(sizes.select("node", "size"), "node"), "open")
         second = self._written(self._apart(rest).join(first, ["a", "b"], "left_anti"), "apart")
         two = self._linked(second, sizes).select("a", "b")
         every = self._written(one.unionByName(two), "links")
         return every, components(every)
 
+    def _split(self, rest: DataFrame) -> DataFrame:
+        """Groups of more than MANY components as the groups of their key and one further key that the members still have."""
+        own = rest.groupBy("node").agg(F.collect_list("key").alias("keys"))
+        crowds = rest.where(F.col("parts") > MANY).select(F.col("key").alias("crowd"), "node", "c").join(own, "node")
+        both = crowds.select("node", "c", "crowd", F.explode("keys").alias("key")).where("key <> crowd")
+        both = both.select(F.xxhash64(F.least("key", "crowd"), F.greatest("key", "crowd")).alias("key"), "node", "c").distinct()
+        both = self._written(both, "split")
+        still = both.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n")
+        return both.join(still, "key").select("key", "node", "c", "n")
+
     def _apart(self, rest: DataFrame) -> DataFrame:
         """Pairs of members of a group that are in different components and near enough in size; large groups in tiles."""
         tiles = F.ceil(F.col("n") / TILE).cast("int")
