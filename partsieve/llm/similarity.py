@@ -1,19 +1,16 @@
 """Similarity join of sets under candidate keys, without writing out all pairs of a group.
 
 Sets of equal content are one node. Under each key every member is first verified against the key's least member; the
-links give components; then only pairs of members that are in different components still need a look, large groups in
-tiles. Every pair that shares a key is therefore verified or already connected, so components come out exactly.
+links give components; then members of a group that are in different components are compared by their sketches inside
+a task, large groups in tiles of bounded size, and only near pairs leave it. Every pair that shares a key is therefore verified or already connected, so components come out exactly.
 
-Keys that many unlike sets share say little. Two linked sets share at least two keys (by pigeonhole, or with the recall
-of the bands), so a group that still has more than MANY components is replaced by the groups of that key and one
-further key each.
 Verification has two steps: the Hamming distance of parity sketches is at most the symmetric difference, so it rules
 pairs out; whole sets are fetched and compared only for the pairs it leaves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +23,8 @@ from partsieve.llm.shared import bit_set, with_hit, written
 
 #: Bit set pages that pre-filter keys and documents before a shuffle: 8 MB at most.
 FILTER_PAGES = 2048
-#: Components of a group from which on it is split by a second key.
-MANY = 4
 #: Members of a tile of a group that still has several components.
-TILE = 256
+TILE = 2048
 
 
 @F.arrow_udf(LongType())
@@ -109,34 +104,64 @@ class SimilarityJoin:
         joined = components(one)
         rest = met.join(joined, "node", "left").select("key", "node", "least", F.coalesce("component", "node").alias("c"))
         parts = rest.groupBy("key", "c").agg(F.count("*").alias("n"))
-        open_keys = self._written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1"), "open-keys")
-        rest = self._written(rest.join(open_keys, "key").select("key", "node", "c", "n", "parts"), "open")
-        rest = rest.where(F.col("parts") <= MANY).drop("parts").unionByName(self._split(rest))
-        rest = self._written(rest.join(sizes.select("node", "size"), "node"), "open")
-        second = self._written(self._apart(rest).join(first, ["a", "b"], "left_anti"), "apart")
+        open_keys = self._written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1").drop("parts"), "open-keys")
+        rest = self._written(rest.join(open_keys, "key").select("key", "node", "c", "n").join(sizes, "node"), "open")
+        second = self._written(self._apart(rest).distinct().join(first, ["a", "b"], "left_anti"), "apart")
         two = self._linked(second, sizes).select("a", "b")
         every = self._written(one.unionByName(two), "links")
         return every, components(every)
 
-    def _split(self, rest: DataFrame) -> DataFrame:
-        """Groups of more than MANY components as the groups of their key and one further key that the members still have."""
-        own = rest.groupBy("node").agg(F.collect_list("key").alias("keys"))
-        crowds = rest.where(F.col("parts") > MANY).select(F.col("key").alias("crowd"), "node", "c").join(own, "node")
-        both = crowds.select("node", "c", "crowd", F.explode("keys").alias("key")).where("key <> crowd")
-        both = both.select(F.xxhash64(F.least("key", "crowd"), F.greatest("key", "crowd")).alias("key"), "node", "c").distinct()
-        both = self._written(both, "split")
-        still = both.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n")
-        return both.join(still, "key").select("key", "node", "c", "n")
-
     def _apart(self, rest: DataFrame) -> DataFrame:
-        """Pairs of members of a group that are in different components and near enough in size; large groups in tiles."""
+        """Pairs of members of a group that are in different components, near enough in size and in sketch; large groups in tiles."""
         tiles = F.ceil(F.col("n") / TILE).cast("int")
-        own = F.pmod(F.xxhash64("node"), tiles).cast("int")
-        rest = rest.withColumn("tiles", tiles).withColumn("tile", own).select("key", "node", "c", "size", "tiles", "tile")
-        left = rest.withColumn("other", F.explode(F.sequence("tile", F.col("tiles") - 1)))
-        right = rest.withColumn("other", F.col("tile")).withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tile"))))
-        x, y = (t.select("key", "tile", "other", F.struct("node", "c", "size").alias(n)) for t, n in ((left, "x"), (right, "y")))
-        near = self.den * F.least("x.size", "y.size") >= self.num * F.greatest("x.size", "y.size")
-        met = x.join(y, ["key", "tile", "other"]).where((F.col("x.c") != F.col("y.c")) & near)
-        a, b = F.least("x.node", "y.node"), F.greatest("x.node", "y.node")
-        return met.select(a.alias("a"), b.alias("b")).distinct()
+        rest = rest.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
+        pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda k: F.struct(F.least("tile", k).alias("x"), F.greatest("tile", k).alias("y")))
+        dealt = rest.withColumn("at", F.explode(pairs)).select("key", "at.x", "at.y", "node", "c", "size", "sketch", (F.col("tile") == F.col("at.x")).alias("own"))
+        dealt = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+        return dealt.mapInArrow(_compared(self.num, self.den), "a long, b long")
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the length of the shortest."""
+    n = min(map(len, sketches)) // 8
+    out = np.empty((len(sketches), n), np.uint64)
+    for i, s in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, n), axis=0)
+    return out
+
+
+def _compared(num: int, den: int):
+    """A tile's members compared by their sketches: all but those of its largest component with all, in blocks."""
+
+    def pairs(rows: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        node, c, size = (np.array([r[k] for r in rows]) for k in ("node", "c", "size"))
+        own = np.array([r["own"] for r in rows])
+        both = rows[0]["x"] == rows[0]["y"]
+        words = _folded([r["sketch"] for r in rows])
+        values, counts = np.unique(c, return_counts=True)
+        ask = np.flatnonzero(c != values[counts.argmax()])
+        step = max(1, (1 << 20) // (len(rows) * words.shape[1]))
+        for first in range(0, len(ask), step):
+            i = ask[first : first + step]
+            near = (c[i, None] != c[None, :]) & (den * np.minimum(size[i, None], size[None, :]) >= num * np.maximum(size[i, None], size[None, :]))
+            near &= both | (own[i, None] != own[None, :])
+            x, y = np.nonzero(near)
+            differ = np.bitwise_count(words[i[x]] ^ words[y]).sum(1, dtype=np.int64)
+            good = (den + num) * differ <= (den - num) * (size[i[x]] + size[y])
+            yield np.minimum(node[i[x[good]]], node[y[good]]), np.maximum(node[i[x[good]]], node[y[good]])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+        for part in parts:
+            for r in part.to_pylist():
+                if (r["key"], r["x"], r["y"]) != at:
+                    yield from map(batch, pairs(rows) if len(rows) > 1 else ())
+                    at, rows = (r["key"], r["x"], r["y"]), []
+                rows.append(r)
+        if len(rows) > 1:
+            yield from map(batch, pairs(rows))
+
+    def batch(pair: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64())], names=["a", "b"])
+
+    return run
