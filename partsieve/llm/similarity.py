@@ -1,6 +1,6 @@
 """Similarity join of sets under candidate keys, without writing out all pairs of a group.
 
-Sets of equal content are one node. Under each key every member is first verified against the key's least member; the
+Sets of equal content are one node. Under each key every member is first verified against one of them, the key's hub; the
 links give components; then members of a group that are in different components are compared by their sketches inside
 a task, large groups in tiles of bounded size, and only near pairs leave it. Every pair that shares a key is therefore verified or already connected, so components come out exactly.
 
@@ -23,6 +23,10 @@ from partsieve.llm.shared import bit_set, with_hit, written
 
 #: Bit set pages that pre-filter keys and documents before a shuffle: 8 MB at most.
 FILTER_PAGES = 2048
+#: Orders in which the hub of a group is the first member.
+HUBS = 8
+#: Members of a group that is compared pair by pair, many groups at once.
+SMALL = 8
 #: Members of a tile of a group that still has several components.
 TILE = 2048
 
@@ -41,8 +45,7 @@ def parity(members: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-@F.arrow_udf(LongType())
-def hamming(left: pa.Array, right: pa.Array) -> pa.Array:
+def hamming_of(left: pa.Array, right: pa.Array) -> list[int]:
     """Bits in which two parity sketches differ; the longer one is folded to the length of the other."""
     out = []
     for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True):
@@ -52,7 +55,12 @@ def hamming(left: pa.Array, right: pa.Array) -> pa.Array:
             bits //= 2
             b = (b >> bits) ^ (b & ((1 << bits) - 1))
         out.append((a ^ b).bit_count())
-    return pa.array(out, pa.int64())
+    return out
+
+
+@F.arrow_udf(LongType())
+def hamming(left: pa.Array, right: pa.Array) -> pa.Array:
+    return pa.array(hamming_of(left, right), pa.int64())
 
 
 class SimilarityJoin:
@@ -97,12 +105,14 @@ class SimilarityJoin:
         several = self._written(count.where("x <> y").select("key"), "keys")
         asked = with_hit(sent, bit_set(several, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
         asked = self._written(asked.join(several, "key", "left_semi").select("key", "node").distinct(), "asked-keys")
-        groups = asked.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key", "least")
-        met = self._written(asked.join(groups, "key").select("key", "node", "least"), "met")
-        first = met.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+        # HUBS orders of the nodes: groups of one cluster get different hubs, so that an outlier is not the hub of all
+        hub = F.min_by("node", F.xxhash64("node", F.pmod("key", F.lit(HUBS)))).alias("hub")
+        groups = asked.groupBy("key").agg(hub)
+        met = self._written(asked.join(groups, "key").select("key", "node", "hub"), "met")
+        first = self._written(met.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "first")
         one = self._written(self._linked(first, sizes).select("a", "b"), "links")
         joined = components(one)
-        rest = met.join(joined, "node", "left").select("key", "node", "least", F.coalesce("component", "node").alias("c"))
+        rest = met.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
         parts = rest.groupBy("key", "c").agg(F.count("*").alias("n"))
         open_keys = self._written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1").drop("parts"), "open-keys")
         rest = self._written(rest.join(open_keys, "key").select("key", "node", "c", "n").join(sizes, "node"), "open")
@@ -150,16 +160,43 @@ def _compared(num: int, den: int):
             good = (den + num) * differ <= (den - num) * (size[i[x]] + size[y])
             yield np.minimum(node[i[x[good]]], node[y[good]]), np.maximum(node[i[x[good]]], node[y[good]])
 
+    def small(t: pa.RecordBatch, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        node, c, size, own, x, y = (t.column(k).to_numpy(zero_copy_only=False) for k in ("node", "c", "size", "own", "x", "y"))
+        sketches, found = t.column("sketch"), []
+        for d in range(1, SMALL):
+            i = np.flatnonzero(group[:-d] == group[d:])
+            j = i + d
+            near = (c[i] != c[j]) & (den * np.minimum(size[i], size[j]) >= num * np.maximum(size[i], size[j])) & ((x[i] == y[i]) | (own[i] != own[j]))
+            found += zip(i[near].tolist(), j[near].tolist(), strict=True)
+        if not found:
+            return
+        i, j = np.array(found).T
+        differ = hamming_of(sketches.take(pa.array(i)), sketches.take(pa.array(j)))
+        good = (den + num) * np.array(differ) <= (den - num) * (size[i] + size[j])
+        yield np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good]
+
+    def compare(t: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        sizes = np.diff(np.append(starts, len(group)))
+        few = pa.array(np.flatnonzero(np.repeat(sizes <= SMALL, sizes)))
+        if len(few):
+            yield from map(batch, small(t.take(few), group[few.to_numpy()]))
+        for k in np.flatnonzero(sizes > SMALL):
+            yield from map(batch, pairs(t.slice(int(starts[k]), int(sizes[k])).to_pylist()))
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
+        held = None
         for part in parts:
-            for r in part.to_pylist():
-                if (r["key"], r["x"], r["y"]) != at:
-                    yield from map(batch, pairs(rows) if len(rows) > 1 else ())
-                    at, rows = (r["key"], r["x"], r["y"]), []
-                rows.append(r)
-        if len(rows) > 1:
-            yield from map(batch, pairs(rows))
+            if held is not None and held.num_rows:
+                part = pa.Table.from_batches([held, part]).combine_chunks().to_batches()[0]
+            key, x, y = (part.column(k).to_numpy() for k in ("key", "x", "y"))
+            group = np.cumsum(np.append(True, (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))) if len(key) else np.zeros(0, np.int64)
+            last = int(np.searchsorted(group, group[-1])) if len(group) else 0  # the last group may go on in the next batch
+            if last:
+                yield from compare(part.slice(0, last), group[:last])
+            held, rest = part.slice(last), group[last:]
+        if held is not None and held.num_rows > 1:
+            yield from compare(held, rest)
 
     def batch(pair: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64())], names=["a", "b"])
