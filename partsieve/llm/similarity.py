@@ -2,7 +2,9 @@
 
 Sets of equal content are one node. Under each key every member is first verified against one of them, the key's hub; the
 links give components; then members of a group that are in different components are compared by their sketches inside
-a task, large groups in tiles of bounded size, and only near pairs leave it. Every pair that shares a key is therefore verified or already connected, so components come out exactly.
+a task, large groups in tiles of bounded size, and only near pairs leave it: first the few nearest of each member, whose
+links merge most of a large group, then all that are near and still apart. Every pair that shares a key is therefore
+verified or already connected, so components come out exactly.
 
 Verification has two steps: the Hamming distance of parity sketches is at most the symmetric difference, so it rules
 pairs out; whole sets are fetched and compared only for the pairs it leaves.
@@ -29,6 +31,8 @@ HUBS = 8
 SMALL = 8
 #: Members of a tile of a group that still has several components.
 TILE = 2048
+#: Nearest members of other components that a member of a tile is first verified against, before all that are near.
+NEAREST = 4
 
 
 @F.arrow_udf(LongType())
@@ -111,24 +115,28 @@ class SimilarityJoin:
         met = self._written(asked.join(groups, "key").select("key", "node", "hub"), "met")
         first = self._written(met.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "first")
         one = self._written(self._linked(first, sizes).select("a", "b"), "links")
-        joined = components(one)
-        rest = met.join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-        parts = rest.groupBy("key", "c").agg(F.count("*").alias("n"))
-        open_keys = self._written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1").drop("parts"), "open-keys")
-        rest = self._written(rest.join(open_keys, "key").select("key", "node", "c", "n").join(sizes, "node"), "open")
-        second = self._written(self._apart(rest).distinct().join(first, ["a", "b"], "left_anti"), "apart")
-        two = self._linked(second, sizes).select("a", "b")
-        every = self._written(one.unionByName(two), "links")
+        every, tested = one, first
+        for nearest in (NEAREST, None):
+            rest = met.join(components(every), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+            parts = rest.groupBy("key", "c").agg(F.count("*").alias("n"))
+            open_keys = self._written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1").drop("parts"), "open-keys")
+            if nearest is None:  # all pairs of small groups have been verified
+                open_keys = open_keys.where(F.col("n") > SMALL)
+            rest = self._written(rest.join(open_keys, "key").select("key", "node", "c", "n").join(sizes, "node"), "open")
+            more = self._written(self._apart(rest, nearest).distinct().join(tested, ["a", "b"], "left_anti"), "apart")
+            every = self._written(every.unionByName(self._linked(more, sizes).select("a", "b")), "links")
+            tested = tested.unionByName(more)
         return every, components(every)
 
-    def _apart(self, rest: DataFrame) -> DataFrame:
-        """Pairs of members of a group that are in different components, near enough in size and in sketch; large groups in tiles."""
+    def _apart(self, rest: DataFrame, nearest: int | None) -> DataFrame:
+        """Pairs of members of a group that are in different components, near enough in size and in sketch; large groups in tiles. nearest: of
+        a member of a group above SMALL, only so many of the nearest."""
         tiles = F.ceil(F.col("n") / TILE).cast("int")
         rest = rest.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
         pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda k: F.struct(F.least("tile", k).alias("x"), F.greatest("tile", k).alias("y")))
         dealt = rest.withColumn("at", F.explode(pairs)).select("key", "at.x", "at.y", "node", "c", "size", "sketch", (F.col("tile") == F.col("at.x")).alias("own"))
         dealt = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-        return dealt.mapInArrow(_compared(self.num, self.den), "a long, b long")
+        return dealt.mapInArrow(_compared(self.num, self.den, nearest), "a long, b long")
 
 
 def _folded(sketches: list[bytes]) -> np.ndarray:
@@ -140,7 +148,7 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
-def _compared(num: int, den: int):
+def _compared(num: int, den: int, nearest: int | None):
     """A tile's members compared by their sketches: all but those of its largest component with all, in blocks."""
 
     def pairs(rows: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -158,7 +166,13 @@ def _compared(num: int, den: int):
             x, y = np.nonzero(near)
             differ = np.bitwise_count(words[i[x]] ^ words[y]).sum(1, dtype=np.int64)
             good = (den + num) * differ <= (den - num) * (size[i[x]] + size[y])
-            yield np.minimum(node[i[x[good]]], node[y[good]]), np.maximum(node[i[x[good]]], node[y[good]])
+            x, y, differ = x[good], y[good], differ[good]
+            if nearest:
+                order = np.lexsort((differ, x))
+                x, y = x[order], y[order]
+                few = np.arange(len(x)) - np.searchsorted(x, x) < nearest
+                x, y = x[few], y[few]
+            yield np.minimum(node[i[x]], node[y]), np.maximum(node[i[x]], node[y])
 
     def small(t: pa.RecordBatch, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         node, c, size, own, x, y = (t.column(k).to_numpy(zero_copy_only=False) for k in ("node", "c", "size", "own", "x", "y"))
