@@ -1,0 +1,167 @@
+"""Passages of WORDS words or more that occur twice, wherever they stand: inside longer lines, across line ends, in short lines.
+
+A text is its sequence of words (A-Z lower-cased); line ends are white space like any other. Among the hashes of its
+GRAM-word grams, each string of WORDS words picks the least (leftmost of equals) as its anchor; neighbouring starts with
+the same anchor are one stretch. Equal strings pick equal anchors, so only stretches whose anchor occurs twice go on.
+Equal stretches are one content with its count; where several contents meet under an anchor, each string of WORDS words
+of each content is hashed and counted. Nothing is sampled: every repeated string of WORDS words is found.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from partsieve.llm.ngram_join import KNOWN, U, _mixed
+from partsieve.llm.paragraph_dedup import paragraph_clusters
+from partsieve.llm.shared import bit_set, with_hit, written
+from partsieve.llm.suffix_dedup import PLACE_BITS, _doubled, _least
+
+#: Words of a repeated string, and of the grams that anchor it.
+WORDS, GRAM = 50, 20
+#: Bit set pages that pre-filter anchors and documents before a shuffle: 8 MB at most.
+FILTER_PAGES = 2048
+#: Stretches of a batch.
+BATCH = 1 << 15
+
+
+class WordHashes:
+    """64-bit hashes of the words of a text, in order."""
+
+    def __init__(self):
+        self._known = {}
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        words, known = text.lower().split(), self._known
+        if len(known) > KNOWN:
+            known.clear()
+        h = [known.get(w) for w in words]
+        if None in h:
+            h = [known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words]
+        return np.array(h, np.uint64)
+
+
+def _grams(a: np.ndarray) -> np.ndarray:
+    """Hash of the GRAM words (16 + 4) at each place."""
+    n = len(a) - GRAM + 1
+    with np.errstate(over="ignore"):
+        four = _doubled(_doubled(a, 1, 0xBF58476D1CE4E5B9), 2, 0x94D049BB133111EB)
+        many = _doubled(_doubled(four, 4, 0xD6E8FEB86659FD93), 8, 0xA0761D6478BD642F)
+        return _mixed(many[:n] * U(0xE7037ED1A0B428DB) + four[16 : 16 + n])
+
+
+def stretches(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First start, number of starts and anchor hash of each stretch of a text's word hashes."""
+    grams, low = _grams(a), U((1 << PLACE_BITS) - 1)
+    anchor = (_least((grams & ~low) | np.arange(len(grams), dtype=np.uint64), WORDS - GRAM + 1) & low).astype(np.int64)
+    new = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+    return new, np.diff(np.append(new, len(anchor))), grams[anchor[new]]
+
+
+def _signed(hashes: list[int]) -> pa.Array:
+    return pa.array(np.array(hashes, np.uint64).view(np.int64))
+
+
+def _runs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for part in parts:
+        raw, rows, at, starts, key, digest = part.column(2).cast(pa.binary()), [], [], [], [], []
+        for row in range(part.num_rows):
+            a = hashes(raw[row].as_py() or b"")
+            if len(a) >= WORDS:
+                first, n, anchors = stretches(a)
+                held = memoryview(a.tobytes())
+                digest += [xxhash.xxh3_64_intdigest(held[8 * i : 8 * (i + k + WORDS - 1)]) for i, k in zip(first.tolist(), n.tolist(), strict=True)]
+                rows.append(np.full(len(first), row))
+                at.append(first)
+                starts.append(n)
+                key.append(anchors)
+            if rows and (len(digest) >= BATCH or row == part.num_rows - 1):
+                which = pa.array(np.concatenate(rows))
+                columns = [part.column(0).take(which), part.column(1).take(which), pa.array(np.concatenate(at), pa.int32()), pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(key).view(np.int64)), _signed(digest)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "tx", "at", "starts", "key", "digest"])
+                rows, at, starts, key, digest = [], [], [], [], []
+
+
+def _strings(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, contents) -> (key, digest, off, string): a hash for each string of WORDS words of each content."""
+    hashes = WordHashes()
+    for part in parts:
+        for text, contents in zip(part.column(0).cast(pa.binary()), part.column(1), strict=True):
+            held, key, digest, off, string = memoryview(hashes(text.as_py()).tobytes()), [], [], [], []
+            for c in contents.as_py():
+                key += [c["key"]] * c["starts"]
+                digest += [c["digest"]] * c["starts"]
+                off += range(c["starts"])
+                string += [xxhash.xxh3_64_intdigest(held[8 * i : 8 * (i + WORDS)]) for i in range(c["at"], c["at"] + c["starts"])]
+            columns = [pa.array(key, pa.int64()), pa.array(digest, pa.int64()), pa.array(off, pa.int32()), _signed(string)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "off", "string"])
+
+
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per maximal repeated passage: id, start (word number from 0), n_words, first_id and first_start (the first
+    place, in id and word order, of the same words: it stays), cluster_size (the most places of a string of WORDS words
+    in it), removed.
+
+    Places in one document count. Null ids come first; rows that share an id and a text are the same document. Null and
+    empty texts have no passages. Other columns are not read; an empty table gives no rows.
+    """
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tx"), text.alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    runs = written(rows.mapInArrow(_runs, f"id {kind}, tx long, at int, starts int, key long, digest long"), "passage-runs")
+    several = written(runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "passage-anchors")
+    asked = with_hit(runs, bit_set(several, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
+    places = written(asked.join(several, "key", "left_semi").select("id", "tx", "at", "starts", "key", "digest").distinct(), "passage-places")
+    one = F.min(F.struct("id", "tx", "at", "starts")).alias("one")
+    contents = written(places.groupBy("key", "digest").agg(F.count("*").alias("n"), one), "passage-contents")
+    met = contents.groupBy("key").agg(F.count("*").alias("met")).where("met > 1").select("key")
+    open_ = written(contents.join(met, "key", "left_semi").select("key", "digest", "n", "one"), "passage-open")
+    wanted = open_.groupBy("one.id", "one.tx").agg(F.collect_list(F.struct("key", "digest", "one.at", "one.starts")).alias("contents"))
+    wanted = written(wanted, "passage-asked")
+    found = with_hit(rows, bit_set(wanted, ["id", "tx"], FILTER_PAGES), ["id", "tx"], FILTER_PAGES).where("hit").drop("hit")
+    found = found.dropDuplicates(["id", "tx"]).withColumnsRenamed({"id": "_id", "tx": "_tx"})
+    found = found.join(wanted, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tx") == F.col("tx"))).select("text", "contents")
+    strings = found.mapInArrow(_strings, "key long, digest long, off int, string long").join(open_, ["key", "digest"])
+    strings = strings.select("key", "digest", "off", "string", "n", F.struct("one.id", "one.tx", (F.col("one.at") + F.col("off")).alias("at")).alias("place"))
+    strings = written(strings, "passage-strings")
+    shared = strings.groupBy("string").agg(F.sum("n").alias("size"), F.min("place").alias("first")).where("size > 1")
+    opened = strings.drop("n").join(shared, "string").select("key", "digest", F.col("off").alias("from"), F.col("off").alias("to"), "first", "size")
+    place = F.struct("one.id", "one.tx", "one.at").alias("first")
+    alike = contents.where("n > 1").join(open_, ["key", "digest"], "left_anti")
+    alike = alike.select("key", "digest", F.lit(0).alias("from"), (F.col("one.starts") - 1).alias("to"), place, F.col("n").alias("size"))
+    hit = places.join(opened.unionByName(alike), ["key", "digest"])
+    # where a range of starts begins in the document, and how far from there its first place is
+    begin = F.col("at") + F.col("from")
+    hit = hit.select("id", "tx", begin.alias("from"), (F.col("at") + F.col("to")).alias("to"), F.col("first.id").alias("first_id"), F.col("first.tx").alias("first_tx"), (F.col("first.at") - begin).alias("shift"), "size")
+    alike_at = Window.partitionBy("id", "tx", "first_id", "first_tx", "shift").orderBy("from")
+    hit = hit.withColumn("new", F.coalesce((F.col("from") > F.lag("to").over(alike_at) + 1).cast("int"), F.lit(1)))
+    hit = hit.withColumn("island", F.sum("new").over(alike_at))
+    out = hit.groupBy("id", "tx", "first_id", "first_tx", "shift", "island").agg(F.min("from").alias("start"), F.max("to").alias("to"), F.max("size").alias("cluster_size"))
+    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("tx") == F.col("first_tx")) & (F.col("shift") == 0)
+    return out.select(
+        F.col("id").alias(id_col),
+        "start",
+        (F.col("to") - F.col("start") + WORDS).alias("n_words"),
+        "first_id",
+        (F.col("start") + F.col("shift")).alias("first_start"),
+        "cluster_size",
+        (~same).alias("removed"),
+    )
+
+
+def passage_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Near-equal paragraphs and repeated passages in one table: id, unit, start, n_words, first_id, first_start,
+    cluster_size, removed.
+
+    unit "paragraph": lines by MinHash and Jaccard similarity (paragraph_clusters), start is a
+    line number; unit "passage": equal strings of WORDS words or more (passages), start is a word number.
+    """
+    near = paragraph_clusters(docs, id_col=id_col, text_col=text_col).withColumnsRenamed({"paragraph": "start", "first_paragraph": "first_start"})
+    both = near.withColumn("unit", F.lit("paragraph")).unionByName(passages(docs, id_col, text_col).withColumn("unit", F.lit("passage")))
+    return both.select(id_col, "unit", "start", "n_words", "first_id", "first_start", "cluster_size", "removed")

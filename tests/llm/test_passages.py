@@ -1,0 +1,53 @@
+"""Repeated passages against brute force, and planted where whole lines miss them."""
+
+import random
+from collections import defaultdict
+
+from partsieve.llm.paragraph_dedup import paragraph_clusters
+from partsieve.llm.passages import WORDS, passage_clusters, passages
+
+SF = "/root/testdata/sf0.001"
+
+
+def _text(r, n):
+    return [f"w{r.randrange(10**6)}" for _ in range(n)]
+
+
+def test_passages_are_all_repeated_strings(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    where, texts = defaultdict(list), {}
+    for r in docs.collect():
+        w = texts[r["doc_id"]] = (r["text"] or "").encode().lower().split()
+        for i in range(len(w) - WORDS + 1):
+            where[tuple(w[i : i + WORDS])].append((r["doc_id"], i))
+    want = {p: min(ps) for ps in where.values() if len(ps) > 1 for p in ps}
+    got = {}
+    for r in passages(docs).collect():
+        for k in range(r["n_words"] - WORDS + 1):
+            place = (r["doc_id"], r["start"] + k)
+            assert place not in got
+            got[place] = (r["first_id"], r["first_start"] + k)
+            assert r["removed"] == (got[place] != place)
+    assert got == want and want
+
+
+def test_passage_in_long_and_in_short_lines(spark):
+    r = random.Random(3)
+    passage = _text(r, 53)
+    inside = " ".join(_text(r, 400) + passage + _text(r, 700))
+    inside_too = " ".join(_text(r, 900) + [x.upper() for x in passage] + _text(r, 100))
+    short = "\n".join(" ".join(passage[i : i + 9]) for i in range(0, 53, 9))
+    docs = spark.createDataFrame([(1, inside), (2, inside_too), (3, short), (4, " ".join(_text(r, 800)))], "doc_id long, text string")
+    assert not paragraph_clusters(docs).count()
+    rows = passage_clusters(docs).collect()
+    mine = {(x["doc_id"], x["start"], x["n_words"], x["first_id"], x["first_start"], x["cluster_size"], x["removed"]) for x in rows if x["unit"] == "passage"}
+    assert mine == {(1, 400, 53, 1, 400, 3, False), (2, 900, 53, 1, 400, 3, True), (3, 0, 53, 1, 400, 3, True)}
+
+
+def test_null_ids_copies_and_no_rows(spark):
+    r = random.Random(4)
+    a, b = " ".join(_text(r, 60)), " ".join(_text(r, 60))
+    docs = spark.createDataFrame([(None, a), (1, a), (1, a), (1, b), (2, None), (3, ""), (4, "few words")], "doc_id long, text string")
+    got = sorted((x["doc_id"] or 0, x["cluster_size"], x["removed"]) for x in passages(docs).collect())
+    assert got == [(0, 2, False), (1, 2, True)]
+    assert passage_clusters(docs.limit(0)).count() == 0
