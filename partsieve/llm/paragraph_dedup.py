@@ -1,6 +1,6 @@
 """Substring deduplication by paragraphs: MinHash banding, exact verification, clusters.
 
-A paragraph is a line. Equal paragraphs are one node; each distinct one gets BANDS keys of BAND_ROWS minima over its
+A paragraph is a line (passages.py adds runs of short lines and passages inside lines). Equal paragraphs are one node; each distinct one gets BANDS keys of BAND_ROWS minima over its
 word shingles. Bands are tuned for recall: two paragraphs of similarity 0.8 share no key with probability
 (1 - 0.8 ** 4) ** 24, three in a million. Colliding paragraphs are verified by the exact Jaccard similarity of their
 shingles, links are clustered by connected components, and of each cluster all but the first paragraph are removed.
@@ -27,12 +27,23 @@ BANDS, BAND_ROWS = 24, 4
 BLOCK = 1 << 15
 
 
-def _paragraphs(text: bytes, shortest: int) -> Iterator[tuple[int, int, bytes]]:
-    """Number, words and content of the lines of at least so many words."""
+def _paragraphs(text: bytes, shortest: int, joined: bool = False) -> Iterator[tuple[int, int, bytes]]:
+    """Number, words and content of the lines of at least so many words; joined: also of the runs of shorter lines between
+    them that have so many words together, by the number of their first line with a word."""
+    run, first, held = [], 0, 0
     for i, line in enumerate(text.split(b"\n")):
         n = len(line.split())
         if n >= shortest:
+            if held >= shortest:
+                yield first, held, b"\n".join(run)
+            run, held = [], 0
             yield i, n, line
+        elif joined and n:
+            first = first if run else i
+            run.append(line)
+            held += n
+    if held >= shortest:
+        yield first, held, b"\n".join(run)
 
 
 def _node(members: np.ndarray) -> int:
@@ -59,13 +70,13 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _signatures(n: int, shortest: int):
+def _signatures(n: int, shortest: int, joined: bool):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for part in parts:
             raw, at, where, words, sets, held = part.column(1).cast(pa.binary()), [], [], [], [], 0
             for row in range(part.num_rows):
-                for i, n_words, line in _paragraphs(raw[row].as_py() or b"", shortest):
+                for i, n_words, line in _paragraphs(raw[row].as_py() or b"", shortest, joined):
                     at.append(row)
                     where.append(i)
                     words.append(n_words)
@@ -81,13 +92,13 @@ def _signatures(n: int, shortest: int):
     return run
 
 
-def _members(n: int, shortest: int):
+def _members(n: int, shortest: int, joined: bool):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for part in parts:
             for wanted, t in zip(part.column(0), part.column(1).cast(pa.binary()), strict=True):
                 left, found = set(wanted.as_py()), {}
-                for _, _, line in _paragraphs(t.as_py() or b"", shortest):
+                for _, _, line in _paragraphs(t.as_py() or b"", shortest, joined):
                     s = shingles(line)
                     if (node := _node(s)) in left:
                         found[node] = s.tobytes()
@@ -97,19 +108,20 @@ def _members(n: int, shortest: int):
     return run
 
 
-def paragraph_clusters(docs: DataFrame, n: int = SHINGLE, num: int = 80, den: int = 100, shortest: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def paragraph_clusters(docs: DataFrame, n: int = SHINGLE, num: int = 80, den: int = 100, shortest: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", joined: bool = False) -> DataFrame:
     """One row per paragraph that has a near copy: id, paragraph (line number from 0), n_words, first_id and
     first_paragraph (the cluster's first in id, line order: it stays), cluster_size, removed.
 
-    Lines under shortest words, null and empty texts have no paragraphs. A-Z are lower-cased. Null ids come first; rows
+    Lines under shortest words are left out; joined: runs of them are one paragraph each (its first line's number) if they
+    have so many words together. Null and empty texts have no paragraphs. A-Z are lower-cased. Null ids come first; rows
     that share an id and a text are the same document, whose paragraphs are counted once. Other columns are not read;
     an empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     shape = f"id {kind}, paragraph int, n_words int, size long, node long, sketch binary, keys array<long>"
-    sets = written(texts.mapInArrow(_signatures(n, shortest), shape), "paragraph-signatures")
-    _, joined = SimilarityJoin(sets, texts, _members(n, shortest), num, den, "paragraph").links()
+    sets = written(texts.mapInArrow(_signatures(n, shortest, joined), shape), "paragraph-signatures")
+    _, joined = SimilarityJoin(sets, texts, _members(n, shortest, joined), num, den, "paragraph").links()
     rows = sets.select("id", "paragraph", "n_words", "node").distinct().join(joined, "node", "left")
     rows = written(rows.select("id", "paragraph", "n_words", F.coalesce("component", "node").alias("group")), "paragraph-rows")
     here = F.struct("id", "paragraph")

@@ -159,9 +159,9 @@ def passage_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Near-equal paragraphs and repeated passages in one table: id, unit, start, n_words, first_id, first_start,
     cluster_size, removed.
 
-    unit "paragraph": lines by MinHash and Jaccard similarity (paragraph_clusters), start is a
+    unit "paragraph": lines and runs of short lines by MinHash and Jaccard similarity (paragraph_clusters), start is a
     line number; unit "passage": equal strings of WORDS words or more (passages), start is a word number.
     """
-    near = paragraph_clusters(docs, id_col=id_col, text_col=text_col).withColumnsRenamed({"paragraph": "start", "first_paragraph": "first_start"})
+    near = paragraph_clusters(docs, id_col=id_col, text_col=text_col, joined=True).withColumnsRenamed({"paragraph": "start", "first_paragraph": "first_start"})
     both = near.withColumn("unit", F.lit("paragraph")).unionByName(passages(docs, id_col, text_col).withColumn("unit", F.lit("passage")))
     return both.select(id_col, "unit", "start", "n_words", "first_id", "first_start", "cluster_size", "removed")

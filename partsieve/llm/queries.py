@@ -48,7 +48,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-equal paragraphs and repeated passages of 50 words or more wherever they stand; which of them go."""
+    """Near-equal paragraphs, short lines joined, and repeated passages of 50 words or more wherever they stand; which of them go."""
     return passage_clusters(_table(spark, sf_dir, "documents"))
 
 

@@ -33,15 +33,18 @@ def test_passages_are_all_repeated_strings(spark):
 
 def test_passage_in_long_and_in_short_lines(spark):
     r = random.Random(3)
-    passage = _text(r, 53)
+    passage, line = _text(r, 53), _text(r, 30)
     inside = " ".join(_text(r, 400) + passage + _text(r, 700))
     inside_too = " ".join(_text(r, 900) + [x.upper() for x in passage] + _text(r, 100))
     short = "\n".join(" ".join(passage[i : i + 9]) for i in range(0, 53, 9))
-    docs = spark.createDataFrame([(1, inside), (2, inside_too), (3, short), (4, " ".join(_text(r, 800)))], "doc_id long, text string")
+    near = [*line[:15], "other", *line[15:]]
+    laid = ["\n".join(" ".join(x[i : i + 8]) for i in range(0, len(x), 8)) for x in (line * 4, [*line * 3, *near])]
+    docs = spark.createDataFrame([(1, inside), (2, inside_too), (3, short), (4, " ".join(_text(r, 800))), (5, laid[0]), (6, laid[1])], "doc_id long, text string")
     assert not paragraph_clusters(docs).count()
     rows = passage_clusters(docs).collect()
-    mine = {(x["doc_id"], x["start"], x["n_words"], x["first_id"], x["first_start"], x["cluster_size"], x["removed"]) for x in rows if x["unit"] == "passage"}
+    mine = {(x["doc_id"], x["start"], x["n_words"], x["first_id"], x["first_start"], x["cluster_size"], x["removed"]) for x in rows if x["unit"] == "passage" and x["doc_id"] < 5}
     assert mine == {(1, 400, 53, 1, 400, 3, False), (2, 900, 53, 1, 400, 3, True), (3, 0, 53, 1, 400, 3, True)}
+    assert {(x["doc_id"], x["first_id"], x["removed"]) for x in rows if x["unit"] == "paragraph"} == {(5, 5, False), (6, 5, True)}
 
 
 def test_null_ids_copies_and_no_rows(spark):
