@@ -6,11 +6,14 @@ anchor; neighbouring starts with the same anchor are one stretch. Equal strings
 stretches whose anchor content occurs twice go on. Equal stretches are pre-aggregated to one content with its count;
 contents that meet under an anchor go to a shard, whose suffixes are sorted by external induced sorting
 (induced_sort), and starts whose suffix shares LENGTH bytes with another one are repeats. Shards are cut by anchor, not
-by document, and can be larger than a task's memory.
+by document, and are of SHARD_BYTES on average: a task holds its strings in memory; the sorter's queues can spill.
 
 An anchor under which very many contents meet is split before sorting: two equal strings that hold its CORE bytes share
 half of the remaining bytes at its right or at its left, so each content goes to one group by the bytes at the right
-and one by those at the left, and both find between them every pair.
+and one by those at the left, and both find between them every pair. Contents at the edge of a passage that many texts
+share agree there and would still meet in one group, which grows with the copies. Under an anchor of more than HOT
+contents each string of LENGTH bytes is therefore hashed and counted in Spark instead; no other group is larger than
+HOT contents, each of at most 2 * LENGTH - CORE bytes.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ LENGTH, CORE = 200, 100
 FILTER_PAGES = 2048
 #: Contents under an anchor from which on they are split by the bytes around it.
 MANY = 64
+#: Contents under an anchor from which on their strings are counted, not sorted: bounds a group at a few MB.
+HOT = 1 << 14
 #: Bytes of a shard, about.
 SHARD_BYTES = 6 << 20
 #: Bytes of text whose windows are hashed at once.
@@ -162,6 +167,20 @@ def _sorted_shard(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "from", "to"])
 
 
+def _strings(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, digest, data) -> (key, digest, off, string): a hash for each string of LENGTH bytes of each content."""
+    for part in parts:
+        rows, off, string = [], [], []
+        for row, data in enumerate(part.column(2).to_pylist()):
+            n = len(data) - LENGTH + 1
+            rows += [row] * n
+            off += range(n)
+            string += [xxhash.xxh3_64_intdigest(data[i : i + LENGTH]) for i in range(n)]
+        rows = pa.array(rows, pa.int64())
+        columns = [part.column(0).take(rows), part.column(1).take(rows), pa.array(off, pa.int32()), pa.array(np.array(string, np.uint64).view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "off", "string"])
+
+
 def repeated_starts(rows: DataFrame) -> DataFrame:
     """rows: id, tx (hash of the text), text. For each text that has repeats: id, tx, ranges (from, to) of starts."""
     kind = rows.schema["id"].dataType.simpleString()
@@ -181,16 +200,21 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
     half = (LENGTH - CORE) // 2
     right = F.xxhash64("key", F.lit("right"), F.substring("data", F.col("core") + 1, F.lit(CORE + half)))
     left = F.xxhash64("key", F.lit("left"), F.when(F.col("core") >= half, F.substring("data", F.col("core") - half + 1, F.lit(CORE + half))).otherwise(F.col("data")))
-    groups = F.when(F.col("met") > MANY, F.array(right, left)).otherwise(F.array("key"))
+    counted = F.array(F.lit(None).cast("long"))
+    groups = F.when(F.col("met") > HOT, counted).when(F.col("met") > MANY, F.array(right, left)).otherwise(F.array("key"))
     cut = written(cut.select("key", "digest", F.explode(groups).alias("group"), "data"), "suffix-cut")
-    live = cut.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.length("data")).alias("size")).where("n > 1")
+    strings = cut.where("group is null").select("key", "digest", "data").mapInArrow(_strings, "key long, digest long, off int, string long")
+    strings = written(strings, "suffix-strings")
+    twice = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
+    hot = strings.join(twice, "string", "left_semi").select("key", "digest", F.col("off").alias("from"), F.col("off").alias("to"))
+    live = cut.where("group is not null").groupBy("group").agg(F.count("*").alias("n"), F.sum(F.length("data")).alias("size")).where("n > 1")
     live = written(live, "suffix-groups")
     total = live.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     dealt = cut.join(live.select("group"), "group", "left_semi").repartition(int(shards), "group").select("key", "digest", "data")
     found = written(dealt.mapInArrow(_sorted_shard, "key long, digest long, from int, to int"), "suffix-sorted")
     alike = contents.where("n > 1").select("key", "digest", F.lit(0).alias("from"), (F.col("one.starts") - 1).alias("to"))
-    ranges = found.unionByName(alike).groupBy("key", "digest").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
+    ranges = found.unionByName(hot).unionByName(alike).groupBy("key", "digest").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
     hit = places.join(ranges, ["key", "digest"]).select("id", "tx", "at", F.explode("ranges").alias("r"))
     hit = hit.select("id", "tx", F.struct((F.col("at") + F.col("r.from")).alias("from"), (F.col("at") + F.col("r.to")).alias("to")).alias("range"))
     return hit.groupBy("id", "tx").agg(F.collect_list("range").alias("ranges"))
