@@ -66,6 +66,11 @@ LICENSES = [
 ]
 LICENSE_SEPARATORS = [";", " and ", " / ", ", "]
 
+# Characters of component names and their plain spellings.
+ODD_CHARACTERS = {
+    "\u00b5": "u", "\u03bc": "u", "\u2126": "ohm", "\u03a9": "ohm", "\u03c9": "ohm", "\u2013": "-", "\u2014": "-", "\u2018": "'", "\u2019": "'",
+    "\u201c": '"', "\u201d": '"', "\u00b1": "+-", "\u00d7": "x", "\u2032": "'", "\u00b0": "deg",
+}
 # Unit spellings of lower-cased component names, applied in order.
 UNITS = [
     (r"(\d+(?:\.\d+)?)\s*kohm", "$1k"),
@@ -116,10 +121,10 @@ def license_spdx(text: Column) -> Column:
 
 def component_name(name: Column) -> Column:
     """Normalized component name: one spelling of spaces, units and articles; null gives an empty name."""
-    t = strip(F.coalesce(name, F.lit("")))
-    for odd, plain in (("Ω", "ohm"), ("Ω", "ohm"), ("μ", "u"), ("µ", "u"), ("°", "deg"), ("±", "+-")):
+    t = F.coalesce(name, F.lit(""))
+    for odd, plain in ODD_CHARACTERS.items():
         t = F.replace(t, F.lit(odd), F.lit(plain))
-    t = F.lower(collapse(t))
+    t = F.lower(collapse(strip(t)))
     t = F.when(t.isin(NULL_WORDS), "").otherwise(t)
     for pattern, plain in UNITS:
         t = F.regexp_replace(t, pattern, plain)

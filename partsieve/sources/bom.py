@@ -12,13 +12,35 @@ from pyspark.sql import functions as F
 
 # Header names of each canonical column, the preferred first (lower case).
 HEADERS = {
-    "reference": ["reference", "references", "ref", "refdes", "designator", "designators", "part"],
-    "component_name": ["value", "name", "component", "comment", "description", "designation"],
-    "quantity_raw": ["qty", "quantity", "qnt", "count"],
-    "manufacturer": ["manufacturer", "mfr", "mfg", "brand"],
-    "part_number": ["mpn", "part number", "manufacturer part number", "mfr part #", "lcsc part #", "lcsc"],
-    "unit_cost_raw": ["unit price", "unit cost", "price", "cost"],
-    "footprint": ["footprint", "package", "case"],
+    "reference": [
+        "designator", "reference", "ref", "refdes", "references", "designation", "part/designator", "ref name (refdes)", "refs",
+        "reference(s)", "designators", "reference designator", "reference designators", "ref des", "parts", "line-note", "line note",
+    ],
+    "component_name": [
+        "value", "description", "device", "name", "part", "comment", "component", "value5", "part description", "part name", "cmp name",
+        "libpart", "libref", "comments", "descr", "designitemid", "parttype",
+    ],
+    "quantity_raw": [
+        "qty", "quantity", "qnty", "count", "qty:", "quantity per pcb", "num used", "build quantity", "order qty", "order qty.",
+    ],
+    "manufacturer": [
+        "manufacturer", "mf", "vendor", "manufacturer 1", "manufacturer (avl)", "supplier", "manufacturer name", "manufacturers name",
+        "mfr.", "mfg", "supplier name",
+    ],
+    "part_number": [
+        "mpn", "manufacturer part", "partnumber", "manufacturer p/n", "partno", "part number", "part no", "manufacture part number",
+        "manufacturer part number 1", "part no and description", "man. p/n", "sup. p/n", "manufacturer part number",
+        "manufacturers part number", "manufacturer's part number", "mfr. no", "mfr. no.", "manf part #", "mfg part #",
+        "digi-key part number", "digikey", "mouser part number", "mouser", "lcsc", "lcsc part #", "lcsc part number", "supplier pn",
+        "supplier part number", "supplier p/n", "part no.", "p/n", "spn",
+    ],
+    "unit_cost_raw": [
+        "cost", "price", "unit price $", "cost/pcs", "price/part", "cost (feb-16)", "price (ex. vat)", "unit price", "unit cost",
+        "extended price", "total cost", "price each",
+    ],
+    "footprint": [
+        "footprint", "package", "pattern", "case/package", "case", "pcb footprint", "footprint lib",
+    ],
 }
 PREAMBLE = {"", "source:", "date:", "tool:", "generator:"}
 SHAPE = "path string, line int, " + ", ".join(f"{c} string" for c in HEADERS)
