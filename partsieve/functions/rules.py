@@ -96,8 +96,8 @@ ONE_LETTER = {
     "r": "resistor", "c": "capacitor", "l": "inductor", "d": "diode", "q": "transistor", "u": "ic", "j": "connector", "p": "connector", "f": "fuse",
     "y": "crystal", "x": "crystal", "k": "relay", "t": "transformer", "m": "motor", "s": "switch", "e": "antenna", "w": "wire", "h": "mechanical",
 }
-MULTIPLIERS = {"p": 1e-12, "n": 1e-9, "u": 1e-6, "m": 1e-3, "k": 1e3}
-UNIT_OF = {"ohm": "ohm", "f": "farad", "h": "henry"}
+MULTIPLIERS = {"p": 1e-12, "n": 1e-9, "u": 1e-6, "m": 1e-3, "k": 1e3, "meg": 1e6, "g": 1e9}
+UNIT_OF = {"ohm": "ohm", "f": "F", "h": "H", "v": "V", "a": "A", "hz": "Hz"}
 
 
 def first_match(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -155,11 +155,25 @@ def quantity(reference: Column, raw: Column) -> Column:
     return F.coalesce(to_int(raw), counted)
 
 
-def electrical_value(name: Column) -> Column:
-    """struct(value, unit) of a normalized name such as 4.7uf or 10k (ohm if the category is a resistor's)."""
-    pattern = r"^(\d+(?:\.\d+)?)\s*([pnumk]?)(ohm|f|h)\b"
+def electrical_value(name: Column, category: Column) -> Column:
+    """struct(value, unit) of a normalized name: with a unit (4.7uf), R notation (4k7), or a bare multiplier of a resistor (10k)."""
+    t = strip(name)
     scale = F.create_map(*[F.lit(x) for pair in MULTIPLIERS.items() for x in pair])
-    unit = F.create_map(*[F.lit(x) for pair in UNIT_OF.items() for x in pair])
-    number = first_group(name, pattern).cast("double")
-    value = number * F.coalesce(F.try_element_at(scale, F.regexp_extract(name, pattern, 2)), F.lit(1.0))
-    return F.struct(value.alias("value"), F.try_element_at(unit, F.regexp_extract(name, pattern, 3)).alias("unit"))
+    units = F.create_map(*[F.lit(x) for pair in UNIT_OF.items() for x in pair])
+    with_unit = r"(?i)^(\d+(?:\.\d+)?)\s*(p|n|u|m|k|meg|g)?(ohm|f|h|v|a|hz)\b"
+    r_notation = r"(?i)^(\d+)(k|m|meg|u|n|p|r)(\d+)$"
+    bare = r"(?i)^(\d+(?:\.\d+)?)\s*(k|m|meg)$"
+    by = lambda pattern, group: F.coalesce(F.try_element_at(scale, F.lower(F.regexp_extract(t, pattern, group))), F.lit(1.0))
+    plain = F.struct((F.regexp_extract(t, with_unit, 1).try_cast("double") * by(with_unit, 2)).alias("value"), F.try_element_at(units, F.lower(F.regexp_extract(t, with_unit, 3))).alias("unit"))
+    sep = F.lower(F.regexp_extract(t, r_notation, 2))
+    unit = (
+        F.when(sep.isin("r", "k", "meg"), "ohm")
+        .when(sep.isin("u", "n", "p"), F.when(category == "inductor", "H").otherwise("F"))
+        .when(category == "inductor", "H")
+        .when(category == "resistor", "ohm")
+    )
+    number = F.concat(F.regexp_extract(t, r_notation, 1), F.lit("."), F.regexp_extract(t, r_notation, 3)).try_cast("double")
+    inner = F.struct((number * by(r_notation, 2)).alias("value"), unit.alias("unit"))
+    short = F.struct((F.regexp_extract(t, bare, 1).try_cast("double") * by(bare, 2)).alias("value"), F.lit("ohm").alias("unit"))
+    found = F.when(t.rlike(with_unit), plain).when(t.rlike(r_notation) & unit.isNotNull(), inner).when(t.rlike(bare) & (category == "resistor"), short)
+    return F.coalesce(found, F.struct(F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("unit")))

@@ -91,10 +91,35 @@ _PARTS = "VALUES (1, 'R1, R2', ' 10 kohm ', 'RC0603'), (2, 'SW3', 'The Button',
 (4, 'capacitor', '100nf', NULL, 1, 0.0000001, 'farad'), (5, NULL, '', 'LM317', NULL, NULL, NULL), (6, 'battery', 'capacitor 22pf', NULL, 1, NULL, NULL), (7, 'diode', '220ohm', NULL, 1, 220.0, 'ohm'))
 AS v(id, category, name, mpn, quantity, value, unit)""".replace("0.0000047", "CAST(4.7e-6 AS DOUBLE)").replace("0.0000001", "CAST(1e-7 AS DOUBLE)").replace("220.0", "CAST(220.0 AS DOUBLE)"))
 def part_fields(s: SparkSession, d: str) -> DataFrame:
-    """Category, name, part number, quantity and value of parts-list rows."""
+    """Category, name, part number, quantity and value of parts-list rows; its SQL has no category for the value and spells units out (part_values is the whole operator)."""
     rows = s.sql(f"SELECT col1 AS id, col2 AS reference, col3 AS raw, col4 AS number FROM {_PARTS}").withColumn("name", rules.component_name(F.col("raw")))
-    value = rules.electrical_value(F.col("name"))
-    return rows.select("id", rules.designator_category(F.col("reference")).alias("category"), "name", rules.part_number(F.col("number")).alias("mpn"), rules.quantity(F.col("reference"), F.lit(None).cast("string")).cast("int").alias("quantity"), F.round(value["value"], 9).alias("value"), value["unit"].alias("unit"))
+    value = rules.electrical_value(F.col("name"), F.lit(None).cast("string"))
+    unit = F.when(value["unit"] == "F", "farad").when(value["unit"] == "H", "henry").otherwise(value["unit"])
+    return rows.select("id", rules.designator_category(F.col("reference")).alias("category"), "name", rules.part_number(F.col("number")).alias("mpn"), rules.quantity(F.col("reference"), F.lit(None).cast("string")).cast("int").alias("quantity"), F.round(value["value"], 9).alias("value"), unit.alias("unit"))
+
+
+_KINDS = ["R", "C", "L", "SW", "BT", "D"]
+_SPELLED = [" kOhm", "k", "K7", "u2", "meg5", "m3", "MEG", " nF", "uH", "R", "R4", " Hz", "mV", "g", ""]
+_ROWS_SQL = """SELECT l_orderkey, l_linenumber, ([{kinds}])[l_partkey % 6 + 1] || l_linenumber AS reference, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ([{spelled}])[l_suppkey % 15 + 1] AS raw, p_brand,
+l_quantity FROM lineitem JOIN part ON p_partkey = l_partkey""".format(kinds=", ".join(f"'{x}'" for x in _KINDS), spelled=", ".join(f"'{x}'" for x in _SPELLED))
+
+
+# category and value by hand for each kind and spelling, as the reference has them: (spelling, factor, unit), with (kind) where the category decides
+@query(f"""WITH r AS ({_ROWS_SQL}), v AS (SELECT *, regexp_extract(reference, '^[A-Z]+') AS k, regexp_extract(raw, '[^0-9].*$') AS s, l_quantity AS q FROM r)
+SELECT l_orderkey, l_linenumber, CASE k WHEN 'R' THEN 'resistor' WHEN 'C' THEN 'capacitor' WHEN 'L' THEN 'inductor' WHEN 'SW' THEN 'switch' WHEN 'BT' THEN 'battery' WHEN 'D' THEN 'diode' END AS category, p_brand AS mpn, CAST(1 AS BIGINT) AS quantity,
+CASE WHEN s IN (' kOhm', 'k') AND k = 'R' THEN q * 1e3 WHEN s = 'K7' THEN (q + 0.7) * 1e3 WHEN s = 'u2' THEN (q + 0.2) * 1e-6 WHEN s = 'meg5' THEN (q + 0.5) * 1e6 WHEN s = 'm3' AND k IN ('R', 'L') THEN (q + 0.3) * 1e-3
+WHEN s = 'MEG' AND k = 'R' THEN q * 1e6 WHEN s = ' nF' THEN q * 1e-9 WHEN s = 'uH' THEN q * 1e-6 WHEN s = 'R' THEN q WHEN s = 'R4' THEN q + 0.4 WHEN s = ' Hz' THEN q WHEN s = 'mV' THEN q * 1e-3 END AS value,
+CASE WHEN s IN (' kOhm', 'k', 'MEG') AND k = 'R' THEN 'ohm' WHEN s IN ('K7', 'meg5', 'R', 'R4') THEN 'ohm' WHEN s = 'u2' AND k = 'L' THEN 'H' WHEN s IN ('u2', ' nF') THEN 'F' WHEN s = 'm3' AND k = 'L' THEN 'H' WHEN s = 'm3' AND k = 'R' THEN 'ohm'
+WHEN s = 'uH' THEN 'H' WHEN s = ' Hz' THEN 'Hz' WHEN s = 'mV' THEN 'V' END AS unit FROM v""")
+def part_values(s: SparkSession, d: str) -> DataFrame:
+    """Category, part number, quantity and value of every line item; designators and names are made from keys and quantities."""
+    made = lambda values, key: F.element_at(F.array(*map(F.lit, values)), (F.col(key) % len(values) + 1).cast("int"))
+    rows = t(s, d, "lineitem").join(t(s, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    reference = F.concat(made(_KINDS, "l_partkey"), F.col("l_linenumber").cast("string"))
+    name = rules.component_name(F.concat(F.col("l_quantity").cast("long").cast("string"), made(_SPELLED, "l_suppkey")))
+    category = rules.designator_category(reference)
+    value = rules.electrical_value(name, category)
+    return rows.select("l_orderkey", "l_linenumber", category.alias("category"), rules.part_number(F.col("p_brand")).alias("mpn"), rules.quantity(reference, F.lit(None).cast("string")).alias("quantity"), value["value"].alias("value"), value["unit"].alias("unit"))
 
 
 @query("SELECT p_partkey, upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) AS t FROM part WHERE p_type NOT LIKE '% %'")
