@@ -76,6 +76,15 @@ def license_mentions(s: SparkSession, d: str) -> DataFrame:
     return t(s, d, "documents").select("doc_id", found.alias("license"))
 
 
+_LICENSE_CASES = " ".join(f"WHEN regexp_matches(text, '(?i){pattern}') THEN '{spdx}'" for pattern, spdx in rules.LICENSES)
+
+
+@query(f"SELECT doc_id, CASE {_LICENSE_CASES} END AS license FROM documents")
+def license_documents(s: SparkSession, d: str) -> DataFrame:
+    """The first licence of the full rule table that a document mentions."""
+    return t(s, d, "documents").select("doc_id", rules.first_match(F.col("text"), rules.LICENSES).alias("license"))
+
+
 _NAMES = "VALUES (1, 'Apache License 2.0'), (2, 'MIT'), (3, 'CC BY-SA 4.0; GPL v3'), (4, ''), (5, NULL), (6, 'CERN-OHL-S-2.0 and MIT'), (7, 'who knows'), (8, 'BSD 3-Clause'), (9, 'Public Domain')"
 
 
