@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partsieve.llm.shared import written
+from partsieve.llm.shared import Tables
 
 
-def _hang(edges: DataFrame, up: bool) -> DataFrame:
-    """Every neighbour of a node (up: larger ones of both directions; else smaller ones) hung on the node's least neighbour."""
+def _hang(tables: Tables, edges: DataFrame, up: bool) -> DataFrame:
+    """Every neighbour of a node (up: larger ones of both directions; else smaller ones) hung on the node's least neighbour.
+
+    The least neighbours are written first, so that the join exchanges both sides and a node of very many edges is split.
+    """
     if up:
         edges = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
+    least = tables.write(edges.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a")), "least")
     hung = edges.join(least, "a")
     moved = hung.where("b > a" if up else "b < a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     if not up:
@@ -23,17 +26,22 @@ def _hang(edges: DataFrame, up: bool) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """node, component (its least reachable node) for every node of the edges (columns a and b of one ordered type).
 
-    Each round halves the height of the trees or so; every one is written to the shared folder, and the loop ends when
-    a round changes nothing. Self loops and nulls are ignored; nodes that only have those are not returned.
+    Each round halves the height of the trees or so; every one is written to the shared folder in place of the one
+    before, and the loop ends when a round changes nothing. Self loops and nulls are ignored; nodes that only have those
+    are not returned.
     """
-    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    tables = Tables(edges.sparkSession, "components")
+    now = tables.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     seen = None
     for _ in range(rounds):
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen or not mark[0]:
             break
         seen = mark
-        now = written(_hang(_hang(now, up=True), up=False), "edges")
+        large = tables.write(_hang(tables, now, up=True), "large")
+        tables.drop(now)
+        now = tables.write(_hang(tables, large, up=False), "edges")
+        tables.drop(large)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()

@@ -19,13 +19,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partsieve.llm.shared import written
-from partsieve.llm.similarity import SimilarityJoin, parity
+from partsieve.llm.shared import Tables, keep_one_of, written
+from partsieve.llm.similarity import SimilarityJoin
 
 #: Bits of a block that is not sent if it can be spared.
 WEAK = 2
 #: Words whose hashes a worker keeps.
 KNOWN = 1 << 19
+#: Nodes that a task remembers to have sent.
+SEEN = 1 << 19
 U = np.uint64
 
 
@@ -36,6 +38,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def grams(a: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words at each place of a text's word hashes; fewer words than n are one gram together."""
+    n = min(n, len(a))
+    if not n:
+        return a
+    with np.errstate(over="ignore"):
+        out = np.full(len(a) - n + 1, U(n))
+        for k in range(n):
+            out = _mixed(out * U(0x9E3779B97F4A7C15) + a[k : len(a) - n + 1 + k])
+    return out
+
+
 class Shingler:
     """Sorted distinct n-gram hashes of a text."""
 
@@ -50,14 +64,7 @@ class Shingler:
         if None in h:
             h = [known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words]
         a = np.array(h, np.uint64)
-        n = min(self.n, len(a))
-        if not n:
-            return a
-        with np.errstate(over="ignore"):
-            out = np.full(len(a) - n + 1, U(n))
-            for k in range(n):
-                out = _mixed(out * U(0x9E3779B97F4A7C15) + a[k : len(a) - n + 1 + k])
-        return np.unique(out)
+        return np.unique(grams(a, self.n))
 
 
 class Bands:
@@ -104,20 +111,29 @@ def _keys(members: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def set_number(members: np.ndarray) -> int:
+    """64-bit number of a set's content."""
+    return xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
+
+
 def _signatures(n: int, num: int, den: int):
+    """(id, tx, text) -> (id, tx, size, node, keys); a node's keys come once a task (and again after SEEN others)."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, bands = Shingler(n), Bands(num, den)
+        shingles, bands, seen, none = Shingler(n), Bands(num, den), set(), np.zeros(0, np.int64)
         for part in parts:
-            raw, sizes, nodes, sketches, keys = part.column(1).cast(pa.binary()), [], [], [], []
+            raw, sizes, nodes, keys = part.column(2).cast(pa.binary()), [], [], []
             for t in raw:
                 s = shingles(t.as_py() or b"")
                 sizes.append(len(s))
-                nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
-                sketches.append(parity(s))
-                keys.append(_keys(s, bands) if len(s) else np.zeros(0, np.int64))
+                nodes.append(set_number(s))
+                keys.append(_keys(s, bands) if len(s) and nodes[-1] not in seen else none)
+                seen.add(nodes[-1])
+            if len(seen) > SEEN:
+                seen.clear()
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()), lists], names=["id", "size", "node", "sketch", "keys"])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*keys, none])))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), lists], names=["id", "tx", "size", "node", "keys"])
 
     return run
 
@@ -128,38 +144,57 @@ def _members(n: int):
         for part in parts:
             nodes, sets = [], []
             for wanted, t in zip(part.column(0), part.column(1).cast(pa.binary()), strict=True):
-                s = shingles(t.as_py() or b"").tobytes()
-                node = xxhash.xxh3_64_intdigest(s) - (1 << 63)
-                if node in wanted.as_py():
+                s = shingles(t.as_py() or b"")
+                if (node := set_number(s)) in wanted.as_py():
                     nodes.append(node)
-                    sets.append(s)
+                    sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "members"])
 
     return run
 
 
+def _rows(docs: DataFrame, tables: Tables, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """id, tx, size, node, group of each row of docs: rows of one group are linked; the group of an empty set is null."""
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tx"), text.alias("text"))
+    kind = texts.schema["id"].dataType.simpleString()
+    sets = tables.write(texts.mapInArrow(_signatures(n, num, den), f"id {kind}, tx long, size long, node long, keys array<long>"), "signatures")
+    joined = SimilarityJoin(sets, texts, _members(n), num, den, tables).links()
+    rows = sets.select("id", "tx", "size", "node")
+    rows = rows.withColumn("component", F.col("node")) if joined is None else rows.join(joined, "node", "left")
+    group = F.when(F.col("size") > 0, F.coalesce("component", "node")).alias("group")
+    out = tables.write(rows.select("id", "tx", "size", "node", group), "rows")
+    tables.drop(sets, joined)
+    return out
+
+
 def ngram_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id (least id that links of similarity num/den or more reach).
 
     A-Z are lower-cased; words are cut at ASCII white space; a text of fewer than n words has one n-gram, all of it. Null
     and empty texts have none and are linked with nothing. Equal sets are linked whatever their number. Null ids can be
-    linked but are never a component's id unless it has no other. Other columns are not read; empty tables give no rows.
+    linked but are never a component's id unless it has no other. Rows that repeat come out as often as they came in.
+    Other columns, whatever their names, are not read; empty tables give no rows.
     """
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = texts.schema["id"].dataType.simpleString()
-    sets = written(texts.mapInArrow(_signatures(n, num, den), f"id {kind}, size long, node long, sketch binary, keys array<long>"), "ngram-signatures")
-    _, joined = SimilarityJoin(sets, texts, _members(n), num, den, "ngram").links()
-    rows = sets.where("size > 0").select("id", "size", "node").join(joined, "node", "left")
-    rows = written(rows.select("id", "size", F.coalesce("component", "node").alias("group")), "ngram-rows")
-    least = rows.groupBy("group").agg(F.min("id").alias("component_id"))
-    linked = rows.join(least, "group").select("id", "size", "component_id")
-    alone = sets.where("size = 0").select("id", "size", F.col("id").alias("component_id"))
+    rows = _rows(docs, Tables(docs.sparkSession, "ngram"), n, num, den, id_col, text_col)
+    least = written(rows.where("group is not null").groupBy("group").agg(F.min("id").alias("component_id")), "ngram-groups")
+    linked = rows.where("group is not null").join(least, "group").select("id", "size", "component_id")
+    alone = rows.where("group is null").select("id", "size", F.col("id").alias("component_id"))
     out = linked.unionByName(alone)
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
 
 
 def ngram_dedup(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is their component's, all their columns: one document of each group stays; null ids stay."""
-    groups = ngram_components(docs, n, num, den, id_col, text_col)
-    lost = groups.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("lost_id"))
-    return docs.join(lost, docs[id_col] == F.col("lost_id"), "left_anti")
+    """One row of each group of linked documents, all its columns: the one with the least id (null after all others; of
+    rows that share it, an arbitrary but fixed text).
+
+    A row is told by its id and its text, so rows of other texts stay even if they share the id of one that goes. Rows
+    that repeat id and text are one document and one of them stays. Texts without words are linked with nothing and all
+    stay, copies too. Columns may have any names. An empty table gives no rows.
+    """
+    tables = Tables(docs.sparkSession, "ngram")
+    rows = _rows(docs, tables, n, num, den, id_col, text_col).where("group is not null")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "tx")).alias("first")
+    several = tables.write(rows.groupBy("group").agg(F.count("*").alias("n"), first).where("n > 1"), "groups")
+    told = rows.join(several, "group").select("id", "tx", (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("tx") == F.col("first.tx"))).alias("stays"))
+    return keep_one_of(docs, told.distinct(), id_col, text_col)

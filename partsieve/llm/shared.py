@@ -1,4 +1,4 @@
-"""Helpers of the training-data operators: the shared folder, written tables, text columns."""
+"""Helpers of the training-data operators: the shared folder, written tables, text columns, bit sets."""
 
 from __future__ import annotations
 
@@ -14,9 +14,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; one of our own only in a local session that has none."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="partsieve-")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
@@ -31,6 +33,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Written tables of one job, deleted one by one when their successors are written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def write(self, df: DataFrame, what: str) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/partsieve/{self.name}-{what}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Deletes tables that write() returned; nothing that is still to be read may come from them."""
+        jvm = self.spark.sparkContext._jvm
+        for t in tables:
+            if t is not None and id(t) in self._paths:
+                path = jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(t))[1])
+                path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole(text: Column) -> Column:
     """Null counts as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))
@@ -45,6 +70,15 @@ def ascii_lower(text: Column) -> Column:
 PAGE_BITS = 32768
 
 
+def filter_pages(n: int, most: int = 2048) -> int:
+    """Pages of a bit set for n keys: 16 bits a key, at most so many pages (8 MB). Beyond that more rows pass the filter for
+    nothing and the join behind it, which is exact, gets more rows: at worst all of them."""
+    pages = 16
+    while pages < most and pages * PAGE_BITS < 16 * n:
+        pages *= 2
+    return pages
+
+
 def bit_set(keys: DataFrame, columns: list[str], pages: int) -> DataFrame:
     """Bit set (page, bits) of the hashes of some columns: at most pages * 4 KB, whatever the number of keys."""
     slot = F.pmod(F.xxhash64(*columns), F.lit(pages * PAGE_BITS))
@@ -59,3 +93,23 @@ def with_hit(rows: DataFrame, bits: DataFrame, columns: list[str], pages: int) -
     byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     both = rows.withColumn("page", (slot / PAGE_BITS).cast("int")).join(F.broadcast(bits), "page", "left")
     return both.withColumn("hit", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("page", "bits")
+
+
+def keep_one_of(docs: DataFrame, told: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs without the rows that told (id, tx, stays; once each) lets go, and with one of each that it lets stay.
+
+    tx is xxhash64 of the text. Rows that told does not name stay as they are and are not shuffled, but for the few that
+    the filter passes for nothing. Columns may have any names.
+    """
+    told = written(told, "told")
+    pages = filter_pages(told.count())
+    names = docs.columns
+    at, text = names.index(id_col), names.index(text_col)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    keyed = plain.select(F.struct("*").alias("row"), F.col(f"c{at}").alias("id"), F.xxhash64(F.col(f"c{text}").cast("string")).alias("tx"))
+    marked = with_hit(keyed, bit_set(told, ["id", "tx"], pages), ["id", "tx"], pages)
+    t = told.select(F.col("id").alias("told_id"), F.col("tx").alias("told_tx"), "stays")
+    both = marked.where("hit").join(t, F.col("id").eqNullSafe(F.col("told_id")) & (F.col("tx") == F.col("told_tx")), "left")
+    one = both.where("stays").groupBy("id", "tx").agg(F.first("row").alias("row")).select("row")
+    out = marked.where("not hit").select("row").unionByName(both.where("stays is null").select("row")).unionByName(one)
+    return out.select("row.*").toDF(*names)

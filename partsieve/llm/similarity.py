@@ -1,13 +1,16 @@
-"""Similarity join of sets under candidate keys, without writing out all pairs of a group.
-
-Sets of equal content are one node. Under each key every member is first verified against one of them, the key's hub; the
-links give components; then members of a group that are in different components are compared by their sketches inside
-a task, large groups in tiles of bounded size, and only near pairs leave it: first the few nearest of each member, whose
-links merge most of a large group, then all that are near and still apart. Every pair that shares a key is therefore
-verified or already connected, so components come out exactly.
-
-Verification has two steps: the Hamming distance of parity sketches is at most the symmetric difference, so it rules
-pairs out; whole sets are fetched and compared only for the pairs it leaves.
+"""Similarity join of sets under candidate keys that emits links, not all pairs of a group.
+
+Sets of equal content are one node, and a node sends its keys once a task. Where nodes have many keys, each is first
+verified against one node that shares one of its few least keys; that joins most near copies. Then every key is reduced,
+before the shuffle, to the least and greatest component under it: only keys under which two components meet stay open,
+and only their members are gathered. Members of an open group that are not in its largest component are compared with
+all others by parity sketches inside a task, in tiles of bounded size, and each component's nearest pairs leave it,
+more of them from round to round and all at last; those that pass the exact test merge components, and groups close.
+Every pair that shares a key is in the end linked, ruled out by its sketches or tested, or lies in one component:
+components come out exactly, however a group's pairs are spread.
+
+The Hamming distance of parity sketches is at most the symmetric difference, so it only rules pairs out; the exact test
+compares whole sets, which are read from one text of each asked node.
 """
 
 from __future__ import annotations
@@ -18,21 +21,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import BinaryType, LongType
 
 from partsieve.llm.components import components
-from partsieve.llm.shared import bit_set, with_hit, written
+from partsieve.llm.shared import Tables, bit_set, filter_pages, with_hit
 
-#: Bit set pages that pre-filter keys and documents before a shuffle: 8 MB at most.
-FILTER_PAGES = 2048
-#: Orders in which the hub of a group is the first member.
-HUBS = 8
+#: Least keys of a node under which it is first tested against one other.
+FIRST = 6
 #: Members of a group that is compared pair by pair, many groups at once.
 SMALL = 8
-#: Members of a tile of a group that still has several components.
+#: Members of a side of a tile.
 TILE = 2048
-#: Nearest members of other components that a member of a tile is first verified against, before all that are near.
-NEAREST = 4
+#: Nearest pairs of a component that leave a tile, round by round; None: all.
+ROUNDS = (1, 8, 64, None)
 
 
 @F.arrow_udf(LongType())
@@ -43,160 +44,219 @@ def shared_members(left: pa.Array, right: pa.Array) -> pa.Array:
 
 
 def parity(members: np.ndarray) -> bytes:
-    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with about as many bits as members."""
-    bits = max(64, 1 << (len(members) | 1).bit_length())
+    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with four to eight bits a member."""
+    bits = max(64, 4 << (len(members) | 1).bit_length())
     odd = np.bincount((members >> np.uint64(6) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def hamming_of(left: pa.Array, right: pa.Array) -> list[int]:
-    """Bits in which two parity sketches differ; the longer one is folded to the length of the other."""
-    out = []
-    for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True):
-        short, long = sorted((x, y), key=len)
-        a, b, bits = int.from_bytes(short, "little"), int.from_bytes(long, "little"), 8 * len(long)
-        while bits > 8 * len(short):
-            bits //= 2
-            b = (b >> bits) ^ (b & ((1 << bits) - 1))
-        out.append((a ^ b).bit_count())
-    return out
-
-
-@F.arrow_udf(LongType())
-def hamming(left: pa.Array, right: pa.Array) -> pa.Array:
-    return pa.array(hamming_of(left, right), pa.int64())
+@F.arrow_udf(BinaryType())
+def sketches(members: pa.Array) -> pa.Array:
+    return pa.array([parity(np.frombuffer(m.as_py(), np.uint64)) for m in members], pa.binary())
 
 
 class SimilarityJoin:
-    """Verified links and components of sets that meet under a common key.
+    """Components of sets that meet under a common key.
 
-    rows: id, size, node (a number for the set's content), sketch (its parity), keys; sets of size 0 are left out. texts:
-    id, text. members: a function for mapInArrow from (nodes, text) to (node, members), which gives those of the wanted
-    nodes that the text has, once each, with the sorted 64-bit hashes of the set. Two sets are linked if they share
-    num/den of their union or more.
+    rows: id, tx (a hash of the text), size, node (a number for the set's content), keys; sets of size 0 are left out.
+    texts: id, tx, text. members: a function for mapInArrow from (nodes, text) to (node, members), which gives those of
+    the wanted nodes that the text has, once each, with the sorted 64-bit hashes of the set. Two sets are linked if they
+    share num/den of their union or more.
     """
 
-    def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, num: int, den: int, name: str):
-        self.rows, self.texts, self.members, self.num, self.den, self.name = rows, texts, members, num, den, name
-
-    def _written(self, df: DataFrame, what: str) -> DataFrame:
-        return written(df, f"{self.name}-{what}")
-
-    def _linked(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, num: int, den: int, tables: Tables, first: int = FIRST):
+        self.rows, self.texts, self.members, self.num, self.den, self.tables, self.first = rows, texts, members, num, den, tables, first
+        self.joined: DataFrame | None = None
+
+    def _sets(self, nodes: DataFrame) -> DataFrame:
+        """node, members of the asked nodes, each read from one text that has it."""
+        nodes = self.tables.write(nodes.distinct(), "asked")
+        pages = filter_pages(nodes.count())
+        rows = self.rows.select("node", F.xxhash64("id", "tx").alias("pick"))
+        rows = with_hit(rows, bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").groupBy("node").agg(F.min("pick").alias("pick"))
+        picks = rows.join(nodes, "node", "left_semi").groupBy("pick").agg(F.collect_list("node").alias("nodes"))
+        picks = self.tables.write(picks, "picks")
+        texts = self.texts.select(F.xxhash64("id", "tx").alias("pick"), "text")
+        texts = with_hit(texts, bit_set(picks, ["pick"], pages), ["pick"], pages).where("hit").select("pick", "text")
+        found = texts.join(picks, "pick").groupBy("pick").agg(F.first("nodes").alias("nodes"), F.first("text").alias("text"))
+        sets = self.tables.write(found.select("nodes", "text").mapInArrow(self.members, "node long, members binary"), "sets")
+        self.tables.drop(nodes, picks)
+        return sets
+
+    def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the pairs of nodes a, b that reach the threshold, by the exact size of the intersection."""
-        near = pairs.join(sizes.toDF("a", "size_a", "sketch_a"), "a").join(sizes.toDF("b", "size_b", "sketch_b"), "b")
-        near = near.where(self.den * F.least("size_a", "size_b") >= self.num * F.greatest("size_a", "size_b"))
-        near = near.withColumn("differ", hamming("sketch_a", "sketch_b")).where((self.den + self.num) * F.col("differ") <= (self.den - self.num) * (F.col("size_a") + F.col("size_b")))
-        near = self._written(near.select("a", "b", "size_a", "size_b"), "pairs")
-        asked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        keep = self.reps.join(asked, "node", "left_semi").groupBy("id").agg(F.collect_list("node").alias("nodes"))
-        keep = self._written(keep, "asked")
-        found = with_hit(self.texts, bit_set(keep, ["id"], FILTER_PAGES), ["id"], FILTER_PAGES).where("hit").drop("hit")
-        found = found.withColumnRenamed("id", "_id").join(keep, F.col("_id").eqNullSafe(F.col("id")))
-        sets = self._written(found.select("nodes", "text").mapInArrow(self.members, "node long, members binary"), "sets")
-        both = near.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-        both = both.withColumn("shared", shared_members("left", "right")).drop("left", "right")
-        return both.where(self.den * F.col("shared") >= self.num * (F.col("size_a") + F.col("size_b") - F.col("shared")))
-
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """Nodes that reach each other: verified links a, b that span every component, and node -> component."""
-        some = self.rows.where("size > 0")
-        self.reps = self._written(some.groupBy("node").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "nodes")
-        sizes = self.reps.select("node", "size", "sketch")
-        sent = some.select("node", F.explode("keys").alias("key"))
-        # 31 bits of a node are enough to see that a key has two
-        count = sent.select("key", F.xxhash64("node").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("n32")).groupBy("key").agg(F.min("n32").alias("x"), F.max("n32").alias("y"))
-        several = self._written(count.where("x <> y").select("key"), "keys")
-        asked = with_hit(sent, bit_set(several, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
-        asked = self._written(asked.join(several, "key", "left_semi").select("key", "node").distinct(), "asked-keys")
-        # HUBS orders of the nodes: groups of one cluster get different hubs, so that an outlier is not the hub of all
-        hub = F.min_by("node", F.xxhash64("node", F.pmod("key", F.lit(HUBS)))).alias("hub")
-        groups = asked.groupBy("key").agg(hub)
-        met = self._written(asked.join(groups, "key").select("key", "node", "hub"), "met")
-        first = self._written(met.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "first")
-        one = self._written(self._linked(first, sizes).select("a", "b"), "links")
-        every, tested = one, first
-        for nearest in (NEAREST, None):
-            rest = met.join(components(every), "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
-            parts = rest.groupBy("key", "c").agg(F.count("*").alias("n"))
-            open_keys = self._written(parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1").drop("parts"), "open-keys")
-            if nearest is None:  # all pairs of small groups have been verified
-                open_keys = open_keys.where(F.col("n") > SMALL)
-            rest = self._written(rest.join(open_keys, "key").select("key", "node", "c", "n").join(sizes, "node"), "open")
-            more = self._written(self._apart(rest, nearest).distinct().join(tested, ["a", "b"], "left_anti"), "apart")
-            every = self._written(every.unionByName(self._linked(more, sizes).select("a", "b")), "links")
-            tested = tested.unionByName(more)
-        return every, components(every)
-
-    def _apart(self, rest: DataFrame, nearest: int | None) -> DataFrame:
-        """Pairs of members of a group that are in different components, near enough in size and in sketch; large groups in tiles. nearest: of
-        a member of a group above SMALL, only so many of the nearest."""
-        tiles = F.ceil(F.col("n") / TILE).cast("int")
-        rest = rest.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), tiles).cast("int"))
-        pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda k: F.struct(F.least("tile", k).alias("x"), F.greatest("tile", k).alias("y")))
-        dealt = rest.withColumn("at", F.explode(pairs)).select("key", "at.x", "at.y", "node", "c", "size", "sketch", (F.col("tile") == F.col("at.x")).alias("own"))
+        both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
+        n, m = F.octet_length("left") / 8, F.octet_length("right") / 8
+        both = both.where(self.den * F.least(n, m) >= self.num * F.greatest(n, m))
+        both = both.withColumn("shared", shared_members("left", "right"))
+        return self.tables.write(both.where(self.den * F.col("shared") >= self.num * (n + m - F.col("shared"))).select("a", "b"), "links")
+
+    def _merge(self, links: DataFrame) -> None:
+        """Joins the components that the links connect."""
+        if links.isEmpty():
+            self.tables.drop(links)
+            return
+        edges = links if self.joined is None else links.unionByName(self.joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")))
+        new = self.tables.write(components(edges), "components")
+        self.tables.drop(links, self.joined)
+        self.joined = new
+
+    def _named(self, rows: DataFrame) -> DataFrame:
+        """rows with column c: the component of their node so far."""
+        if self.joined is None:
+            return rows.withColumn("c", F.col("node"))
+        return rows.join(self.joined, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+
+    def _first_links(self) -> None:
+        """Tests each node against the least of the nodes that come first under its least keys."""
+        few = F.explode(F.slice(F.sort_array("keys"), 1, self.first)).alias("key")
+        low = self.tables.write(self.rows.where("size > 0").select("node", few), "least-keys")
+        hubs = low.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").select("key", "hub")
+        hubs = self.tables.write(hubs, "hubs")
+        pairs = low.join(hubs, "key").where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
+        pairs = self.tables.write(pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")), "pairs")
+        self.tables.drop(low, hubs)
+        sets = self._sets(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
+        self._merge(self._linked(pairs, sets))
+        self.tables.drop(pairs, sets)
+
+    def _open(self) -> DataFrame:
+        """key, node of all members of the keys under which two components meet."""
+        rows = self.rows.where("size > 0").select("node", "keys")
+        if self.joined is not None:
+            pages = filter_pages(self.joined.count())
+            marked = with_hit(rows, bit_set(self.joined, ["node"], pages), ["node"], pages)
+            some = self._named(marked.where("hit").drop("hit"))
+            rows = some.unionByName(marked.where("not hit").drop("hit").withColumn("c", F.col("node")))
+        else:
+            rows = self._named(rows)
+        sent = rows.select(F.explode("keys").alias("key"), "node", "c")
+        met = sent.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
+        met = self.tables.write(met, "open-keys")
+        pages = filter_pages(met.count())
+        sent = self.rows.where("size > 0").select("node", F.explode("keys").alias("key"))
+        asked = with_hit(sent, bit_set(met, ["key"], pages), ["key"], pages).where("hit").select("key", "node")
+        out = self.tables.write(asked.join(met, "key", "left_semi").distinct(), "open")
+        self.tables.drop(met)
+        return out
+
+    def links(self) -> DataFrame | None:
+        """node, component (the least node that links reach) of every node that has a link; None if there are no links."""
+        if self.first:
+            self._first_links()
+        members = self._open()
+        sets = self._sets(members.select("node"))
+        drawn = self.tables.write(sets.select("node", (F.octet_length("members") / 8).cast("long").alias("size"), sketches("members").alias("sketch")), "sketches")
+        tested = None
+        for nearest in ROUNDS:
+            named = self.tables.write(self._named(members), "members")
+            self.tables.drop(members)
+            parts = self.tables.write(named.groupBy("key", "c").agg(F.count("*").alias("n")), "parts")
+            groups = parts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("major"), F.count("*").alias("parts")).where("parts > 1")
+            if tested is not None:  # all pairs of small groups have been compared
+                groups = groups.where(F.col("n") > SMALL)
+            groups = self.tables.write(groups.select("key", "n", F.col("major.n").alias("n_major"), F.col("major.c").alias("major")), "groups")
+            opened = self.tables.write(named.join(groups, "key"), "opened")
+            members = opened.select("key", "node")
+            if opened.isEmpty():
+                break
+            pairs = self._near(opened.join(drawn, "node"), nearest).distinct()
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = self.tables.write(pairs, "pairs")
+            self.tables.drop(named, parts, groups)
+            if not pairs.isEmpty():
+                self._merge(self._linked(pairs, sets))
+            tested = pairs if tested is None else tested.unionByName(pairs)
+        return self.joined
+
+    def _near(self, opened: DataFrame, nearest: int | None) -> DataFrame:
+        """Pairs of members of a group that are in different components, near enough in size and in sketch; of each component but the largest
+        of a group above SMALL only so many of the nearest a tile."""
+        hashed, n_minor = F.xxhash64("node"), F.col("n") - F.col("n_major")
+        p, q = (F.ceil(x / TILE).cast("int") for x in (n_minor, F.col("n_major")))
+        r = opened.withColumn("is_major", F.col("c") == F.col("major")).withColumn("p", p).withColumn("q", q)
+        r = r.withColumn("tile", F.pmod(hashed, F.when(F.col("is_major"), F.col("q")).otherwise(F.col("p"))).cast("int"))
+        spot = lambda x, y, side: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), side.cast("int").alias("side"))
+        zero, one, two = F.lit(0), F.lit(1), F.lit(2)
+        with_minors = F.transform(F.sequence(zero, F.col("p") - 1), lambda k: spot(k, F.col("tile"), one))
+        with_majors = F.transform(F.sequence(zero, F.col("q") - 1), lambda k: spot(F.col("tile"), k, zero))
+        among = F.transform(F.sequence(zero, F.col("p") - 1), lambda k: spot(F.least("tile", k), F.col("q") + F.greatest("tile", k), F.when(k == F.col("tile"), two).when(k > F.col("tile"), zero).otherwise(one)))
+        spots = F.when(F.col("n") <= TILE, F.array(spot(zero, zero, two))).when(F.col("is_major"), with_minors).otherwise(F.concat(with_majors, among))
+        dealt = r.withColumn("at", F.explode(spots)).select("key", "at.x", "at.y", "at.side", "node", "c", "is_major", "size", "sketch")
         dealt = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
         return dealt.mapInArrow(_compared(self.num, self.den, nearest), "a long, b long")
 
 
-def _folded(sketches: list[bytes]) -> np.ndarray:
+def _folded(drawn: list[bytes]) -> np.ndarray:
     """Sketches as rows of 64-bit words, all folded to the length of the shortest."""
-    n = min(map(len, sketches)) // 8
-    out = np.empty((len(sketches), n), np.uint64)
-    for i, s in enumerate(sketches):
+    n = min(map(len, drawn)) // 8
+    out = np.empty((len(drawn), n), np.uint64)
+    for i, s in enumerate(drawn):
         out[i] = np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, n), axis=0)
     return out
 
 
+def _distance(x: bytes, y: bytes) -> int:
+    """Bits in which two parity sketches differ; the longer one is folded to the length of the other."""
+    short, long = sorted((x, y), key=len)
+    a, b, bits = int.from_bytes(short, "little"), int.from_bytes(long, "little"), 8 * len(long)
+    while bits > 8 * len(short):
+        bits //= 2
+        b = (b >> bits) ^ (b & ((1 << bits) - 1))
+    return (a ^ b).bit_count()
+
+
 def _compared(num: int, den: int, nearest: int | None):
-    """A tile's members compared by their sketches: all but those of its largest component with all, in blocks."""
-
-    def pairs(rows: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        node, c, size = (np.array([r[k] for r in rows]) for k in ("node", "c", "size"))
-        own = np.array([r["own"] for r in rows])
-        both = rows[0]["x"] == rows[0]["y"]
-        words = _folded([r["sketch"] for r in rows])
-        values, counts = np.unique(c, return_counts=True)
-        ask = np.flatnonzero(c != values[counts.argmax()])
-        step = max(1, (1 << 20) // (len(rows) * words.shape[1]))
+    """Tiles compared by their sketches, in blocks; small groups pair by pair, many at once."""
+
+    def tile(t: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        node, c, size, side, is_major = (t.column(k).to_numpy(zero_copy_only=False) for k in ("node", "c", "size", "side", "is_major"))
+        words = _folded(t.column("sketch").to_pylist())
+        ask = np.flatnonzero((side == 0) | ((side == 2) & ~is_major))
+        step, found = max(1, (1 << 20) // (len(node) * words.shape[1])), []
         for first in range(0, len(ask), step):
             i = ask[first : first + step]
             near = (c[i, None] != c[None, :]) & (den * np.minimum(size[i, None], size[None, :]) >= num * np.maximum(size[i, None], size[None, :]))
-            near &= both | (own[i, None] != own[None, :])
+            near &= (side[i, None] == 2) | (side[None, :] == 1)
             x, y = np.nonzero(near)
             differ = np.bitwise_count(words[i[x]] ^ words[y]).sum(1, dtype=np.int64)
             good = (den + num) * differ <= (den - num) * (size[i[x]] + size[y])
-            x, y, differ = x[good], y[good], differ[good]
-            if nearest:
-                order = np.lexsort((differ, x))
-                x, y = x[order], y[order]
-                few = np.arange(len(x)) - np.searchsorted(x, x) < nearest
-                x, y = x[few], y[few]
-            yield np.minimum(node[i[x]], node[y]), np.maximum(node[i[x]], node[y])
-
-    def small(t: pa.RecordBatch, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        node, c, size, own, x, y = (t.column(k).to_numpy(zero_copy_only=False) for k in ("node", "c", "size", "own", "x", "y"))
-        sketches, found = t.column("sketch"), []
+            found.append(few(i[x[good]], y[good], differ[good], c))
+        x, y, _ = few(*(np.concatenate(k) for k in zip(*found, strict=True)), c) if found else (np.zeros(0, int),) * 3
+        return np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+
+    def few(x: np.ndarray, y: np.ndarray, differ: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The nearest pairs of each component of x."""
+        if not nearest:
+            return x, y, differ
+        order = np.lexsort((differ, c[x]))
+        x, y, differ, held = x[order], y[order], differ[order], c[x[order]]
+        first = np.arange(len(x)) - np.searchsorted(held, held) < nearest
+        return x[first], y[first], differ[first]
+
+    def small(t: pa.RecordBatch, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        node, c, size = (t.column(k).to_numpy() for k in ("node", "c", "size"))
+        drawn, a, b = t.column("sketch"), [np.zeros(0, int)], [np.zeros(0, int)]
         for d in range(1, SMALL):
             i = np.flatnonzero(group[:-d] == group[d:])
-            j = i + d
-            near = (c[i] != c[j]) & (den * np.minimum(size[i], size[j]) >= num * np.maximum(size[i], size[j])) & ((x[i] == y[i]) | (own[i] != own[j]))
-            found += zip(i[near].tolist(), j[near].tolist(), strict=True)
-        if not found:
-            return
-        i, j = np.array(found).T
-        differ = hamming_of(sketches.take(pa.array(i)), sketches.take(pa.array(j)))
-        good = (den + num) * np.array(differ) <= (den - num) * (size[i] + size[j])
-        yield np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good]
+            near = (c[i] != c[i + d]) & (den * np.minimum(size[i], size[i + d]) >= num * np.maximum(size[i], size[i + d]))
+            a.append(i[near])
+            b.append(i[near] + d)
+        i, j = np.concatenate(a), np.concatenate(b)
+        differ = [_distance(drawn[x].as_py(), drawn[y].as_py()) for x, y in zip(i.tolist(), j.tolist(), strict=True)]
+        good = (den + num) * np.array(differ, np.int64) <= (den - num) * (size[i] + size[j])
+        return np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good]
 
     def compare(t: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         sizes = np.diff(np.append(starts, len(group)))
-        few = pa.array(np.flatnonzero(np.repeat(sizes <= SMALL, sizes)))
-        if len(few):
-            yield from map(batch, small(t.take(few), group[few.to_numpy()]))
-        for k in np.flatnonzero(sizes > SMALL):
-            yield from map(batch, pairs(t.slice(int(starts[k]), int(sizes[k])).to_pylist()))
+        rows = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
+        pairs = [small(t.take(pa.array(rows)), group[rows])] if len(rows) else []
+        pairs += [tile(t.slice(int(starts[k]), int(sizes[k]))) for k in np.flatnonzero(sizes > SMALL)]
+        if pairs:
+            both = np.unique(np.stack([np.concatenate(k) for k in zip(*pairs, strict=True)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], names=["a", "b"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -212,7 +272,4 @@ def _compared(num: int, den: int, nearest: int | None):
         if held is not None and held.num_rows > 1:
             yield from compare(held, rest)
 
-    def batch(pair: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64())], names=["a", "b"])
-
     return run
