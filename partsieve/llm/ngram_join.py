@@ -2,11 +2,11 @@
 
 A document's set holds 64-bit hashes of its distinct word n-grams. Sets of equal content are one node from the start.
 Sizes fall into bands; a pair is looked for in the band of its larger set, whose bound on the sizes bounds the
-symmetric difference D of any two sets that reach the threshold. A sketch has more than D blocks of 64 bits; each
-member flips one bit of one block, so the Hamming distance of two sketches is at most D and at least one block must be
-equal: blocks are the join keys. Blocks of WEAK bits or fewer say little (a passage that many documents share fills
-them); a tenth more blocks than D + 1 make up for those, and sets with more weak blocks than that send them too. Equal
-blocks are equally weak, so no pair is lost and any two linked sets share two keys.
+symmetric difference D of any two sets that reach the threshold. A sketch has more than D blocks of 64 bits; each member
+is XORed, as a hash, into one block, so two sketches differ in at most D blocks and at least one must be equal: blocks
+are the join keys. Equal blocks hold equal members (but for a collision of hashes, which only costs a comparison), so a
+key says that two sets share members, however few a block has. Blocks without members say nothing; a tenth more blocks
+than D + 1 make up for those, and a set with more empty blocks than that sends them too, so no pair is lost.
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from partsieve.llm.shared import Tables, keep_one_of, written
 from partsieve.llm.similarity import SimilarityJoin
 
-#: Bits of a block that is not sent if it can be spared.
-WEAK = 2
 #: Words whose hashes a worker keeps.
 KNOWN = 1 << 19
 #: Nodes that a task remembers to have sent.
@@ -78,7 +76,7 @@ class Bands:
         self.starts = np.array(self.low)
 
     def blocks(self, band: int) -> tuple[int, int]:
-        """Blocks of a sketch in a band, and how many of them there are beyond those that must differ. Two sets of a and b members that share o reach the threshold if den * o >= num * (a + b - o)."""
+        """Blocks of a sketch in a band, and how many of them may be empty and not sent. Two sets of a and b members that share o reach the threshold if den * o >= num * (a + b - o)."""
         top = self.low[band + 1] - 1
         differ = 2 * top * (self.den - self.num) // (self.num + self.den)
         spare = 2 + differ // 10 if differ else 0
@@ -91,9 +89,9 @@ class Bands:
 
 
 def sketch(members: np.ndarray, blocks: int) -> np.ndarray:
-    """Parity sketch: each member flips one bit of one 64-bit block."""
+    """Parity sketch: each member flips the bits of its hash in one 64-bit block; 0 stands for an empty block."""
     words = np.zeros(blocks, np.uint64)
-    np.bitwise_xor.at(words, ((members >> U(6)) % U(blocks)).astype(np.int64), U(1) << (members & U(63)))
+    np.bitwise_xor.at(words, ((members >> U(6)) % U(blocks)).astype(np.int64), _mixed(members))
     return words
 
 
@@ -105,9 +103,9 @@ def _keys(members: np.ndarray, bands: Bands) -> np.ndarray:
         if blocks > 1:  # else only equal sets are near enough, and those are one node
             words = sketch(members, blocks)
             with np.errstate(over="ignore"):
-                keys = _mixed(_mixed(words) + U(band + 1) * U(0xD6E8FEB86659FD93) + np.arange(blocks, dtype=np.uint64) * U(0xA0761D6478BD642F))
-            said = np.bitwise_count(words) > WEAK
-            out.append(keys if blocks - said.sum() >= spare else keys[said])
+                keys = _mixed(words + U(band + 1) * U(0xD6E8FEB86659FD93) + np.arange(blocks, dtype=np.uint64) * U(0xA0761D6478BD642F))
+            said = words != 0
+            out.append(keys[said] if blocks - said.sum() <= spare else keys)
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 

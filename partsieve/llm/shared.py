@@ -80,19 +80,22 @@ def filter_pages(n: int, most: int = 2048) -> int:
 
 
 def bit_set(keys: DataFrame, columns: list[str], pages: int) -> DataFrame:
-    """Bit set (page, bits) of the hashes of some columns: at most pages * 4 KB, whatever the number of keys."""
+    """Bit set (page, words: 32 bits each) of the hashes of some columns: at most pages * 8 KB, whatever the number of keys."""
     slot = F.pmod(F.xxhash64(*columns), F.lit(pages * PAGE_BITS))
     slots = keys.select(slot.alias("slot"))
-    return slots.groupBy((F.col("slot") / PAGE_BITS).cast("int").alias("page")).agg(F.expr(f"bitmap_construct_agg(slot % {PAGE_BITS})").alias("bits"))
+    bits = slots.groupBy((F.col("slot") / PAGE_BITS).cast("int").alias("page")).agg(F.expr(f"bitmap_construct_agg(slot % {PAGE_BITS})").alias("bits"))
+    word = lambda i: F.conv(F.hex(F.substring("bits", i * 4 + 1, F.lit(4))), 16, 10).cast("long")
+    return bits.select("page", F.transform(F.sequence(F.lit(0), F.lit(PAGE_BITS // 32 - 1)), word).alias("words"))
 
 
 def with_hit(rows: DataFrame, bits: DataFrame, columns: list[str], pages: int) -> DataFrame:
     """Column hit: false where a row's key is certainly not in the bit set. The set is broadcast: its size is bounded."""
     slot = F.pmod(F.xxhash64(*columns), F.lit(pages * PAGE_BITS))
-    at = slot % PAGE_BITS
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    both = rows.withColumn("page", (slot / PAGE_BITS).cast("int")).join(F.broadcast(bits), "page", "left")
-    return both.withColumn("hit", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("page", "bits")
+    both = rows.withColumn("slot", slot).withColumn("page", (F.col("slot") / PAGE_BITS).cast("int")).join(F.broadcast(bits), "page", "left")
+    at = F.col("slot") % PAGE_BITS
+    # a bitmap's bytes come least first, a word's value has its first byte on top
+    bit = F.getbit(F.get("words", (at / 32).cast("int")), (at % 32).bitwiseXOR(F.lit(24)).cast("int"))
+    return both.withColumn("hit", F.coalesce(bit == 1, F.lit(False))).drop("page", "slot", "words")
 
 
 def keep_one_of(docs: DataFrame, told: DataFrame, id_col: str, text_col: str) -> DataFrame:

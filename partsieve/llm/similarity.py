@@ -33,7 +33,7 @@ SMALL = 8
 #: Members of a side of a tile.
 TILE = 2048
 #: Nearest pairs of a component that leave a tile, round by round; None: all.
-ROUNDS = (1, 8, 64, None)
+ROUNDS = (1, 16, None)
 
 
 @F.arrow_udf(LongType())
