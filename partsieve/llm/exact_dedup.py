@@ -49,12 +49,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = with_hit(narrow, pages, ["n_bytes", "prefix"], FILTER_PAGES)
     rows = marked.select("id", F.when(F.col("hit"), F.unhex(F.sha2("norm", 256))).alias("digest"), *carry)
     rows = written(rows, "exact-digests")
-    groups = (
-        rows.where("digest is not null")
-        .groupBy("digest")
-        .agg(F.max("id").alias("keep"), F.count("*").alias("n"))
-        .where("n > 1")
-    )
+    groups = rows.where("digest is not null").groupBy("digest").agg(F.max("id").alias("keep"), F.count("*").alias("n")).where("n > 1")
+    groups = written(groups, "exact-groups")  # so that the join exchanges both sides and a digest of very many rows is split
     alone = rows.where("digest is null").withColumns({"keep": F.col("id"), "n": F.lit(1).cast("long")})
     one = rows.where("digest is not null").join(groups, "digest", "left").unionByName(alone)
     keep = F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep"))
@@ -68,6 +64,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, all their columns: those with the largest id of their group of equal texts."""
-    lost = exact_groups(docs, id_col, text_col).where("not kept").select(F.col(id_col).alias("lost_id"))
-    return docs.join(lost, docs[id_col].eqNullSafe(F.col("lost_id")), "left_anti")
+    """One row of each group of equal texts, all its columns: the one with the largest id (null before all others; of rows
+    that share it, one picked by a hash of all its columns).
+
+    Rows go by their content, not by their id: another text under the id of a row that goes stays. Null and empty texts
+    are one group. Only rows of groups that survive length and prefix have their columns aggregated, first in each task.
+    Columns may have any names. An empty table gives no rows.
+    """
+    names = docs.columns
+    at, text_at = names.index(id_col), names.index(text_col)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    norm = ascii_lower(whole(F.col(f"c{text_at}")))
+    keyed = plain.select(F.struct("*").alias("row"), norm.alias("norm"), F.octet_length(norm).alias("n_bytes"), F.xxhash64(F.substring(norm, 1, PREFIX_CHARS)).alias("prefix"))
+    marked = with_hit(keyed, _survivors(keyed.select("n_bytes", "prefix")), ["n_bytes", "prefix"], FILTER_PAGES)
+    alone = marked.where("not hit").select("row")
+    rank = F.struct(F.col(f"row.c{at}").isNotNull(), F.col(f"row.c{at}"), F.xxhash64(F.to_json(F.col("row"))))
+    one = marked.where("hit").select(F.unhex(F.sha2("norm", 256)).alias("digest"), "row").groupBy("digest").agg(F.max_by("row", rank).alias("row")).select("row")
+    return alone.unionByName(one).select("row.*").toDF(*names)
