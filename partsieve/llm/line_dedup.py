@@ -35,6 +35,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     windows = written(_windows(docs, id_col, text_col), "line-windows")
     here = F.struct(F.col("id"), F.col("line"))
     first = windows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(here).alias("first")).where("n > 1").drop("n")
+    first = written(first, "line-first")  # so that the join exchanges both sides and a window of very many places is split
     later = windows.join(first, ["h1", "h2"]).where(~here.eqNullSafe(F.col("first")))
     at = later.groupBy("id").agg(F.collect_set("line").alias("starts"))
     covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + LINES - 1))))
@@ -46,16 +47,16 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Lines are cut at newlines only; null counts as empty, and an empty text has one empty line. Documents of fewer
     than three lines have no window, windows of white space only are ignored. Occurrences are ordered by id, nulls
-    first, then line; rows that share an id are one document. Other columns are not read. An empty table gives no rows.
+    first, then line; rows that share an id are one document. Other columns, whatever their names, are not read. An empty table gives no rows.
     """
-    gone = removed_lines(docs, id_col, text_col).withColumnRenamed("id", "_id")
-    rows = docs.select(F.col(id_col), F.split(whole(F.col(text_col)), "\n", -1).alias("_lines"))
-    both = rows.join(gone, rows[id_col].eqNullSafe(F.col("_id")), "left")
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("lines", F.array().cast("array<int>")))
-    out = both.select(id_col, F.size("_lines").alias("n_lines"), "_lines", stay.alias("_stay"))
+    gone = removed_lines(docs, id_col, text_col).toDF("gone_id", "gone")
+    rows = docs.select(F.col(id_col).alias("id"), F.split(whole(F.col(text_col)), "\n", -1).alias("lines"))
+    both = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left")
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
+    out = both.select("id", F.size("lines").alias("n_lines"), "lines", stay.alias("stay"))
     return out.select(
-        id_col,
+        F.col("id").alias(id_col),
         F.col("n_lines").cast("long").alias("n_lines"),
-        (F.col("n_lines") - F.size("_stay")).cast("long").alias("n_removed"),
-        F.array_join(F.transform("_stay", lambda i: F.get("_lines", i)), "\n").alias("kept"),
+        (F.col("n_lines") - F.size("stay")).cast("long").alias("n_removed"),
+        F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n").alias("kept"),
     )

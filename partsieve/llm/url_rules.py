@@ -9,11 +9,15 @@ from a sample of bounded size. Urls are reduced to distinct (host, path) first,
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
+
+from partsieve.llm.shared import written
 
 #: Sampled keys for each range, and the most characters of a range's bound.
 SAMPLE_PER_RANGE, BOUND_CHARS = 32, 64
@@ -38,6 +42,16 @@ def _key(labels: Column, path: Column) -> Column:
     return F.concat(F.array_join(labels, "."), F.lit("\u0001"), path)
 
 
+def _ranges(cuts: list[bytes], where):
+    """Range of a key: how many of the sorted cuts lie before it; one bound a range, of BOUND_CHARS characters at most."""
+
+    @F.arrow_udf(IntegerType())
+    def at(keys: pa.Array) -> pa.Array:
+        return pa.array([where(cuts, k.as_py().encode()) for k in keys], pa.int32())
+
+    return at
+
+
 def _sweep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (range, key, kind): kind 0 opens a rule, kind 1 asks for the innermost open one."""
     stack: list[tuple[str, tuple]] = []
@@ -80,17 +94,18 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", id_
     sample = keys.select("key").distinct().orderBy(F.xxhash64("key")).limit(ranges * SAMPLE_PER_RANGE)
     seen = sorted({r[0] for r in sample.select(F.substring("key", 1, BOUND_CHARS)).collect()}, key=str.encode)
     bounds = [seen[i * len(seen) // ranges] for i in range(1, ranges)] if seen else []
-    cuts = F.array(*[F.lit(b) for b in dict.fromkeys(bounds)]).cast("array<string>")
+    cuts = [b.encode() for b in dict.fromkeys(bounds)]
+    low, high = _ranges(cuts, bisect_right), _ranges(cuts, bisect_left)
     no = F.lit(None).cast("string")
-    asks = keys.select(F.size(F.filter(cuts, lambda b: b <= F.col("key"))).alias("range"), "key", F.lit(1).alias("kind"), "host", "path", no.alias("rule_host"), no.alias("rule_path"), no.alias("rule_verdict"))
+    asks = keys.select(low("key").alias("range"), "key", F.lit(1).alias("kind"), "host", "path", no.alias("rule_host"), no.alias("rule_path"), no.alias("rule_verdict"))
     opens = good.withColumn("key", _key(labels, F.col("path")))
-    low = F.size(F.filter(cuts, lambda b: b <= F.col("key")))
-    high = F.size(F.filter(cuts, lambda b: b < F.concat(F.col("key"), F.lit(TOP))))
-    opens = opens.select(F.explode(F.sequence(low, high)).alias("range"), "key", F.lit(0).alias("kind"), no.alias("host"), no.alias("path"), F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), F.col("verdict").alias("rule_verdict"))
+    opens = opens.withColumn("low", low("key")).withColumn("high", high(F.concat("key", F.lit(TOP))))
+    opens = opens.select(F.explode(F.sequence("low", "high")).alias("range"), "key", F.lit(0).alias("kind"), no.alias("host"), no.alias("path"), F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), F.col("verdict").alias("rule_verdict"))
     swept = asks.unionByName(opens).repartition(ranges, "range").sortWithinPartitions("range", "key", "kind").mapInArrow(_sweep, SWEPT)
     length = F.length("rule_host") + F.length("rule_path")
     best = F.max(F.struct(length, F.length("rule_host"), F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict")))
     best = swept.groupBy("host", "path").agg(best.alias("best"))
+    best = written(best, "url-best")  # so that the join exchanges both sides and a url of very many pages is split
     judged = asked.join(best, ["host", "path"], "left")
     verdict = F.coalesce("best.verdict", F.lit(otherwise))
     return judged.select(id_col, "host", "path", F.col("best.rule").alias("rule"), verdict.alias("verdict"))
