@@ -1,13 +1,22 @@
 """Substring deduplication by paragraphs: MinHash banding, exact verification, clusters.
 
-A paragraph is a line (passages.py adds runs of short lines and passages inside lines). Equal paragraphs are one node; each distinct one gets BANDS keys of BAND_ROWS minima over its
-word shingles. Bands are tuned for recall: two paragraphs of similarity 0.8 share no key with probability
-(1 - 0.8 ** 4) ** 24, three in a million. Colliding paragraphs are verified by the exact Jaccard similarity of their
-shingles, links are clustered by connected components, and of each cluster all but the first paragraph are removed.
+A text is cut into paragraphs of two kinds, and no part of it is left out. Lines of LINE_WORDS words or more, and runs
+of shorter lines between them that have so many together, are paragraphs as they stand. Besides, wherever lines end,
+content picks its own: among the hashes of the five-word shingles, the least of each WINDOW neighbours starts a paragraph
+of WINDOW words. Equal passages pick equal starts, so every passage of 2 * WINDOW - 1 = 51 words holds a whole picked
+paragraph wherever it stands, inside a longer line, across line ends or in short lines; and no word of a text of WINDOW
+words or more is further from a pick than WINDOW words. A shorter text is one paragraph.
+
+Equal paragraphs are one node; each distinct one gets keys of BAND_ROWS minima over its word shingles. Bands are tuned
+for recall: two lines of similarity 0.8 share no key with probability (1 - 0.8 ** 2) ** 6, two in a thousand; picked
+paragraphs have at most 22 shingles, so those of 0.8 or more have 0.83 at least, and three bands miss 3 in a hundred of
+them, none that is equal. Colliding paragraphs are verified by the exact Jaccard similarity of their shingles, links are
+clustered by connected components, and of each cluster all but the first paragraph are removed.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,133 +25,230 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partsieve.llm.ngram_join import Shingler, U, _mixed
-from partsieve.llm.shared import whole, written
-from partsieve.llm.similarity import SimilarityJoin, parity
-
-#: Words of a shingle; words of the shortest paragraph that counts.
-SHINGLE, MIN_WORDS = 5, 20
-BANDS, BAND_ROWS = 24, 4
-#: Shingles whose minima are taken at once.
-BLOCK = 1 << 15
-
-
-def _paragraphs(text: bytes, shortest: int, joined: bool = False) -> Iterator[tuple[int, int, bytes]]:
-    """Number, words and content of the lines of at least so many words; joined: also of the runs of shorter lines between
-    them that have so many words together, by the number of their first line with a word."""
-    run, first, held = [], 0, 0
-    for i, line in enumerate(text.split(b"\n")):
-        n = len(line.split())
-        if n >= shortest:
-            if held >= shortest:
-                yield first, held, b"\n".join(run)
-            run, held = [], 0
-            yield i, n, line
-        elif joined and n:
-            first = first if run else i
-            run.append(line)
+from partsieve.llm.ngram_join import KNOWN, SEEN, U, _mixed, grams
+from partsieve.llm.shared import Tables, bit_set, filter_pages, with_hit, written
+from partsieve.llm.similarity import SimilarityJoin
+from partsieve.llm.suffix_dedup import PLACE_BITS, _least
+
+#: Words of a shingle; words of the shortest line that is a paragraph alone; words of a picked paragraph.
+SHINGLE, LINE_WORDS, WINDOW = 5, 20, 26
+#: Minima of a key; keys of a line and of a picked paragraph.
+BAND_ROWS, LINE_BANDS, WINDOW_BANDS = 2, 6, 3
+#: Words of texts that are cut at once, about.
+BLOCK = 1 << 16
+LINES, PICKED = 0, 1
+
+
+class WordHashes:
+    """64-bit hashes of the words of each line of a text."""
+
+    def __init__(self):
+        self._known = {}
+
+    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        lines, known = [line.split() for line in text.lower().split(b"\n")], self._known
+        if len(known) > KNOWN:
+            known.clear()
+        out = []
+        for words in lines:
+            h = [known.get(w) for w in words]
+            if None in h:
+                h = [known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words]
+            out += h
+        return np.array(out, np.uint64), np.array([len(x) for x in lines], np.int64)
+
+
+def lines_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of words of the paragraphs that lines make, by the words of each line."""
+    start, out, run, held = 0, [], 0, 0
+    for n in counts.tolist():
+        if n >= LINE_WORDS:
+            out += [(run, held)] * (held >= LINE_WORDS) + [(start, n)]
+            held = 0
+        elif n:
+            run = run if held else start
             held += n
-    if held >= shortest:
-        yield first, held, b"\n".join(run)
-
-
-def _node(members: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
+        start += n
+    out += [(run, held)] * (held >= LINE_WORDS)
+    both = np.array(out, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def picked(shingles: np.ndarray, n: int) -> np.ndarray:
+    """First words of the picked paragraphs of a text of n words: the least shingle of each WINDOW, the text's first and last."""
+    if n < WINDOW:
+        return np.zeros(min(n, 1), np.int64)
+    x, low = _mixed(shingles[: n - WINDOW + 1]), U((1 << PLACE_BITS) - 1)
+    x = (x & ~low) | np.arange(len(x), dtype=np.uint64)
+    return np.unique(np.concatenate([[0, n - WINDOW], (_least(x, min(WINDOW, len(x))) & low).astype(np.int64)]))
+
+
+def _sets(shingles: np.ndarray, at: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of each paragraph, end to end, and how many each has."""
+    n = np.maximum(n_words - SHINGLE + 1, 1)
+    which = np.repeat(np.arange(len(at)), n)
+    every = shingles[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + at[which]]
+    order = np.lexsort((every, which))
+    every = every[order]
+    new = np.append(True, (every[1:] != every[:-1]) | (which[1:] != which[:-1]))
+    return every[new], np.bincount(which[new], minlength=len(at))
+
+
+def _numbers(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit number of the content of each set."""
+    with np.errstate(over="ignore"):
+        each = _mixed(sets * U(0x9E3779B97F4A7C15) + U(0x632BE59BD9B4E019))
+        return _mixed(np.add.reduceat(each, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64) * U(0xD6E8FEB86659FD93)).view(np.int64)
 
 
-def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of BANDS keys a set."""
+def band_keys(sets: np.ndarray, sizes: np.ndarray, bands: int) -> np.ndarray:
+    """One row of keys a set."""
     r = np.random.default_rng(20)
-    factors = r.integers(1, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]]).astype(np.int64)
-    every = np.concatenate(sets)
-    every = (every ^ (every >> U(32))).astype(np.uint32)
-    minima = np.empty((len(sets), BANDS * BAND_ROWS), np.uint64)
+    factors = r.integers(1, 1 << 31, LINE_BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    first = np.cumsum(sizes) - sizes
+    every = (sets ^ (sets >> U(32))).astype(np.uint32)
     with np.errstate(over="ignore"):
-        for k, f in enumerate(factors):
+        keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(sizes), 1))
+        for k, f in enumerate(factors[: bands * BAND_ROWS]):
             x = every * f
             x ^= x >> np.uint32(15)
             x *= np.uint32(0x2C1B3C6D)
-            minima[:, k] = np.minimum.reduceat(x, first)
-        keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sets), 1))
-        for k in range(BAND_ROWS):
-            keys = _mixed(keys * U(0x9E3779B97F4A7C15) + minima[:, k::BAND_ROWS])
+            b = k // BAND_ROWS
+            keys[:, b] = _mixed(keys[:, b] * U(0x9E3779B97F4A7C15) + np.minimum.reduceat(x, first))
     return keys.view(np.int64)
 
 
-def _signatures(n: int, shortest: int, joined: bool):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(n)
-        for part in parts:
-            raw, at, where, words, sets, held = part.column(1).cast(pa.binary()), [], [], [], [], 0
-            for row in range(part.num_rows):
-                for i, n_words, line in _paragraphs(raw[row].as_py() or b"", shortest, joined):
-                    at.append(row)
-                    where.append(i)
-                    words.append(n_words)
-                    sets.append(shingles(line))
-                    held += len(sets[-1])
-                if sets and (held >= BLOCK or row == part.num_rows - 1):
-                    keys = band_keys(sets)
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
-                    columns = [part.column(0).take(pa.array(at)), pa.array(where, pa.int32()), pa.array(words, pa.int32()), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), pa.array([parity(s) for s in sets], pa.binary()), lists]
-                    yield pa.RecordBatch.from_arrays(columns, names=["id", "paragraph", "n_words", "size", "node", "sketch", "keys"])
-                    at, where, words, sets, held = [], [], [], [], 0
-
-    return run
-
-
-def _members(n: int, shortest: int, joined: bool):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(n)
-        for part in parts:
-            for wanted, t in zip(part.column(0), part.column(1).cast(pa.binary()), strict=True):
-                left, found = set(wanted.as_py()), {}
-                for _, _, line in _paragraphs(t.as_py() or b"", shortest, joined):
-                    s = shingles(line)
-                    if (node := _node(s)) in left:
-                        found[node] = s.tobytes()
-                        left.discard(node)
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "members"])
-
-    return run
-
-
-def paragraph_clusters(docs: DataFrame, n: int = SHINGLE, num: int = 80, den: int = 100, shortest: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", joined: bool = False) -> DataFrame:
-    """One row per paragraph that has a near copy: id, paragraph (line number from 0), n_words, first_id and
-    first_paragraph (the cluster's first in id, line order: it stays), cluster_size, removed.
-
-    Lines under shortest words are left out; joined: runs of them are one paragraph each (its first line's number) if they
-    have so many words together. Null and empty texts have no paragraphs. A-Z are lower-cased. Null ids come first; rows
-    that share an id and a text are the same document, whose paragraphs are counted once. Other columns are not read;
-    an empty table gives no rows.
-    """
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+def _paragraphs(text: bytes, hashes: WordHashes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each kind: the kind, first words, numbers of words, sets end to end, sizes, nodes of a text's paragraphs."""
+    a, counts = hashes(text)
+    shingles = grams(a, SHINGLE)
+    for kind in (LINES, PICKED):
+        at, n = lines_of(counts) if kind == LINES else (picked(shingles, len(a)), None)
+        n = np.minimum(len(a), WINDOW) + np.zeros(len(at), np.int64) if n is None else n
+        if len(at):
+            sets, sizes = _sets(shingles, at, n)
+            nodes = _numbers(sets, sizes)
+            if kind == PICKED and len(at) > 2:  # where words repeat, every place is a pick: of a run of equal paragraphs one for every WINDOW words
+                run = np.cumsum(np.append(True, nodes[1:] != nodes[:-1]))
+                step = (at - at[np.searchsorted(run, run)]) // WINDOW
+                stay = np.append(True, (run[1:] != run[:-1]) | (step[1:] != step[:-1]))
+                sets, at, n, sizes, nodes = sets[np.repeat(stay, sizes)], at[stay], n[stay], sizes[stay], nodes[stay]
+            yield kind, at, n, sets, sizes, nodes
+
+
+def _signatures(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, tx, text) -> id, tx, kind, start, n_words, size, node, keys; a node's keys come once a task (and again after SEEN others)."""
+    hashes, seen = WordHashes(), set()
+    for part in parts:
+        raw, held, rows = part.column(2).cast(pa.binary()), {LINES: [], PICKED: []}, 0
+        for row in range(part.num_rows):
+            for kind, at, n, sets, sizes, nodes in _paragraphs(raw[row].as_py() or b"", hashes):
+                held[kind].append((np.full(len(at), row), at, n, sizes, nodes, sets))
+                rows += len(sets)
+            if rows >= BLOCK or row == part.num_rows - 1:
+                for kind, found in held.items():
+                    if found:
+                        which, at, n, sizes, nodes, sets = (np.concatenate(k) for k in zip(*found, strict=True))
+                        keys = band_keys(sets, sizes, LINE_BANDS if kind == LINES else WINDOW_BANDS)
+                        new = np.array([x not in seen and not seen.add(x) for x in nodes.tolist()])
+                        ends = np.append(0, np.cumsum(new * keys.shape[1]))
+                        which = pa.array(which)
+                        columns = [part.column(0).take(which), part.column(1).take(which), pa.array(np.full(len(at), kind), pa.int8()), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(sizes, pa.int64()), pa.array(nodes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[new].ravel()))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["id", "tx", "kind", "start", "n_words", "size", "node", "keys"])
+                held, rows = {LINES: [], PICKED: []}, 0
+                if len(seen) > SEEN:
+                    seen.clear()
+
+
+def _members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(nodes, text) -> (node, members) of the asked paragraphs of a text."""
+    hashes = WordHashes()
+    for part in parts:
+        for wanted, t in zip(part.column(0), part.column(1).cast(pa.binary()), strict=True):
+            left, found = set(wanted.as_py()), {}
+            for _, _, _, sets, sizes, nodes in _paragraphs(t.as_py() or b"", hashes):
+                ends = np.cumsum(sizes)
+                found |= {x: sets[e - s : e].tobytes() for x, s, e in zip(nodes.tolist(), sizes.tolist(), ends.tolist(), strict=True) if x in left}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "members"])
+
+
+def _clusters(docs: DataFrame, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """id, tx, kind, start, n_words, first (id, tx, start, n_words), cluster_size, removed of the paragraphs with a near copy."""
+    tables, text = Tables(docs.sparkSession, "paragraph"), F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tx"), text.alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    shape = f"id {kind}, paragraph int, n_words int, size long, node long, sketch binary, keys array<long>"
-    sets = written(texts.mapInArrow(_signatures(n, shortest, joined), shape), "paragraph-signatures")
-    _, joined = SimilarityJoin(sets, texts, _members(n, shortest, joined), num, den, "paragraph").links()
-    rows = sets.select("id", "paragraph", "n_words", "node").distinct().join(joined, "node", "left")
-    rows = written(rows.select("id", "paragraph", "n_words", F.coalesce("component", "node").alias("group")), "paragraph-rows")
-    here = F.struct("id", "paragraph")
-    groups = rows.groupBy("group").agg(F.count("*").alias("cluster_size"), F.min(here).alias("first")).where("cluster_size > 1")
-    return rows.join(groups, "group").select(
-        F.col("id").alias(id_col),
-        "paragraph",
-        "n_words",
-        F.col("first.id").alias("first_id"),
-        F.col("first.paragraph").alias("first_paragraph"),
-        "cluster_size",
-        (~here.eqNullSafe(F.col("first"))).alias("removed"),
-    )
+    shape = f"id {kind}, tx long, kind byte, start int, n_words int, size long, node long, keys array<long>"
+    sets = tables.write(texts.mapInArrow(_signatures, shape), "signatures")
+    joined = SimilarityJoin(sets, texts, _members, num, den, tables, first=0).links()
+    several = sets.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    several = several if joined is None else several.unionByName(joined.select("node"))
+    several = tables.write(several.distinct(), "several")
+    pages = filter_pages(several.count())
+    rows = with_hit(sets.select("id", "tx", "kind", "start", "n_words", "node"), bit_set(several, ["node"], pages), ["node"], pages).where("hit").drop("hit")
+    rows = rows.join(several, "node", "left_semi").distinct()
+    rows = rows.withColumn("component", F.col("node")) if joined is None else rows.join(joined, "node", "left")
+    rows = tables.write(rows.withColumn("group", F.coalesce("component", "node")).drop("component", "node"), "rows")
+    tables.drop(sets, joined, several)
+    here = F.struct("id", "tx", "start", "n_words")
+    groups = rows.groupBy("group").agg(F.count("*").alias("cluster_size"), F.min(here).alias("first"), F.max(here).alias("last"))
+    alike = lambda x: x["id"].eqNullSafe(F.col("first.id")) & (x["tx"] == F.col("first.tx")) & (x["start"] < F.col("first.start") + F.col("first.n_words"))
+    groups = written(groups.where(~alike(F.col("last"))).drop("last"), "paragraph-groups")
+    out = rows.join(groups, "group").withColumn("at", here)
+    return out.withColumn("removed", ~alike(F.col("at"))).drop("at", "group")
+
+
+def paragraph_clusters(docs: DataFrame, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per paragraph that has a near copy elsewhere: id, kind (line or picked), start (word number from 0), n_words,
+    first_id and first_start (the cluster's first place in id, start order: it stays), cluster_size, removed.
+
+    Paragraphs that overlap the first place in its own text stay with it, and a cluster whose places all do is none. Null
+    and empty texts have no paragraphs. A-Z are lower-cased, words are cut at ASCII white space. Null ids come first; rows
+    that share an id and a text are the same document, whose paragraphs are counted once. Other columns, whatever their
+    names, are not read; an empty table gives no rows.
+    """
+    out = _clusters(docs, num, den, id_col, text_col)
+    kind = F.when(F.col("kind") == LINES, "line").otherwise("picked").alias("kind")
+    return out.select(F.col("id").alias(id_col), kind, "start", "n_words", F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start"), "cluster_size", "removed")
+
+
+def _cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, tx, text, gone: first word and number of words of each span) -> (id, tx, text without them)."""
+    word = re.compile(rb"[^\x20\x09-\x0D]+")
+    for part in parts:
+        out = []
+        for text, gone in zip(part.column(2).cast(pa.binary()), part.column(3), strict=True):
+            text = text.as_py()
+            spans = [m.span() for m in word.finditer(text)]
+            lost = np.zeros(len(spans) + 1, np.int64)
+            for g in gone.as_py():
+                lost[g["start"]] += 1
+                lost[g["start"] + g["n_words"]] -= 1
+            keep, last, kept = np.cumsum(lost)[:-1] == 0, 0, []
+            for i, (lo, hi) in enumerate(spans):
+                if not keep[i]:
+                    kept.append(text[last:lo] if i == 0 or keep[i - 1] else b"")
+                    last = hi
+            out.append(b"".join([*kept, text[last:]]))
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary()).cast(pa.string())], names=["id", "tx", "text"])
 
 
 def paragraph_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with the removed paragraphs cut out of their texts; documents that lose nothing come through as they are."""
-    lost = paragraph_clusters(docs, id_col=id_col, text_col=text_col, **how).where("removed")
-    lost = lost.groupBy(F.col(id_col).alias("_id")).agg(F.collect_set("paragraph").alias("_gone"))
-    both = docs.join(lost, docs[id_col].eqNullSafe(F.col("_id")), "left")
-    lines = F.split(whole(docs[text_col]), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), docs[text_col]).otherwise(kept)
-    return both.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    """docs, all rows and columns, with the words of removed paragraphs, and the white space between them, cut out of their texts.
+
+    Documents that lose nothing come through as they are, null texts included; rows that share an id and a text lose the
+    same. Columns may have any names.
+    """
+    tables, names = Tables(docs.sparkSession, "paragraph"), docs.columns
+    lost = _clusters(docs, how.pop("num", 80), how.pop("den", 100), id_col, text_col).where("removed")
+    lost = tables.write(lost.groupBy("id", "tx").agg(F.collect_set(F.struct("start", "n_words")).alias("gone")), "lost")
+    at, text_at = names.index(id_col), names.index(text_col)
+    kind = docs.schema[text_at].dataType
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumn("tx", F.xxhash64(F.col(f"c{text_at}").cast("string")))
+    texts = plain.select(F.col(f"c{at}").alias("id"), F.col("tx").alias("tx0"), F.col(f"c{text_at}").cast("string").alias("text"))
+    asked = texts.join(lost.withColumnRenamed("id", "lost_id"), F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("tx0") == F.col("tx")))
+    asked = asked.groupBy("lost_id", "tx").agg(F.first("text").alias("text"), F.first("gone").alias("gone"))
+    new = asked.select(F.col("lost_id").alias("id"), "tx", "text", "gone").mapInArrow(_cut, f"id {docs.schema[at].dataType.simpleString()}, tx long, text string")
+    new = tables.write(new, "cut").toDF("new_id", "new_tx", "new_text")
+    both = plain.join(new, F.col(f"c{at}").eqNullSafe(F.col("new_id")) & (F.col("tx") == F.col("new_tx")), "left")
+    text = F.when(F.col("new_tx").isNull(), F.col(f"c{text_at}")).otherwise(F.col("new_text").cast(kind))
+    return both.select(*(text.alias(f"c{i}") if i == text_at else F.col(f"c{i}") for i in range(len(names)))).toDF(*names)

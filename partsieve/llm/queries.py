@@ -13,7 +13,6 @@ from partsieve.llm.line_dedup import line_dedup
 from partsieve.llm.mixing import mix
 from partsieve.llm.ngram_join import ngram_components
 from partsieve.llm.paragraph_dedup import paragraph_clusters
-from partsieve.llm.passages import passage_clusters
 from partsieve.llm.quality_model import quality_scores
 from partsieve.llm.repetition import quality_rules
 from partsieve.llm.suffix_dedup import suffix_dedup
@@ -47,13 +46,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-equal paragraphs, short lines joined, and repeated passages of 50 words or more wherever they stand; which of them go."""
-    return passage_clusters(_table(spark, sf_dir, "documents"))
-
-
 def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clusters of near-equal paragraphs of all documents, and which of them go."""
+    """Clusters of near-equal paragraphs of all documents, lines and picked ones, and which of them go."""
     return paragraph_clusters(_table(spark, sf_dir, "documents"))
 
 
@@ -158,7 +152,6 @@ GROUP BY l.doc_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_classifier": op2_quality_classifier,
-    "op3_passage_dedup": op3_passage_dedup,
     "op3_paragraph_dedup": op3_paragraph_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,

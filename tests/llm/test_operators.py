@@ -11,7 +11,6 @@ from partsieve.llm.exact_dedup import exact_groups
 from partsieve.llm.line_dedup import line_dedup
 from partsieve.llm.mixing import mix
 from partsieve.llm.ngram_join import ngram_components
-from partsieve.llm.paragraph_dedup import paragraph_clusters
 from partsieve.llm.repetition import quality_rules
 from partsieve.llm.suffix_dedup import suffix_dedup
 from tests.oracle import differences
@@ -84,15 +83,6 @@ def test_quality_separates_held_out(spark):
     assert sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad)) > 0.8
 
 
-def test_paragraphs(spark, docs):
-    sets = {(i, k): shingles(line, 5) for i, t in docs.items() for k, line in enumerate(t.split("\n")) if len(words(line)) >= 20}
-    found = components(sets, 80, 100)
-    size = Counter(found.values())
-    want = {k: (first, size[first]) for k, first in found.items() if size[first] > 1}
-    got = {(r[0], r[1]): ((r["first_id"], r["first_paragraph"]), r["cluster_size"]) for r in q.op3_paragraph_dedup(spark, SF).collect()}
-    assert got == want
-
-
 def test_repetition_counts(spark, docs):
     for r in q.op5_quality_rules(spark, SF).collect():
         t = docs[r["doc_id"]]
@@ -134,11 +124,10 @@ def test_components(spark, docs):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in q.op10_ngram_join(spark, SF).collect()} == {i: (len(s), want[i]) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("f", [exact_groups, line_dedup, mix, ngram_components, paragraph_clusters, quality_rules, suffix_dedup])
+@pytest.mark.parametrize("f", [exact_groups, line_dedup, mix, ngram_components, quality_rules, suffix_dedup])
 def test_nulls_copies_and_no_rows(spark, f):
     long = " ".join(f"word{i % 97}" for i in range(3000))
     rows = [(1, None, "a", None), (2, "", None, 1), (None, "x y z w v", "a", 2), (3, long, "b", 3), (3, long, "b", 3), (4, long.upper(), "b", 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size long")
-    n = f(docs).count()
-    assert n == 2 if f is paragraph_clusters else n == len(rows)
+    assert f(docs).count() == len(rows)
     assert f(docs.limit(0)).count() == 0
