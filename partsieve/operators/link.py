@@ -29,3 +29,9 @@ def token_jaccard(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     y = right.select("b", F.size("tokens").alias("nb"), F.explode("tokens").alias("t"))
     both = x.join(y, "t").groupBy("a", "b").agg(F.count("*").alias("n"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     return both.withColumn("score", F.col("n") / (F.col("na") + F.col("nb") - F.col("n"))).where(F.col("score") >= least).select("a", "b", "score")
+
+
+def best_per_pair(rows: DataFrame, pair: list[str], most: list[str], least: list[str]) -> DataFrame:
+    """One row of each pair: the one with the most, then the least, of some columns."""
+    w = Window.partitionBy(*pair).orderBy(*[F.col(c).desc() for c in most], *[F.col(c).asc() for c in least])
+    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

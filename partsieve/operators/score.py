@@ -46,6 +46,6 @@ def depth(description_len: Column, bom_count: Column, license_specificity: Colum
 
 
 def openness(flags: dict[str, Column]) -> Column:
-    """0 to 8: the flags that hold; repo counts twice."""
-    names = ["repo", "license", "bom", "repo", "readme", "doc_url", "contributors", "issues"]
+    """0 to 8: published files, parts list, assembly, editable files (repo again), licence, version control, contribution guide, issues."""
+    names = ["repo", "bom", "assembly", "repo", "license", "vcs", "contributing", "issues"]
     return reduce(lambda a, b: a + b, [_one(flags[k]) for k in names if k in flags], F.lit(0)).cast("long")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partsieve.plans import domain, relational
+from partsieve.plans import domain, records, relational
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = relational.QUERIES | domain.QUERIES
-ORACLES: dict[str, str] = relational.ORACLES | domain.ORACLES
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = relational.QUERIES | domain.QUERIES | records.QUERIES
+ORACLES: dict[str, str] = relational.ORACLES | domain.ORACLES | records.ORACLES

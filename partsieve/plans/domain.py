@@ -34,13 +34,13 @@ _SIGNALS = """
 WITH o AS (SELECT o_custkey AS id, count(*) AS n_bom, count(DISTINCT o_orderpriority) AS n_people, count(DISTINCT o_orderstatus) AS n_kinds,
                   max(o_orderdate) AS last_at, sum(CASE WHEN o_totalprice > 300000 THEN 1 ELSE 0 END) AS n_releases FROM orders GROUP BY 1),
 s AS (SELECT c_custkey AS id, length(c_name || ' ' || c_mktsegment) * 20 AS len, coalesce(n_bom, 0) AS n_bom, coalesce(n_people, 0) AS n_people, coalesce(n_kinds, 0) AS n_kinds,
-             n_releases, c_acctbal > 0 AS has_repo, c_mktsegment LIKE 'B%' AS has_doc, c_nationkey % 3 = 0 AS has_readme,
+             n_releases, CASE WHEN n_bom > 0 THEN n_bom * 3 END AS health, c_acctbal > 0 AS has_repo, c_mktsegment LIKE 'B%' AS has_doc, c_nationkey % 3 = 0 AS has_readme,
              date_diff('microsecond', last_at, TIMESTAMP '2002-01-01') / 86400e6 / 365.25 AS years FROM customer LEFT JOIN o ON o.id = c_custkey)
 """
 _F = {"bom": "n_bom > 0", "license": "n_kinds > 0", "multi_license": "n_kinds > 1", "repo": "has_repo", "readme": "has_readme", "doc_url": "has_doc", "description": "len > 0", "contributors": "n_people > 0", "tags": "n_people > 2"}
 _W = {"bom": 20, "license": 15, "repo": 15, "readme": 10, "doc_url": 10, "description": 10, "contributors": 10, "tags": 2}
 _DEPTH = ["CASE WHEN len > 0 THEN least(len / 500.0, 1) * 100 END", "CASE WHEN n_bom > 0 THEN least(n_bom / 10.0, 1) * 100 END", "CASE WHEN n_kinds > 1 THEN 100.0 WHEN n_kinds = 1 THEN 50.0 END",
-          "CASE WHEN n_people > 0 THEN least(n_people / 5.0, 1) * 100 END", "least(n_releases / 3.0, 1) * 100", "greatest(0, 100 - years * 20)"]
+          "CASE WHEN n_people > 0 THEN least(n_people / 5.0, 1) * 100 END", "health", "least(n_releases / 3.0, 1) * 100", "greatest(0, 100 - years * 20)"]
 
 
 @query(
@@ -48,7 +48,8 @@ _DEPTH = ["CASE WHEN len > 0 THEN least(len / 500.0, 1) * 100 END", "CASE WHEN n
     + "SELECT id, CAST(" + " + ".join(f"{w} * CAST({_F[k]} AS INT)" for k, w in _W.items()) + " AS BIGINT) AS completeness, "
     + "CAST(round_even((1 + " + " + ".join(f"CAST({c} AS INT)" for c in _F.values()) + ") / 12 * 100, 0) AS BIGINT) AS coverage, "
     + "CAST(round_even(list_avg(list_filter([" + ", ".join(f"CAST({x} AS DOUBLE)" for x in _DEPTH) + "], lambda x: x IS NOT NULL)), 0) AS BIGINT) AS depth, "
-    + "CAST(" + " + ".join(f"CAST({_F[k]} AS INT)" for k in ("repo", "license", "bom", "repo", "readme", "doc_url", "contributors")) + " AS BIGINT) AS openness FROM s"
+    + "CAST(2 * CAST(has_repo AS INT) + CAST(n_bom > 0 AS INT) + CAST(has_doc OR has_readme AS INT) + CAST(n_kinds > 0 AS INT) + CAST(has_repo AND has_doc AS INT) + CAST(coalesce(health >= 25, false) AS INT) "
++ "+ CAST(coalesce(n_releases > 0, false) AS INT) AS BIGINT) AS openness FROM s"
 )
 def doc_scores(s: SparkSession, d: str) -> DataFrame:
     """The four documentation scores; customers stand for projects, their orders for parts lists."""
@@ -60,13 +61,14 @@ def doc_scores(s: SparkSession, d: str) -> DataFrame:
     zero = lambda c: F.coalesce(c, F.lit(0))
     p = p.select(
         F.col("c_custkey").alias("id"), (F.length(F.concat_ws(" ", "c_name", "c_mktsegment")) * 20).alias("len"), zero(F.col("n_bom")).alias("n_bom"), zero(F.col("n_people")).alias("n_people"),
-        zero(F.col("n_kinds")).alias("n_kinds"), "n_releases", (F.col("c_acctbal") > 0).alias("has_repo"), F.col("c_mktsegment").like("B%").alias("has_doc"), (F.col("c_nationkey") % 3 == 0).alias("has_readme"),
+        zero(F.col("n_kinds")).alias("n_kinds"), "n_releases", F.when(F.col("n_bom") > 0, F.col("n_bom") * 3).alias("health"), (F.col("c_acctbal") > 0).alias("has_repo"), F.col("c_mktsegment").like("B%").alias("has_doc"), (F.col("c_nationkey") % 3 == 0).alias("has_readme"),
         years_between(F.lit("2002-01-01").cast("timestamp"), F.col("last_at").cast("timestamp")).alias("years"),
     )
     flags = {k: F.expr(c) for k, c in _F.items()}
+    signs = {"assembly": F.col("has_doc") | F.col("has_readme"), "vcs": F.col("has_repo") & F.col("has_doc"), "contributing": F.col("health") >= 25, "issues": F.col("n_releases") > 0}
     specific = F.when(F.col("n_kinds") > 1, 100.0).when(F.col("n_kinds") == 1, 50.0)
-    deep = depth(F.col("len"), F.col("n_bom"), specific, F.lit(None), F.col("n_people"), F.col("n_releases"), F.col("years"))
-    return p.select("id", completeness(flags).alias("completeness"), coverage(flags).alias("coverage"), deep.alias("depth"), openness(flags).alias("openness"))
+    deep = depth(F.col("len"), F.col("n_bom"), specific, F.col("health"), F.col("n_people"), F.col("n_releases"), F.col("years"))
+    return p.select("id", completeness(flags).alias("completeness"), coverage(flags).alias("coverage"), deep.alias("depth"), openness(flags | signs).alias("openness"))
 
 
 @query(r"""SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)cc.?by.?nc') THEN 'CC-BY-NC' WHEN regexp_matches(text, '(?i)apache.?2') THEN 'Apache' WHEN regexp_matches(text, '(?i)gpl.?v?3') THEN 'GPL'
