@@ -24,11 +24,43 @@ def last_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def token_jaccard(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """left: a, tokens; right: b, tokens (distinct). Pairs with a Jaccard similarity of least or more, by shared tokens."""
-    x = left.select("a", F.size("tokens").alias("na"), F.explode("tokens").alias("t"))
-    y = right.select("b", F.size("tokens").alias("nb"), F.explode("tokens").alias("t"))
-    both = x.join(y, "t").groupBy("a", "b").agg(F.count("*").alias("n"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    return both.withColumn("score", F.col("n") / (F.col("na") + F.col("nb") - F.col("n"))).where(F.col("score") >= least).select("a", "b", "score")
+    """left: a, tokens; right: b, tokens (distinct). Pairs a, b, score with a Jaccard similarity of least or more.
+
+    Only the rarest tokens of each set are joined on: two sets that reach the threshold share one of the first
+    size - ceil(least * size) + 1 in any common order, here by frequency. Tokens of every title are so left out.
+    """
+    tokens = left.select(F.explode("tokens").alias("t")).unionAll(right.select(F.explode("tokens").alias("t")))
+    rank = tokens.groupBy("t").agg(F.count("*").alias("n"))
+
+    def prefixes(rows: DataFrame, key: str) -> DataFrame:
+        ranked = rows.select(key, F.explode("tokens").alias("t")).join(rank, "t").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("r"))
+        first = F.slice("r", 1, (F.size("r") - F.ceil(F.lit(least) * F.size("r")) + 1).cast("int"))
+        return ranked.select(key, F.explode(F.transform(first, lambda x: x["t"])).alias("t"))
+
+    met = prefixes(left, "a").join(prefixes(right, "b"), "t").select("a", "b").distinct()
+    both = met.join(left.toDF("a", "x"), "a").join(right.toDF("b", "y"), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return both.select("a", "b", (shared / (F.size("x") + F.size("y") - shared)).alias("score")).where(F.col("score") >= least)
+
+
+def greedy_pairs(scored: DataFrame, rounds: int = 1000) -> DataFrame:
+    """a, b, score: every a in order takes its best b (highest score, then least b) that no a before it took.
+
+    Each round settles all a that are first in order at their best b among those still open, so the choice equals the
+    one made row by row, and no task sees all pairs. The first a of all is always settled.
+    """
+    spark, done, left = scored.sparkSession, None, scored.select("a", "b", "score")
+    for _ in range(rounds):
+        left = left.checkpoint() if spark.sparkContext.getCheckpointDir() else left.cache()
+        if left.isEmpty():
+            break
+        best = left.groupBy("a").agg(F.min(F.struct((-F.col("score")).alias("score"), "b")).alias("m")).select("a", F.col("m.b").alias("b"), (-F.col("m.score")).alias("score"))
+        first = left.groupBy("b").agg(F.min("a").alias("first"))
+        won = best.join(first, "b").where("a = first").select("a", "b", "score")
+        won = won.cache()
+        done = won if done is None else done.unionByName(won)
+        left = left.join(won.select("a"), "a", "left_anti").join(won.select("b"), "b", "left_anti")
+    return done if done is not None else scored.limit(0)
 
 
 def best_per_pair(rows: DataFrame, pair: list[str], most: list[str], least: list[str]) -> DataFrame:

@@ -41,3 +41,10 @@ def merge_partial(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def replace_groups(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete and insert: groups that come in replace those that are there."""
     return existing.join(incoming.select(*keys).distinct(), list(keys), "left_anti").unionByName(incoming)
+
+
+def fill_known(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """existing with its null fields filled from incoming (one row a key); known fields and other rows stay as they are."""
+    others = [c for c in existing.columns if c not in keys]
+    new = incoming.select(*keys, *[F.col(c).alias(f"new_{i}") for i, c in enumerate(others)])
+    return existing.join(new, list(keys), "left").select(*keys, *[F.coalesce(F.col(c), F.col(f"new_{i}")).alias(c) for i, c in enumerate(others)])
