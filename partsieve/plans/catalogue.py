@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partsieve.plans import domain, records, relational, reports
+from partsieve.plans import domain, files, records, relational, reports
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = relational.QUERIES | domain.QUERIES | records.QUERIES | reports.QUERIES
-ORACLES: dict[str, str] = relational.ORACLES | domain.ORACLES | records.ORACLES | reports.ORACLES
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = relational.QUERIES | domain.QUERIES | records.QUERIES | reports.QUERIES | files.QUERIES
+ORACLES: dict[str, str] = relational.ORACLES | domain.ORACLES | records.ORACLES | reports.ORACLES | files.ORACLES

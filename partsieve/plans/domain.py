@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +11,7 @@ from partsieve.operators.evaluate import confusion
 from partsieve.operators.link import cross_references, token_jaccard
 from partsieve.operators.merge import merge, merge_partial, replace_groups
 from partsieve.operators.score import completeness, coverage, depth, openness
+from partsieve.plans.files import scratch
 from partsieve.session import table as t
 from partsieve.streaming.ingest import ingest, ingested
 
@@ -224,7 +223,6 @@ def tree_format(s: SparkSession, d: str) -> DataFrame:
 @query("""SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""")
 def stream_ingest(s: SparkSession, d: str) -> DataFrame:
     """State of a file stream after every batch was merged: the last event of each user."""
-    base = s.conf.get("spark.checkpoint.dir", None) or "/tmp"
-    run = f"{base.rstrip('/')}/partsieve-stream-{uuid.uuid4().hex}"
+    run = scratch(s, "stream")
     ingest(s, d, "events.parquet", f"{run}/out", f"{run}/checkpoint")
     return ingested(s, f"{run}/out")
