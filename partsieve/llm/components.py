@@ -31,16 +31,17 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     are not returned.
     """
     tables = Tables(edges.sparkSession, "components")
-    now = tables.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    hashed = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashed")
+    now = tables.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges", hashed)
     seen = None
     for _ in range(rounds):
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen or not mark[0]:
+        mark = tables.seen(now)
+        if mark == seen or not mark["n"]:
             break
         seen = mark
         large = tables.write(_hang(tables, now, up=True), "large")
         tables.drop(now)
-        now = tables.write(_hang(tables, large, up=False), "edges")
+        now = tables.write(_hang(tables, large, up=False), "edges", hashed)
         tables.drop(large)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -137,16 +137,13 @@ def _signatures(n: int, num: int, den: int):
 
 
 def _members(n: int):
+    """(text) -> (node, members) of the text's set."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for part in parts:
-            nodes, sets = [], []
-            for wanted, t in zip(part.column(0), part.column(1).cast(pa.binary()), strict=True):
-                s = shingles(t.as_py() or b"")
-                if (node := set_number(s)) in wanted.as_py():
-                    nodes.append(node)
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "members"])
+            sets = [shingles(t.as_py() or b"") for t in part.column(0).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array([set_number(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
 
     return run
 
@@ -157,7 +154,7 @@ def _rows(docs: DataFrame, tables: Tables, n: int, num: int, den: int, id_col: s
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tx"), text.alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     sets = tables.write(texts.mapInArrow(_signatures(n, num, den), f"id {kind}, tx long, size long, node long, keys array<long>"), "signatures")
-    joined = SimilarityJoin(sets, texts, _members(n), num, den, tables).links()
+    joined = SimilarityJoin(sets, texts, _members(n), num, den, tables, single=True).links()
     rows = sets.select("id", "tx", "size", "node")
     rows = rows.withColumn("component", F.col("node")) if joined is None else rows.join(joined, "node", "left")
     group = F.when(F.col("size") > 0, F.coalesce("component", "node")).alias("group")

@@ -161,10 +161,10 @@ def _signatures(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(nodes, text) -> (node, members) of the asked paragraphs of a text."""
+    """(text, nodes) -> (node, members) of the asked paragraphs of a text."""
     hashes = WordHashes()
     for part in parts:
-        for wanted, t in zip(part.column(0), part.column(1).cast(pa.binary()), strict=True):
+        for t, wanted in zip(part.column(0).cast(pa.binary()), part.column(1), strict=True):
             left, found = set(wanted.as_py()), {}
             for _, _, _, sets, sizes, nodes in _paragraphs(t.as_py() or b"", hashes):
                 ends = np.cumsum(sizes)
@@ -183,7 +183,7 @@ def _clusters(docs: DataFrame, num: int, den: int, id_col: str, text_col: str) -
     several = sets.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     several = several if joined is None else several.unionByName(joined.select("node"))
     several = tables.write(several.distinct(), "several")
-    pages = filter_pages(several.count())
+    pages = filter_pages(tables.count(several))
     rows = with_hit(sets.select("id", "tx", "kind", "start", "n_words", "node"), bit_set(several, ["node"], pages), ["node"], pages).where("hit").drop("hit")
     rows = rows.join(several, "node", "left_semi").distinct()
     rows = rows.withColumn("component", F.col("node")) if joined is None else rows.join(joined, "node", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -34,19 +34,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 class Tables:
-    """Written tables of one job, deleted one by one when their successors are written."""
+    """Written tables of one job, deleted one by one when their successors are written.
+
+    What write() counts on its way is not less than the rows written, and more only if a lost executor made Spark run a
+    stage again: enough to tell an empty table, to size a filter, and to see that a round changed something.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name = spark, name
-        self._paths: dict[int, tuple[DataFrame, str]] = {}
+        self._paths: dict[int, tuple[DataFrame, str, dict]] = {}
 
-    def write(self, df: DataFrame, what: str) -> DataFrame:
+    def write(self, df: DataFrame, what: str, *sums: Column) -> DataFrame:
+        """df as written; sums: further aggregates for seen()."""
         path = f"{shared_dir(self.spark)}/partsieve/{self.name}-{what}-{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(path)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n"), *sums).write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = out, path
+        self._paths[id(out)] = out, path, seen.get
         return out
 
+    def seen(self, table: DataFrame) -> dict:
+        return self._paths[id(table)][2]
+
+    def count(self, table: DataFrame) -> int:
+        return self.seen(table)["n"]
+
     def drop(self, *tables: DataFrame | None) -> None:
         """Deletes tables that write() returned; nothing that is still to be read may come from them."""
         jvm = self.spark.sparkContext._jvm

@@ -31,7 +31,7 @@ FIRST = 6
 #: Members of a group that is compared pair by pair, many groups at once.
 SMALL = 8
 #: Members of a side of a tile.
-TILE = 2048
+TILE = 1024
 #: Nearest pairs of a component that leave a tile, round by round; None: all.
 ROUNDS = (1, 16, None)
 
@@ -44,8 +44,8 @@ def shared_members(left: pa.Array, right: pa.Array) -> pa.Array:
 
 
 def parity(members: np.ndarray) -> bytes:
-    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with four to eight bits a member."""
-    bits = max(64, 4 << (len(members) | 1).bit_length())
+    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with two to four bits a member."""
+    bits = max(64, 2 << (len(members) | 1).bit_length())
     odd = np.bincount((members >> np.uint64(6) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -59,27 +59,33 @@ class SimilarityJoin:
     """Components of sets that meet under a common key.
 
     rows: id, tx (a hash of the text), size, node (a number for the set's content), keys; sets of size 0 are left out.
-    texts: id, tx, text. members: a function for mapInArrow from (nodes, text) to (node, members), which gives those of
-    the wanted nodes that the text has, once each, with the sorted 64-bit hashes of the set. Two sets are linked if they
-    share num/den of their union or more.
+    texts: id, tx, text. members: a function for mapInArrow from (text, nodes) to (node, members), which gives those of
+    the wanted nodes that the text has, once each, with the sorted 64-bit hashes of the set; single: a text has one node,
+    and the function takes (text) alone. Two sets are linked if they share num/den of their union or more.
     """
 
-    def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, num: int, den: int, tables: Tables, first: int = FIRST):
-        self.rows, self.texts, self.members, self.num, self.den, self.tables, self.first = rows, texts, members, num, den, tables, first
+    def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, num: int, den: int, tables: Tables, first: int = FIRST, single: bool = False):
+        self.rows, self.texts, self.members, self.num, self.den, self.tables, self.first, self.single = rows, texts, members, num, den, tables, first, single
         self.joined: DataFrame | None = None
 
     def _sets(self, nodes: DataFrame) -> DataFrame:
-        """node, members of the asked nodes, each read from one text that has it."""
+        """node, members of the asked nodes (and of few others), each read from one text that has it, in place where texts are single."""
         nodes = self.tables.write(nodes.distinct(), "asked")
-        pages = filter_pages(nodes.count())
+        pages = filter_pages(self.tables.count(nodes))
         rows = self.rows.select("node", F.xxhash64("id", "tx").alias("pick"))
-        rows = with_hit(rows, bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").groupBy("node").agg(F.min("pick").alias("pick"))
-        picks = rows.join(nodes, "node", "left_semi").groupBy("pick").agg(F.collect_list("node").alias("nodes"))
+        rows = with_hit(rows, bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").groupBy("node", "pick").agg(F.count("*").alias("n")).groupBy("node").agg(F.min(F.struct("pick", "n")).alias("p"))
+        picks = rows.join(nodes, "node", "left_semi").groupBy("p.pick").agg(F.collect_list("node").alias("nodes"), F.max("p.n").alias("n"))
         picks = self.tables.write(picks, "picks")
         texts = self.texts.select(F.xxhash64("id", "tx").alias("pick"), "text")
         texts = with_hit(texts, bit_set(picks, ["pick"], pages), ["pick"], pages).where("hit").select("pick", "text")
-        found = texts.join(picks, "pick").groupBy("pick").agg(F.first("nodes").alias("nodes"), F.first("text").alias("text"))
-        sets = self.tables.write(found.select("nodes", "text").mapInArrow(self.members, "node long, members binary"), "sets")
+        if self.single:
+            sets = texts.select("text").mapInArrow(self.members, "node long, members binary")
+            if not picks.where("n > 1").isEmpty():  # rows that repeat id and text
+                sets = sets.groupBy("node").agg(F.first("members").alias("members"))
+        else:
+            found = texts.join(picks, "pick").groupBy("pick").agg(F.first("text").alias("text"), F.first("nodes").alias("nodes"))
+            sets = found.select("text", "nodes").mapInArrow(self.members, "node long, members binary")
+        sets = self.tables.write(sets, "sets")
         self.tables.drop(nodes, picks)
         return sets
 
@@ -93,7 +99,7 @@ class SimilarityJoin:
 
     def _merge(self, links: DataFrame) -> None:
         """Joins the components that the links connect."""
-        if links.isEmpty():
+        if not self.tables.count(links):
             self.tables.drop(links)
             return
         edges = links if self.joined is None else links.unionByName(self.joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")))
@@ -124,7 +130,7 @@ class SimilarityJoin:
         """key, node of all members of the keys under which two components meet."""
         rows = self.rows.where("size > 0").select("node", "keys")
         if self.joined is not None:
-            pages = filter_pages(self.joined.count())
+            pages = filter_pages(self.tables.count(self.joined))
             marked = with_hit(rows, bit_set(self.joined, ["node"], pages), ["node"], pages)
             some = self._named(marked.where("hit").drop("hit"))
             rows = some.unionByName(marked.where("not hit").drop("hit").withColumn("c", F.col("node")))
@@ -133,7 +139,7 @@ class SimilarityJoin:
         sent = rows.select(F.explode("keys").alias("key"), "node", "c")
         met = sent.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
         met = self.tables.write(met, "open-keys")
-        pages = filter_pages(met.count())
+        pages = filter_pages(self.tables.count(met))
         sent = self.rows.where("size > 0").select("node", F.explode("keys").alias("key"))
         asked = with_hit(sent, bit_set(met, ["key"], pages), ["key"], pages).where("hit").select("key", "node")
         out = self.tables.write(asked.join(met, "key", "left_semi").distinct(), "open")
@@ -151,21 +157,21 @@ class SimilarityJoin:
         for nearest in ROUNDS:
             named = self.tables.write(self._named(members), "members")
             self.tables.drop(members)
-            parts = self.tables.write(named.groupBy("key", "c").agg(F.count("*").alias("n")), "parts")
+            parts = named.groupBy("key", "c").agg(F.count("*").alias("n"))
             groups = parts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("major"), F.count("*").alias("parts")).where("parts > 1")
             if tested is not None:  # all pairs of small groups have been compared
                 groups = groups.where(F.col("n") > SMALL)
             groups = self.tables.write(groups.select("key", "n", F.col("major.n").alias("n_major"), F.col("major.c").alias("major")), "groups")
             opened = self.tables.write(named.join(groups, "key"), "opened")
             members = opened.select("key", "node")
-            if opened.isEmpty():
+            if not self.tables.count(opened):
                 break
             pairs = self._near(opened.join(drawn, "node"), nearest).distinct()
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             pairs = self.tables.write(pairs, "pairs")
-            self.tables.drop(named, parts, groups)
-            if not pairs.isEmpty():
+            self.tables.drop(named, groups)
+            if self.tables.count(pairs):
                 self._merge(self._linked(pairs, sets))
             tested = pairs if tested is None else tested.unionByName(pairs)
         return self.joined
