@@ -215,6 +215,7 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
     found = written(dealt.mapInArrow(_sorted_shard, "key long, digest long, from int, to int"), "suffix-sorted")
     alike = contents.where("n > 1").select("key", "digest", F.lit(0).alias("from"), (F.col("one.starts") - 1).alias("to"))
     ranges = found.unionByName(hot).unionByName(alike).groupBy("key", "digest").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
+    ranges = written(ranges, "suffix-ranges")  # so that the join exchanges both sides and a content of very many places is split
     hit = places.join(ranges, ["key", "digest"]).select("id", "tx", "at", F.explode("ranges").alias("r"))
     hit = hit.select("id", "tx", F.struct((F.col("at") + F.col("r.from")).alias("from"), (F.col("at") + F.col("r.to")).alias("to")).alias("range"))
     return hit.groupBy("id", "tx").agg(F.collect_list("range").alias("ranges"))
