@@ -20,6 +20,8 @@ WIDTH, STEP = 16, 8
 DIMS, FILTERS = 4, 24
 #: Most labelled documents that fitting uses.
 SAMPLE = 3000
+#: Bytes of the longest text that a network is fitted on.
+LONGEST = 1 << 16
 #: Batches of the fit.
 STEPS = 800
 #: Bytes of text scored at once.
@@ -113,11 +115,17 @@ def held_out(id_col: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """At most limit labelled documents that are not held out, the first in the order of a hash of their ids: id, text, label."""
+    """At most limit labelled documents that are not held out, the first in the order of a hash of their ids: id, text, label.
+
+    Of these, texts of more than LONGEST bytes are left out of fitting (never of scoring), so that what comes to the
+    driver is bounded in bytes too; an id that docs repeats counts with the least of its texts.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
     chosen = known.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(limit)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id")
+    found = found.where(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST)
+    return found.groupBy("id", "label").agg(F.min("text").alias("text"))
 
 
 def fit(sample: DataFrame) -> ByteConv:
