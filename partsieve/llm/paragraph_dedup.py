@@ -1,17 +1,17 @@
 """Substring deduplication by paragraphs: MinHash banding, exact verification, clusters.
 
-A text is cut into paragraphs of two kinds, and no part of it is left out. Lines of LINE_WORDS words or more, and runs
-of shorter lines between them that have so many together, are paragraphs as they stand. Besides, wherever lines end,
-content picks its own: among the hashes of the five-word shingles, the least of each WINDOW neighbours starts a paragraph
-of WINDOW words. Equal passages pick equal starts, so every passage of 2 * WINDOW - 1 = 51 words holds a whole picked
-paragraph wherever it stands, inside a longer line, across line ends or in short lines; and no word of a text of WINDOW
-words or more is further from a pick than WINDOW words. A shorter text is one paragraph.
+A text is cut into paragraphs of two kinds. Lines of LINE_WORDS words or more, and runs of shorter lines between them
+that have so many together, are paragraphs as they stand. Besides, wherever lines end, content picks its own: among the
+hashes of the five-word shingles, the least of each SPREAD neighbours starts a paragraph of WINDOW words; the text's
+first and last WINDOW words are two more, and a shorter text is one. Equal passages pick equal starts, so every passage
+of WINDOW + SPREAD - 1 = 51 words holds a whole picked paragraph wherever it stands, inside a longer line, across line
+ends or in short lines.
 
 Equal paragraphs are one node; each distinct one gets keys of BAND_ROWS minima over its word shingles. Bands are tuned
-for recall: two lines of similarity 0.8 share no key with probability (1 - 0.8 ** 2) ** 6, two in a thousand; picked
-paragraphs have at most 22 shingles, so those of 0.8 or more have 0.83 at least, and three bands miss 3 in a hundred of
-them, none that is equal. Colliding paragraphs are verified by the exact Jaccard similarity of their shingles, links are
-clustered by connected components, and of each cluster all but the first paragraph are removed.
+for recall: two lines of similarity 0.8 share no key with probability (1 - 0.8 ** 3) ** 8, three in a thousand. Picked
+paragraphs have at most 16 shingles, so different ones of 0.8 or more have 15 of 17: three bands miss three in a
+hundred of those, and none that is equal. Colliding paragraphs are verified by the exact Jaccard similarity of their
+shingles, links are clustered by connected components, and of each cluster all but the first paragraph are removed.
 """
 
 from __future__ import annotations
@@ -31,10 +31,12 @@ from partsieve.llm.similarity import SimilarityJoin
 from partsieve.llm.suffix_dedup import PLACE_BITS, _least
 
 #: Words of a shingle; words of the shortest line that is a paragraph alone; words of a picked paragraph.
-SHINGLE, LINE_WORDS, WINDOW = 5, 20, 26
+SHINGLE, LINE_WORDS, WINDOW = 5, 20, 20
+#: Neighbouring places of which the one with the least shingle is picked.
+SPREAD = 32
 #: Minima of a key; keys of a line and of a picked paragraph.
-BAND_ROWS, LINE_BANDS, WINDOW_BANDS = 2, 6, 3
-#: Words of texts that are cut at once, about.
+BAND_ROWS, LINE_BANDS, WINDOW_BANDS = 3, 8, 3
+#: Words of texts that are cut at once, about; a longer text is cut alone.
 BLOCK = 1 << 16
 LINES, PICKED = 0, 1
 
@@ -74,13 +76,27 @@ def lines_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-def picked(shingles: np.ndarray, n: int) -> np.ndarray:
-    """First words of the picked paragraphs of a text of n words: the least shingle of each WINDOW, the text's first and last."""
-    if n < WINDOW:
-        return np.zeros(min(n, 1), np.int64)
-    x, low = _mixed(shingles[: n - WINDOW + 1]), U((1 << PLACE_BITS) - 1)
-    x = (x & ~low) | np.arange(len(x), dtype=np.uint64)
-    return np.unique(np.concatenate([[0, n - WINDOW], (_least(x, min(WINDOW, len(x))) & low).astype(np.int64)]))
+def _shingles(a: np.ndarray, base: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of the shingle at each place of texts laid end to end; those that would cross a text's end mean nothing."""
+    out = np.zeros(len(a), np.uint64)
+    every = grams(a, SHINGLE) if len(a) >= SHINGLE else np.zeros(0, np.uint64)
+    out[: len(every)] = every
+    for i in np.flatnonzero((lengths > 0) & (lengths < SHINGLE)):  # few words are one shingle together
+        out[base[i]] = grams(a[base[i] : base[i] + lengths[i]], SHINGLE)[0]
+    return out
+
+
+def picked(shingles: np.ndarray, base: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """First words of the picked paragraphs of texts laid end to end."""
+    low = U((1 << PLACE_BITS) - 1)
+    starts = lengths - WINDOW + 1
+    x = (_mixed(shingles) & ~low) | np.arange(len(shingles), dtype=np.uint64)
+    found = [base[lengths > 0], (base + starts - 1)[starts > 0]]
+    if len(x) >= SPREAD:
+        end = np.repeat(base + starts, lengths)[: len(x) - SPREAD + 1]
+        inside = np.arange(len(end)) + SPREAD <= end
+        found.append((_least(x, SPREAD)[inside] & low).astype(np.int64))
+    return np.unique(np.concatenate(found))
 
 
 def _sets(shingles: np.ndarray, at: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,15 +117,15 @@ def _numbers(sets: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return _mixed(np.add.reduceat(each, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64) * U(0xD6E8FEB86659FD93)).view(np.int64)
 
 
-def band_keys(sets: np.ndarray, sizes: np.ndarray, bands: int) -> np.ndarray:
-    """One row of keys a set."""
+def band_keys(sets: np.ndarray, sizes: np.ndarray, bands: int, kind: int) -> np.ndarray:
+    """One row of keys a set; kinds have keys of their own."""
     r = np.random.default_rng(20)
     factors = r.integers(1, 1 << 31, LINE_BANDS * BAND_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     first = np.cumsum(sizes) - sizes
     every = (sets ^ (sets >> U(32))).astype(np.uint32)
+    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64) + U(1000 * kind), (len(sizes), 1))
     with np.errstate(over="ignore"):
-        keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(sizes), 1))
-        for k, f in enumerate(factors[: bands * BAND_ROWS]):
+        for k, f in enumerate(factors[: bands * BAND_ROWS] if len(sizes) else ()):
             x = every * f
             x ^= x >> np.uint32(15)
             x *= np.uint32(0x2C1B3C6D)
@@ -118,58 +134,69 @@ def band_keys(sets: np.ndarray, sizes: np.ndarray, bands: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _paragraphs(text: bytes, hashes: WordHashes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each kind: the kind, first words, numbers of words, sets end to end, sizes, nodes of a text's paragraphs."""
-    a, counts = hashes(text)
-    shingles = grams(a, SHINGLE)
-    for kind in (LINES, PICKED):
-        at, n = lines_of(counts) if kind == LINES else (picked(shingles, len(a)), None)
-        n = np.minimum(len(a), WINDOW) + np.zeros(len(at), np.int64) if n is None else n
+def paragraphs(texts: list[bytes], hashes: WordHashes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each kind: the kind, then of each paragraph its text's number, first word and words, the sets end to end, their sizes and nodes."""
+    words, counts = zip(*map(hashes, texts), strict=True)
+    lengths = np.array([len(w) for w in words], np.int64)
+    base = np.cumsum(lengths) - lengths
+    a = np.concatenate(words)
+    if not len(a):
+        return
+    shingles, text_of = _shingles(a, base, lengths), np.repeat(np.arange(len(texts)), lengths)
+    lines = [lines_of(c) for c in counts]
+    at = np.concatenate([x + b for (x, _), b in zip(lines, base.tolist(), strict=True)])
+    for kind, at, n in ((LINES, at, np.concatenate([n for _, n in lines])), (PICKED, picked(shingles, base, lengths), None)):
         if len(at):
+            which = text_of[at]
+            n = np.minimum(WINDOW, lengths[which]) if n is None else n
             sets, sizes = _sets(shingles, at, n)
             nodes = _numbers(sets, sizes)
-            if kind == PICKED and len(at) > 2:  # where words repeat, every place is a pick: of a run of equal paragraphs one for every WINDOW words
-                run = np.cumsum(np.append(True, nodes[1:] != nodes[:-1]))
+            if kind == PICKED:  # where words repeat, every place is a pick: of a run of equal paragraphs one for every WINDOW words
+                run = np.cumsum(np.append(True, (nodes[1:] != nodes[:-1]) | (which[1:] != which[:-1])))
                 step = (at - at[np.searchsorted(run, run)]) // WINDOW
                 stay = np.append(True, (run[1:] != run[:-1]) | (step[1:] != step[:-1]))
-                sets, at, n, sizes, nodes = sets[np.repeat(stay, sizes)], at[stay], n[stay], sizes[stay], nodes[stay]
-            yield kind, at, n, sets, sizes, nodes
+                sets, which, at, n, sizes, nodes = sets[np.repeat(stay, sizes)], which[stay], at[stay], n[stay], sizes[stay], nodes[stay]
+            yield kind, which, at - base[which], n, sets, sizes, nodes
+
+
+def _batches(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Number of the first and content of texts of BLOCK words together, about (six bytes a word)."""
+    some, held = [], 0
+    for i, t in enumerate(texts.cast(pa.binary())):
+        some.append(t.as_py() or b"")
+        held += len(some[-1])
+        if held >= 6 * BLOCK or i == len(texts) - 1:
+            yield i + 1 - len(some), some
+            some, held = [], 0
 
 
 def _signatures(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, tx, text) -> id, tx, kind, start, n_words, size, node, keys; a node's keys come once a task (and again after SEEN others)."""
     hashes, seen = WordHashes(), set()
     for part in parts:
-        raw, held, rows = part.column(2).cast(pa.binary()), {LINES: [], PICKED: []}, 0
-        for row in range(part.num_rows):
-            for kind, at, n, sets, sizes, nodes in _paragraphs(raw[row].as_py() or b"", hashes):
-                held[kind].append((np.full(len(at), row), at, n, sizes, nodes, sets))
-                rows += len(sets)
-            if rows >= BLOCK or row == part.num_rows - 1:
-                for kind, found in held.items():
-                    if found:
-                        which, at, n, sizes, nodes, sets = (np.concatenate(k) for k in zip(*found, strict=True))
-                        keys = band_keys(sets, sizes, LINE_BANDS if kind == LINES else WINDOW_BANDS)
-                        new = np.array([x not in seen and not seen.add(x) for x in nodes.tolist()])
-                        ends = np.append(0, np.cumsum(new * keys.shape[1]))
-                        which = pa.array(which)
-                        columns = [part.column(0).take(which), part.column(1).take(which), pa.array(np.full(len(at), kind), pa.int8()), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(sizes, pa.int64()), pa.array(nodes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[new].ravel()))]
-                        yield pa.RecordBatch.from_arrays(columns, names=["id", "tx", "kind", "start", "n_words", "size", "node", "keys"])
-                held, rows = {LINES: [], PICKED: []}, 0
-                if len(seen) > SEEN:
-                    seen.clear()
+        for first, texts in _batches(part.column(2)):
+            for kind, which, at, n, sets, sizes, nodes in paragraphs(texts, hashes):
+                new = np.array([x not in seen and not seen.add(x) for x in nodes.tolist()])
+                keys = band_keys(sets[np.repeat(new, sizes)], sizes[new], LINE_BANDS if kind == LINES else WINDOW_BANDS, kind)
+                ends = np.append(0, np.cumsum(new * keys.shape[1]))
+                rows = pa.array(which + first)
+                columns = [part.column(0).take(rows), part.column(1).take(rows), pa.array(np.full(len(at), kind), pa.int8()), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(sizes, pa.int64()), pa.array(nodes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "tx", "kind", "start", "n_words", "size", "node", "keys"])
+            if len(seen) > SEEN:
+                seen.clear()
 
 
 def _members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, nodes) -> (node, members) of the asked paragraphs of a text."""
+    """(text, nodes) -> (node, members) of the asked paragraphs of each text."""
     hashes = WordHashes()
     for part in parts:
-        for t, wanted in zip(part.column(0).cast(pa.binary()), part.column(1), strict=True):
-            left, found = set(wanted.as_py()), {}
-            for _, _, _, sets, sizes, nodes in _paragraphs(t.as_py() or b"", hashes):
+        for first, texts in _batches(part.column(0)):
+            wanted = [set(part.column(1)[first + i].as_py()) for i in range(len(texts))]
+            found = {}
+            for _, which, _, _, sets, sizes, nodes in paragraphs(texts, hashes):
                 ends = np.cumsum(sizes)
-                found |= {x: sets[e - s : e].tobytes() for x, s, e in zip(nodes.tolist(), sizes.tolist(), ends.tolist(), strict=True) if x in left}
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "members"])
+                found |= {(i, x): sets[e - s : e].tobytes() for i, x, s, e in zip(which.tolist(), nodes.tolist(), sizes.tolist(), ends.tolist(), strict=True) if x in wanted[i]}
+            yield pa.RecordBatch.from_arrays([pa.array([x for _, x in found], pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "members"])
 
 
 def _clusters(docs: DataFrame, num: int, den: int, id_col: str, text_col: str) -> DataFrame:

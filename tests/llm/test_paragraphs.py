@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from partsieve.llm.paragraph_dedup import LINE_WORDS, WINDOW, WordHashes, _paragraphs, lines_of, paragraph_clusters, paragraph_dedup
+from partsieve.llm.paragraph_dedup import LINE_WORDS, SPREAD, WINDOW, WordHashes, lines_of, paragraph_clusters, paragraph_dedup, paragraphs
 from tests.llm.test_operators import SF, components, shingles
 
 
@@ -32,7 +32,7 @@ def _places(text):
 def _cut(text):
     """(kind, start, words) of each paragraph as the operator cuts them."""
     names = ("line", "picked")
-    return [(names[kind], a, n) for kind, at, words, *_ in _paragraphs(text.encode(), WordHashes()) for a, n in zip(at.tolist(), words.tolist(), strict=True)]
+    return [(names[kind], a, n) for kind, _, at, words, *_ in paragraphs([text.encode()], WordHashes()) for a, n in zip(at.tolist(), words.tolist(), strict=True)]
 
 
 def test_clusters_are_brute_force(spark):
@@ -67,12 +67,12 @@ def test_every_repeated_passage_holds_a_paragraph(spark):
     where = defaultdict(list)
     for r in docs.collect():
         w = (r["text"] or "").encode().lower().split()
-        for i in range(len(w) - 2 * WINDOW + 2):
-            where[tuple(w[i : i + 2 * WINDOW - 1])].append((r["doc_id"], i))
+        for i in range(len(w) - WINDOW - SPREAD + 2):
+            where[tuple(w[i : i + WINDOW + SPREAD - 1])].append((r["doc_id"], i))
     found = {(r["doc_id"], r["start"]) for r in paragraph_clusters(docs).where("kind = 'picked'").collect()}
     repeated = [p for ps in where.values() if len({i for i, _ in ps}) > 1 for p in ps]
     assert repeated
-    lost = [p for p in repeated if not any((p[0], p[1] + k) in found for k in range(WINDOW))]
+    lost = [p for p in repeated if not any((p[0], p[1] + k) in found for k in range(SPREAD))]
     assert len(lost) <= 0.001 * len(repeated)
 
 
@@ -88,7 +88,7 @@ def test_passage_in_long_and_in_short_lines(spark):
     rows = paragraph_clusters(docs).collect()
     assert {x["doc_id"] for x in rows} == {1, 2, 3, 5, 6}
     assert {(x["doc_id"], x["first_id"]) for x in rows if x["doc_id"] < 4} == {(1, 1), (2, 1), (3, 1)}
-    assert all(400 <= x["start"] <= 427 and not x["removed"] for x in rows if x["doc_id"] == 1)
+    assert all(400 <= x["start"] <= 433 and not x["removed"] for x in rows if x["doc_id"] == 1)
     assert (6, "line", 5, True) in {(x["doc_id"], x["kind"], x["first_id"], x["removed"]) for x in rows}
     kept = {x["doc_id"]: x["text"] for x in paragraph_dedup(docs).collect()}
     assert kept[1] == inside and len(kept[2].split()) <= 1053 - WINDOW and len(kept[3].split()) <= 53 - WINDOW
