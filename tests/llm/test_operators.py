@@ -5,12 +5,14 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from partsieve.llm import queries as q
 from partsieve.llm.exact_dedup import exact_groups
 from partsieve.llm.line_dedup import line_dedup
-from partsieve.llm.mixing import mix
+from partsieve.llm.mixing import mix, mixed
 from partsieve.llm.ngram_join import ngram_components
+from partsieve.llm.quality_model import quality_scores
 from partsieve.llm.repetition import quality_rules
 from partsieve.llm.suffix_dedup import suffix_dedup
 from tests.oracle import differences
@@ -80,7 +82,18 @@ def test_quality_separates_held_out(spark):
     rows = [(r["score"], truth[r["doc_id"]]) for r in q.op2_quality_classifier(spark, sf).where("held_out").collect() if r["doc_id"] in truth]
     good, bad = [s for s, y in rows if y == 1], [s for s, y in rows if y == 0]
     assert all(0 <= s <= 1 for s, _ in rows)
-    assert sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad)) > 0.8
+    assert sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad)) > 0.97
+    assert sum(g >= 0.3 for g in good) >= 0.98 * len(good) and sum(b < 0.3 for b in bad) >= 0.7 * len(bad)
+
+
+def test_held_out_labels_do_not_change_scores(spark):
+    import zlib
+
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    assert {r["doc_id"] for r in docs.where(held).collect()} == {r["doc_id"] for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0}
+    scores = [{r["doc_id"]: r["score"] for r in quality_scores(docs, x).collect()} for x in (labels, labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality"))))]
+    assert scores[0] == scores[1]
 
 
 def test_repetition_counts(spark, docs):
@@ -94,6 +107,27 @@ def test_repetition_counts(spark, docs):
         assert r["base_failed"] == (len(w) < 50 or 100 * len(in_third) > 50 * len(w))
 
 
+def test_repetition_verdict(spark, docs):
+    def twice(b, n):
+        seen = Counter(b[i : i + n] for i in range(len(b) - n + 1))
+        return [i for i in range(len(b) - n + 1) if seen[b[i : i + n]] > 1]
+
+    decided = 0
+    for r in q.op5_quality_rules(spark, SF).collect():
+        b = docs[r["doc_id"]].encode()
+        least = max(11, len(b).bit_length() - 1)
+        covered = {i + k for i in twice(b, least) for k in range(least)}
+        low, high = 0, len(b)
+        while low < high:  # whether some n bytes repeat is monotone in n
+            n = (low + high + 1) // 2
+            low, high = (n, high) if twice(b, n) else (low, n - 1)
+        longest = low if low >= least else 0
+        assert (r["n_bytes"], r["covered_bytes"], r["longest_repeat"]) == (len(b), len(covered), longest)
+        assert r["kept"] == (not r["base_failed"] and len(covered) <= 0.12 * len(b) and longest <= 500)
+        decided += r["kept"] != (not r["base_failed"])
+    assert decided
+
+
 def test_repeated_bytes(spark, docs):
     raw = {i: t.encode() for i, t in docs.items()}
     count = Counter(b[i : i + 200] for b in raw.values() for i in range(len(b) - 199))
@@ -104,18 +138,43 @@ def test_repeated_bytes(spark, docs):
             if count[b[i : i + 200]] > 1:
                 gone[i : i + 200] = b"\1" * 200
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
-        assert (r["n_bytes"], r["n_removed"], r["kept_sha256"]) == (len(b), sum(gone), hashlib.sha256(kept).hexdigest())
+        spans = sum(g and not h for g, h in zip(gone, b"\0" + gone, strict=False))
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+
+
+def fair_targets(sizes):
+    """Targets by source: 5, 2, 1, repeating, of 150 % of all words, at most twice a source's own; the excess reshared until none is left."""
+    names = sorted((k for k in sizes if k is not None), key=lambda k: k.encode("utf-32-be")) + [None] * (None in sizes)
+    weight = {k: (5, 2, 1)[i % 3] for i, k in enumerate(names)}
+    full, total = {}, 1.5 * sum(sizes.values())
+    while True:
+        rest = [k for k in names if k not in full]
+        level = (total - sum(full.values())) / sum(weight[k] for k in rest) if rest else 0
+        over = [k for k in rest if level * weight[k] > 2 * sizes[k]]
+        if not over:
+            return full | {k: level * weight[k] for k in rest}
+        full |= {k: 2.0 * sizes[k] for k in over}
 
 
 def test_mix(spark):
-    rows = q.op7_mixing(spark, SF).collect()
-    by = defaultdict(list)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    source, text = {r["doc_id"]: r["source"] for r in table}, {r["doc_id"]: r["text"] or "" for r in table}
+    rows = q.op7_mixing(spark, "/root/testdata/sf0.01").collect()
+    sizes, taken = Counter(), Counter()
+    for i, t in text.items():
+        sizes[source[i]] += len(words(t))
+    targets = fair_targets(sizes)
     for r in rows:
-        assert 0 <= r["taken"] <= 2 * r["size"]
-        by[r["target"], r["source_size"]].append(r["taken"])
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, q.op7_mixing(spark, SF).collect()))
-    for (target, _), taken in by.items():
-        assert abs(sum(taken) / target - 1) < 0.6
+        assert r["size"] == len(words(text[r["doc_id"]])) and 0 <= r["taken"] <= 2 * r["size"]
+        assert r["source_size"] == sizes[source[r["doc_id"]]] and r["target"] == pytest.approx(targets[source[r["doc_id"]]])
+        taken[source[r["doc_id"]]] += r["taken"]
+    assert all(abs(taken[k] / t - 1) < 0.01 for k, t in targets.items())
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, q.op7_mixing(spark, "/root/testdata/sf0.01").collect()))
+    # whole documents come as near
+    whole = Counter()
+    for r in mixed(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect():
+        whole[r["source"]] += len(words(r["text"]))
+    assert all(abs(whole[k] / t - 1) < 0.01 for k, t in targets.items())
 
 
 def test_components(spark, docs):
