@@ -11,6 +11,7 @@ than D + 1 make up for those, and a set with more empty blocks than that sends t
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partsieve.llm.shared import Tables, keep_one_of, written
-from partsieve.llm.similarity import SimilarityJoin
+from partsieve.llm.similarity import SimilarityJoin, parity
 
 #: Words whose hashes a worker keeps.
 KNOWN = 1 << 19
@@ -137,24 +138,32 @@ def _signatures(n: int, num: int, den: int):
 
 
 def _members(n: int):
-    """(text) -> (node, members) of the text's set."""
+    """(text) -> (node, size, sketch, payload) of the text's set; the payload is the text itself, packed, a third of the set's hashes."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for part in parts:
-            sets = [shingles(t.as_py() or b"") for t in part.column(0).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array([set_number(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
+            texts = [t.as_py() or b"" for t in part.column(0).cast(pa.binary())]
+            sets = [shingles(t) for t in texts]
+            columns = [pa.array([set_number(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity(s) for s in sets], pa.binary()), pa.array([zlib.compress(t, 1) for t in texts], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "sketch", "payload"])
 
     return run
 
 
+def _unpacked(n: int):
+    """The set of a payload."""
+    shingles = Shingler(n)
+    return lambda payload: shingles(zlib.decompress(payload))
+
+
 def _rows(docs: DataFrame, tables: Tables, n: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """id, tx, size, node, group of each row of docs: rows of one group are linked; the group of an empty set is null."""
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tx"), text.alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     sets = tables.write(texts.mapInArrow(_signatures(n, num, den), f"id {kind}, tx long, size long, node long, keys array<long>"), "signatures")
-    joined = SimilarityJoin(sets, texts, _members(n), num, den, tables, single=True).links()
+    joined = SimilarityJoin(sets, texts, _members(n), _unpacked(n), num, den, tables, single=True).links()
     rows = sets.select("id", "tx", "size", "node")
     rows = rows.withColumn("component", F.col("node")) if joined is None else rows.join(joined, "node", "left")
     group = F.when(F.col("size") > 0, F.coalesce("component", "node")).alias("group")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from partsieve.llm.ngram_join import KNOWN, SEEN, U, _mixed, grams
 from partsieve.llm.shared import Tables, bit_set, filter_pages, with_hit, written
-from partsieve.llm.similarity import SimilarityJoin
+from partsieve.llm.similarity import SimilarityJoin, parity
 from partsieve.llm.suffix_dedup import PLACE_BITS, _least
 
 #: Words of a shingle; words of the shortest line that is a paragraph alone; words of a picked paragraph.
@@ -187,7 +187,7 @@ def _signatures(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, nodes) -> (node, members) of the asked paragraphs of each text."""
+    """(text, nodes) -> (node, size, sketch, payload: the hashes of the set) of the asked paragraphs of each text."""
     hashes = WordHashes()
     for part in parts:
         for first, texts in _batches(part.column(0)):
@@ -196,7 +196,13 @@ def _members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, which, _, _, sets, sizes, nodes in paragraphs(texts, hashes):
                 ends = np.cumsum(sizes)
                 found |= {(i, x): sets[e - s : e].tobytes() for i, x, s, e in zip(which.tolist(), nodes.tolist(), sizes.tolist(), ends.tolist(), strict=True) if x in wanted[i]}
-            yield pa.RecordBatch.from_arrays([pa.array([x for _, x in found], pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "members"])
+            drawn = [parity(np.frombuffer(x, np.uint64)) for x in found.values()]
+            columns = [pa.array([x for _, x in found], pa.int64()), pa.array([len(x) // 8 for x in found.values()], pa.int64()), pa.array(drawn, pa.binary()), pa.array(list(found.values()), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "sketch", "payload"])
+
+
+def _hashes(payload: bytes) -> np.ndarray:
+    return np.frombuffer(payload, np.uint64)
 
 
 def _clusters(docs: DataFrame, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
@@ -206,7 +212,7 @@ def _clusters(docs: DataFrame, num: int, den: int, id_col: str, text_col: str) -
     kind = texts.schema["id"].dataType.simpleString()
     shape = f"id {kind}, tx long, kind byte, start int, n_words int, size long, node long, keys array<long>"
     sets = tables.write(texts.mapInArrow(_signatures, shape), "signatures")
-    joined = SimilarityJoin(sets, texts, _members, num, den, tables, first=0).links()
+    joined = SimilarityJoin(sets, texts, _members, _hashes, num, den, tables, first=0).links()
     several = sets.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     several = several if joined is None else several.unionByName(joined.select("node"))
     several = tables.write(several.distinct(), "several")

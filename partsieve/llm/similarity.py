@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType
+from pyspark.sql.types import LongType
 
 from partsieve.llm.components import components
 from partsieve.llm.shared import Tables, bit_set, filter_pages, with_hit
@@ -34,13 +34,23 @@ SMALL = 8
 TILE = 1024
 #: Nearest pairs of a component that leave a tile, round by round; None: all.
 ROUNDS = (1, 16, None)
+SETS = "node long, size long, sketch binary, payload binary"
 
 
-@F.arrow_udf(LongType())
-def shared_members(left: pa.Array, right: pa.Array) -> pa.Array:
-    """How many hashes two sorted sets share."""
-    both = zip(left, right, strict=True)
-    return pa.array([len(np.intersect1d(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), assume_unique=True)) for x, y in both], pa.int64())
+def shared_members(set_of: Callable[[bytes], np.ndarray]):
+    """A column function of two payloads: how many members their sets share. set_of gives the sorted members of a payload."""
+
+    @F.arrow_udf(LongType())
+    def shared(left: pa.Array, right: pa.Array) -> pa.Array:
+        last, first, out = None, None, []
+        for x, y in zip(left, right, strict=True):
+            x, y = x.as_py(), y.as_py()
+            if x != last:
+                last, first = x, set_of(x)
+            out.append(len(np.intersect1d(first, set_of(y), assume_unique=True)))
+        return pa.array(out, pa.int64())
+
+    return shared
 
 
 def parity(members: np.ndarray) -> bytes:
@@ -50,26 +60,23 @@ def parity(members: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-@F.arrow_udf(BinaryType())
-def sketches(members: pa.Array) -> pa.Array:
-    return pa.array([parity(np.frombuffer(m.as_py(), np.uint64)) for m in members], pa.binary())
-
-
 class SimilarityJoin:
     """Components of sets that meet under a common key.
 
     rows: id, tx (a hash of the text), size, node (a number for the set's content), keys; sets of size 0 are left out.
-    texts: id, tx, text. members: a function for mapInArrow from (text, nodes) to (node, members), which gives those of
-    the wanted nodes that the text has, once each, with the sorted 64-bit hashes of the set; single: a text has one node,
-    and the function takes (text) alone. Two sets are linked if they share num/den of their union or more.
+    texts: id, tx, text. members: a function for mapInArrow from (text, nodes) to (node, size, sketch, payload), which
+    gives those of the wanted nodes that the text has, once each; set_of gives the sorted 64-bit hashes of the set that a
+    payload stands for. single: a text has one node, and the function takes (text) alone. Two sets are linked if they
+    share num/den of their union or more.
     """
 
-    def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, num: int, den: int, tables: Tables, first: int = FIRST, single: bool = False):
+    def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, set_of: Callable, num: int, den: int, tables: Tables, first: int = FIRST, single: bool = False):
         self.rows, self.texts, self.members, self.num, self.den, self.tables, self.first, self.single = rows, texts, members, num, den, tables, first, single
+        self.shared = shared_members(set_of)
         self.joined: DataFrame | None = None
 
     def _sets(self, nodes: DataFrame) -> DataFrame:
-        """node, members of the asked nodes (and of few others), each read from one text that has it, in place where texts are single."""
+        """node, size, sketch, payload of the asked nodes (and of few others), each read from one text that has it, in place where texts are single."""
         nodes = self.tables.write(nodes.distinct(), "asked")
         pages = filter_pages(self.tables.count(nodes))
         rows = self.rows.select("node", F.xxhash64("id", "tx").alias("pick"))
@@ -79,22 +86,24 @@ class SimilarityJoin:
         texts = self.texts.select(F.xxhash64("id", "tx").alias("pick"), "text")
         texts = with_hit(texts, bit_set(picks, ["pick"], pages), ["pick"], pages).where("hit").select("pick", "text")
         if self.single:
-            sets = texts.select("text").mapInArrow(self.members, "node long, members binary")
+            sets = texts.select("text").mapInArrow(self.members, SETS)
             if not picks.where("n > 1").isEmpty():  # rows that repeat id and text
-                sets = sets.groupBy("node").agg(F.first("members").alias("members"))
+                sets = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "payload")])
         else:
             found = texts.join(picks, "pick").groupBy("pick").agg(F.first("text").alias("text"), F.first("nodes").alias("nodes"))
-            sets = found.select("text", "nodes").mapInArrow(self.members, "node long, members binary")
+            sets = found.select("text", "nodes").mapInArrow(self.members, SETS)
         sets = self.tables.write(sets, "sets")
         self.tables.drop(nodes, picks)
         return sets
 
     def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the pairs of nodes a, b that reach the threshold, by the exact size of the intersection."""
-        both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-        n, m = F.octet_length("left") / 8, F.octet_length("right") / 8
-        both = both.where(self.den * F.least(n, m) >= self.num * F.greatest(n, m))
-        both = both.withColumn("shared", shared_members("left", "right"))
+        pages = filter_pages(2 * self.tables.count(pairs))
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        some = with_hit(sets.select("node", "size", "payload"), bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").drop("hit")
+        both = pairs.join(some.toDF("b", "m", "right"), "b").join(some.toDF("a", "n", "left"), "a")
+        n, m = F.col("n"), F.col("m")
+        both = both.where(self.den * F.least(n, m) >= self.num * F.greatest(n, m)).withColumn("shared", self.shared("left", "right"))
         return self.tables.write(both.where(self.den * F.col("shared") >= self.num * (n + m - F.col("shared"))).select("a", "b"), "links")
 
     def _merge(self, links: DataFrame) -> None:
@@ -152,7 +161,7 @@ class SimilarityJoin:
             self._first_links()
         members = self._open()
         sets = self._sets(members.select("node"))
-        drawn = self.tables.write(sets.select("node", (F.octet_length("members") / 8).cast("long").alias("size"), sketches("members").alias("sketch")), "sketches")
+        drawn = sets.select("node", "size", "sketch")
         tested = None
         for nearest in ROUNDS:
             named = self.tables.write(self._named(members), "members")
