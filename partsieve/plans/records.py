@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partsieve.functions import links, responses, text
+from partsieve.functions import links, parts, responses, text
 from partsieve.operators.link import best_per_pair, cross_references, last_per_key
 from partsieve.session import table as t
 
@@ -200,3 +200,27 @@ def tag_texts(s: SparkSession, d: str) -> DataFrame:
     rows = t(s, d, "supplier").select("s_suppkey", F.expr(record).alias("xml"))
     tags = F.array(*[F.struct(F.lit(tag).alias("tag"), F.expr(f"array_join(xpath(xml, '/r/{tag}/text()'), '|')").alias("texts")) for tag in ("title", "creator")])
     return rows.select("s_suppkey", F.explode(tags).alias("x")).select("s_suppkey", "x.tag", "x.texts")
+
+
+_NAMES = ["schottky 1n5817", "voltage regulator 5v", "op-amp", "100nf", "4.7 k", "push button", "mounting kit", "flash led", "what", "10uh", "nrf52 usb", ""]
+_FEET = ["Resistor_SMD:R_0603_1608Metric", "SOT 23-5", "sot23", "DIP-8", "R805", "1206", "603", "chip 0402 (1005 metric)", "LQFP48", "none", "TO220", "Package_SO:SOIC-8_3.9x4.9mm", "SOP8"]
+_MAKERS = ["Murata Electronics", "ti", "Digi-Key", " n/a ", "acme  CORP", "Samsung(三星)", "UNI-ROYAL(厚声)", "", "mouser.com"]
+_REFS = ["R1, R2", "ZZ3", "", "SW12"]
+# by hand: category of each name and of each footprint, code and mount of each footprint, maker and whether it only sells
+_NAME_SQL = "['diode', 'voltage_regulator', 'ic', 'capacitor', 'resistor', 'switch', 'mechanical', 'ic', NULL, 'inductor', 'ic', NULL]"
+_FOOT_SQL = "['resistor', 'transistor', 'transistor', 'ic', NULL, NULL, NULL, NULL, NULL, NULL, 'transistor', 'ic', NULL]"
+_CODE_SQL = "['0603', 'SOT-23-5', 'SOT-23', 'DIP-8', '0805', '1206', '0603', '0402', 'LQFP-48', NULL, 'TO-220', 'SOIC-8', 'SOP-8']"
+_MOUNT_SQL = "['smd', 'smd', 'smd', 'tht', 'smd', 'smd', 'smd', 'smd', 'smd', NULL, 'tht', 'smd', 'smd']"
+_MAKER_SQL = "['Murata', 'Texas Instruments', 'Digi-Key', NULL, 'Acme  Corp', 'Samsung Electro-Mechanics', 'Uni-Royal(厚声)', NULL, 'Mouser Electronics']"
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, coalesce(CASE l_orderkey % 4 WHEN 0 THEN 'resistor' WHEN 3 THEN 'switch' END, ({_NAME_SQL})[l_partkey % 12 + 1], ({_FOOT_SQL})[l_suppkey % 13 + 1]) AS category,
+({_MAKER_SQL})[l_linenumber % 9 + 1] AS maker, ([0, 0, 1, NULL, NULL, 0, NULL, NULL, 1])[l_linenumber % 9 + 1] AS is_distributor, ({_CODE_SQL})[l_suppkey % 13 + 1] AS footprint, ({_MOUNT_SQL})[l_suppkey % 13 + 1] AS mount FROM lineitem""")
+def part_taxonomy(s: SparkSession, d: str) -> DataFrame:
+    """Category, manufacturer, footprint and mount of every line item, whose texts are picked by its keys."""
+    pick = lambda values, key: F.get(F.array(*map(F.lit, values)), (F.col(key) % len(values)).cast("int"))
+    foot, maker = parts.footprint(pick(_FEET, "l_suppkey")), parts.manufacturer(pick(_MAKERS, "l_linenumber"))
+    return t(s, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", parts.category(pick(_REFS, "l_orderkey"), pick(_NAMES, "l_partkey"), pick(_FEET, "l_suppkey")).alias("category"),
+        maker["name"].alias("maker"), maker["is_distributor"].alias("is_distributor"), foot["code"].alias("footprint"), foot["mount"].alias("mount"),
+    )
