@@ -54,8 +54,8 @@ def shared_members(set_of: Callable[[bytes], np.ndarray]):
 
 
 def parity(members: np.ndarray) -> bytes:
-    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with two to four bits a member."""
-    bits = max(64, 2 << (len(members) | 1).bit_length())
+    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with one or two bits a member."""
+    bits = max(64, 1 << (len(members) | 1).bit_length())
     odd = np.bincount((members >> np.uint64(6) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -78,7 +78,7 @@ class SimilarityJoin:
     def _sets(self, nodes: DataFrame) -> DataFrame:
         """node, size, sketch, payload of the asked nodes (and of few others), each read from one text that has it, in place where texts are single."""
         nodes = self.tables.write(nodes.distinct(), "asked")
-        pages = filter_pages(self.tables.count(nodes))
+        pages = filter_pages(nodes.count())
         rows = self.rows.select("node", F.xxhash64("id", "tx").alias("pick"))
         rows = with_hit(rows, bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").groupBy("node", "pick").agg(F.count("*").alias("n")).groupBy("node").agg(F.min(F.struct("pick", "n")).alias("p"))
         picks = rows.join(nodes, "node", "left_semi").groupBy("p.pick").agg(F.collect_list("node").alias("nodes"), F.max("p.n").alias("n"))
@@ -98,7 +98,7 @@ class SimilarityJoin:
 
     def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the pairs of nodes a, b that reach the threshold, by the exact size of the intersection."""
-        pages = filter_pages(2 * self.tables.count(pairs))
+        pages = filter_pages(2 * pairs.count())
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
         some = with_hit(sets.select("node", "size", "payload"), bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").drop("hit")
         both = pairs.join(some.toDF("b", "m", "right"), "b").join(some.toDF("a", "n", "left"), "a")
@@ -108,7 +108,7 @@ class SimilarityJoin:
 
     def _merge(self, links: DataFrame) -> None:
         """Joins the components that the links connect."""
-        if not self.tables.count(links):
+        if links.isEmpty():
             self.tables.drop(links)
             return
         edges = links if self.joined is None else links.unionByName(self.joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")))
@@ -139,7 +139,7 @@ class SimilarityJoin:
         """key, node of all members of the keys under which two components meet."""
         rows = self.rows.where("size > 0").select("node", "keys")
         if self.joined is not None:
-            pages = filter_pages(self.tables.count(self.joined))
+            pages = filter_pages(self.joined.count())
             marked = with_hit(rows, bit_set(self.joined, ["node"], pages), ["node"], pages)
             some = self._named(marked.where("hit").drop("hit"))
             rows = some.unionByName(marked.where("not hit").drop("hit").withColumn("c", F.col("node")))
@@ -148,7 +148,7 @@ class SimilarityJoin:
         sent = rows.select(F.explode("keys").alias("key"), "node", "c")
         met = sent.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
         met = self.tables.write(met, "open-keys")
-        pages = filter_pages(self.tables.count(met))
+        pages = filter_pages(met.count())
         sent = self.rows.where("size > 0").select("node", F.explode("keys").alias("key"))
         asked = with_hit(sent, bit_set(met, ["key"], pages), ["key"], pages).where("hit").select("key", "node")
         out = self.tables.write(asked.join(met, "key", "left_semi").distinct(), "open")
@@ -173,21 +173,25 @@ class SimilarityJoin:
             groups = self.tables.write(groups.select("key", "n", F.col("major.n").alias("n_major"), F.col("major.c").alias("major")), "groups")
             opened = self.tables.write(named.join(groups, "key"), "opened")
             members = opened.select("key", "node")
-            if not self.tables.count(opened):
+            if opened.isEmpty():
                 break
-            pairs = self._near(opened.join(drawn, "node"), nearest).distinct()
+            found = self._near(opened.join(drawn, "node"), nearest).groupBy("a", "b").agg(F.max("cut").alias("cut"))
+            found = self.tables.write(found, "near")
+            pairs = found.select("a", "b")
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             pairs = self.tables.write(pairs, "pairs")
             self.tables.drop(named, groups)
-            if self.tables.count(pairs):
+            if not pairs.isEmpty():
                 self._merge(self._linked(pairs, sets))
+            if found.where("cut").isEmpty():  # no component had more near pairs than have been tested
+                break
             tested = pairs if tested is None else tested.unionByName(pairs)
         return self.joined
 
     def _near(self, opened: DataFrame, nearest: int | None) -> DataFrame:
-        """Pairs of members of a group that are in different components, near enough in size and in sketch; of each component but the largest
-        of a group above SMALL only so many of the nearest a tile."""
+        """Pairs a, b of members of a group that are in different components, near enough in size and in sketch; of each component but the
+        largest of a group above SMALL only so many of the nearest a tile, and whether that cut any off."""
         hashed, n_minor = F.xxhash64("node"), F.col("n") - F.col("n_major")
         p, q = (F.ceil(x / TILE).cast("int") for x in (n_minor, F.col("n_major")))
         r = opened.withColumn("is_major", F.col("c") == F.col("major")).withColumn("p", p).withColumn("q", q)
@@ -200,7 +204,7 @@ class SimilarityJoin:
         spots = F.when(F.col("n") <= TILE, F.array(spot(zero, zero, two))).when(F.col("is_major"), with_minors).otherwise(F.concat(with_majors, among))
         dealt = r.withColumn("at", F.explode(spots)).select("key", "at.x", "at.y", "at.side", "node", "c", "is_major", "size", "sketch")
         dealt = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-        return dealt.mapInArrow(_compared(self.num, self.den, nearest), "a long, b long")
+        return dealt.mapInArrow(_compared(self.num, self.den, nearest), "a long, b long, cut boolean")
 
 
 def _folded(drawn: list[bytes]) -> np.ndarray:
@@ -225,7 +229,7 @@ def _distance(x: bytes, y: bytes) -> int:
 def _compared(num: int, den: int, nearest: int | None):
     """Tiles compared by their sketches, in blocks; small groups pair by pair, many at once."""
 
-    def tile(t: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def tile(t: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         node, c, size, side, is_major = (t.column(k).to_numpy(zero_copy_only=False) for k in ("node", "c", "size", "side", "is_major"))
         words = _folded(t.column("sketch").to_pylist())
         ask = np.flatnonzero((side == 0) | ((side == 2) & ~is_major))
@@ -237,20 +241,22 @@ def _compared(num: int, den: int, nearest: int | None):
             x, y = np.nonzero(near)
             differ = np.bitwise_count(words[i[x]] ^ words[y]).sum(1, dtype=np.int64)
             good = (den + num) * differ <= (den - num) * (size[i[x]] + size[y])
-            found.append(few(i[x[good]], y[good], differ[good], c))
-        x, y, _ = few(*(np.concatenate(k) for k in zip(*found, strict=True)), c) if found else (np.zeros(0, int),) * 3
-        return np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+            found.append(few(i[x[good]], y[good], differ[good], c, 1)[:3])
+        x, y, _, cut = few(*(np.concatenate(k) for k in zip(*found, strict=True)), c, 0) if found else (np.zeros(0, int),) * 4
+        return np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), cut
 
-    def few(x: np.ndarray, y: np.ndarray, differ: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The nearest pairs of each component of x."""
+    def few(x: np.ndarray, y: np.ndarray, differ: np.ndarray, c: np.ndarray, more: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The nearest pairs of each component of x, and some more; whether it has others."""
         if not nearest:
-            return x, y, differ
+            return x, y, differ, np.zeros(len(x), bool)
         order = np.lexsort((differ, c[x]))
         x, y, differ, held = x[order], y[order], differ[order], c[x[order]]
-        first = np.arange(len(x)) - np.searchsorted(held, held) < nearest
-        return x[first], y[first], differ[first]
+        begin = np.searchsorted(held, held)
+        first = np.arange(len(x)) - begin < nearest + more
+        cut = np.searchsorted(held, held, "right") - begin > nearest + more
+        return x[first], y[first], differ[first], cut[first]
 
-    def small(t: pa.RecordBatch, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def small(t: pa.RecordBatch, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         node, c, size = (t.column(k).to_numpy() for k in ("node", "c", "size"))
         drawn, a, b = t.column("sketch"), [np.zeros(0, int)], [np.zeros(0, int)]
         for d in range(1, SMALL):
@@ -261,7 +267,7 @@ def _compared(num: int, den: int, nearest: int | None):
         i, j = np.concatenate(a), np.concatenate(b)
         differ = [_distance(drawn[x].as_py(), drawn[y].as_py()) for x, y in zip(i.tolist(), j.tolist(), strict=True)]
         good = (den + num) * np.array(differ, np.int64) <= (den - num) * (size[i] + size[j])
-        return np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good]
+        return np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good], np.zeros(good.sum(), bool)
 
     def compare(t: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
@@ -270,8 +276,8 @@ def _compared(num: int, den: int, nearest: int | None):
         pairs = [small(t.take(pa.array(rows)), group[rows])] if len(rows) else []
         pairs += [tile(t.slice(int(starts[k]), int(sizes[k]))) for k in np.flatnonzero(sizes > SMALL)]
         if pairs:
-            both = np.unique(np.stack([np.concatenate(k) for k in zip(*pairs, strict=True)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], names=["a", "b"])
+            a, b, cut = np.unique(np.stack([np.concatenate(k).astype(np.int64) for k in zip(*pairs, strict=True)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(cut == 1)], names=["a", "b", "cut"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
