@@ -2,7 +2,7 @@
 
 The first scan makes one narrow row a document (length, prefix hash); texts themselves are never shuffled. Lengths
 that occur once are settled there, then prefixes that occur once. Which (length, prefix) groups survive goes back to
-the second scan as a bit set of fixed size, so only documents of surviving groups have their full content read and
+the second scan as a bit set of bounded size, so only documents of surviving groups have their full content read and
 hashed; a false positive of the bit set costs one hash and changes nothing.
 """
 
@@ -13,20 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partsieve.llm.shared import ascii_lower, bit_set, whole, with_hit, written
+from partsieve.llm.shared import ascii_lower, bit_set, filter_pages, whole, with_hit, written
 
 #: Characters of the prefix hash.
 PREFIX_CHARS = 256
-#: Pages of the survivors' bit set, 4 KB each: at most 1 MB is broadcast, whatever the input.
-FILTER_PAGES = 256
 
-
-def _survivors(keys: DataFrame) -> DataFrame:
-    """Bit set pages (page, bits) of the (length, prefix) groups with two documents or more."""
+def _survivors(keys: DataFrame) -> tuple[DataFrame, int]:
+    """Bit set of the (length, prefix) groups with two documents or more, and its pages."""
     by_prefix = written(keys.groupBy("n_bytes", "prefix").agg(F.count("*").alias("n")), "exact-prefixes")
     by_length = by_prefix.groupBy("n_bytes").agg(F.sum("n").alias("n_length")).where("n_length > 1")
-    several = by_prefix.where("n > 1").join(by_length, "n_bytes", "left_semi")
-    return bit_set(several, ["n_bytes", "prefix"], FILTER_PAGES)
+    several = written(by_prefix.where("n > 1").join(by_length, "n_bytes", "left_semi"), "exact-survivors")
+    pages = filter_pages(several.count())
+    return bit_set(several, ["n_bytes", "prefix"], pages), pages
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[Column] = ()) -> DataFrame:
@@ -45,8 +43,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.octet_length("norm").alias("n_bytes"),
         F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix"),
     )
-    pages = _survivors(narrow.select("n_bytes", "prefix"))
-    marked = with_hit(narrow, pages, ["n_bytes", "prefix"], FILTER_PAGES)
+    bits, pages = _survivors(narrow.select("n_bytes", "prefix"))
+    marked = with_hit(narrow, bits, ["n_bytes", "prefix"], pages)
     rows = marked.select("id", F.when(F.col("hit"), F.unhex(F.sha2("norm", 256))).alias("digest"), *carry)
     rows = written(rows, "exact-digests")
     groups = rows.where("digest is not null").groupBy("digest").agg(F.max("id").alias("keep"), F.count("*").alias("n")).where("n > 1")
@@ -76,7 +74,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
     norm = ascii_lower(whole(F.col(f"c{text_at}")))
     keyed = plain.select(F.struct("*").alias("row"), norm.alias("norm"), F.octet_length(norm).alias("n_bytes"), F.xxhash64(F.substring(norm, 1, PREFIX_CHARS)).alias("prefix"))
-    marked = with_hit(keyed, _survivors(keyed.select("n_bytes", "prefix")), ["n_bytes", "prefix"], FILTER_PAGES)
+    bits, pages = _survivors(keyed.select("n_bytes", "prefix"))
+    marked = with_hit(keyed, bits, ["n_bytes", "prefix"], pages)
     alone = marked.where("not hit").select("row")
     rank = F.struct(F.col(f"row.c{at}").isNotNull(), F.col(f"row.c{at}"), F.xxhash64(F.to_json(F.col("row"))))
     one = marked.where("hit").select(F.unhex(F.sha2("norm", 256)).alias("digest"), "row").groupBy("digest").agg(F.max_by("row", rank).alias("row")).select("row")

@@ -27,12 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partsieve.llm.induced_sort import SuffixSorter
-from partsieve.llm.shared import bit_set, with_hit, written
+from partsieve.llm.shared import bit_set, filter_pages, with_hit, written
 
 #: Bytes of a repeated string, and of the windows that anchor it.
 LENGTH, CORE = 200, 100
-#: Bit set pages that pre-filter anchors before a shuffle: 8 MB at most.
-FILTER_PAGES = 2048
 #: Contents under an anchor from which on they are split by the bytes around it.
 MANY = 64
 #: Contents under an anchor from which on their strings are counted, not sorted: bounds a group at a few MB.
@@ -186,13 +184,15 @@ def repeated_starts(rows: DataFrame) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
     runs = written(rows.mapInArrow(_runs, f"id {kind}, {RUNS}"), "suffix-runs")
     several = written(runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "suffix-anchors")
-    asked = with_hit(runs, bit_set(several, ["key"], FILTER_PAGES), ["key"], FILTER_PAGES).where("hit").drop("hit")
+    pages = filter_pages(several.count())
+    asked = with_hit(runs, bit_set(several, ["key"], pages), ["key"], pages).where("hit").drop("hit")
     places = written(asked.join(several, "key", "left_semi").select("id", "tx", "at", "starts", "core", "key", "digest"), "suffix-places")
     one = F.min(F.struct("id", "tx", "at", "starts", "core")).alias("one")
     contents = written(places.groupBy("key", "digest").agg(F.count("*").alias("n"), one), "suffix-contents")
     met = contents.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
-    open_ = contents.join(met, "key").select("key", "digest", "met", "one.*")
-    wanted = with_hit(rows, bit_set(open_, ["id", "tx"], FILTER_PAGES), ["id", "tx"], FILTER_PAGES).where("hit").drop("hit")
+    open_ = written(contents.join(met, "key").select("key", "digest", "met", "one.*"), "suffix-open")
+    pages = filter_pages(open_.count())
+    wanted = with_hit(rows, bit_set(open_, ["id", "tx"], pages), ["id", "tx"], pages).where("hit").drop("hit")
     wanted = wanted.dropDuplicates(["id", "tx"]).withColumnsRenamed({"id": "_id", "tx": "_tx"})
     cut = open_.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tx") == F.col("_tx")))
     data = F.encode("text", "utf-8")
