@@ -31,7 +31,7 @@ FIRST = 6
 #: Members of a group that is compared pair by pair, many groups at once.
 SMALL = 8
 #: Members of a side of a tile.
-TILE = 1024
+TILE = 2048
 #: Nearest pairs of a component that leave a tile, round by round; None: all.
 ROUNDS = (1, 16, None)
 SETS = "node long, size long, sketch binary, payload binary"
