@@ -9,7 +9,7 @@ from partsieve.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(8)
+    s = local_session(8, spark__sql__shuffle__partitions="4")  # the tables are tiny
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
