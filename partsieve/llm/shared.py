@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -55,6 +56,11 @@ class Tables:
                 path = jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(t))[1])
                 path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def free(self) -> None:
+        """Lets Spark delete the shuffle files of finished steps now: its cleaner acts on what the driver's garbage collection finds."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def whole(text: Column) -> Column:
     """Null counts as empty."""

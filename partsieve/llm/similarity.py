@@ -134,6 +134,7 @@ class SimilarityJoin:
         sets = self._sets(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
         self._merge(self._linked(pairs, sets))
         self.tables.drop(pairs, sets)
+        self.tables.free()
 
     def _open(self) -> DataFrame:
         """key, node of all members of the keys under which two components meet."""
@@ -153,6 +154,7 @@ class SimilarityJoin:
         asked = with_hit(sent, bit_set(met, ["key"], pages), ["key"], pages).where("hit").select("key", "node")
         out = self.tables.write(asked.join(met, "key", "left_semi").distinct(), "open")
         self.tables.drop(met)
+        self.tables.free()
         return out
 
     def links(self) -> DataFrame | None:
@@ -161,6 +163,7 @@ class SimilarityJoin:
             self._first_links()
         members = self._open()
         sets = self._sets(members.select("node"))
+        self.tables.free()
         drawn = sets.select("node", "size", "sketch")
         tested = None
         for nearest in ROUNDS:
@@ -184,6 +187,7 @@ class SimilarityJoin:
             self.tables.drop(named, groups)
             if not pairs.isEmpty():
                 self._merge(self._linked(pairs, sets))
+            self.tables.free()
             if found.where("cut").isEmpty():  # no component had more near pairs than have been tested
                 break
             tested = pairs if tested is None else tested.unionByName(pairs)
