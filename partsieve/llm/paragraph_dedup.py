@@ -218,7 +218,7 @@ def _clusters(docs: DataFrame, num: int, den: int, id_col: str, text_col: str) -
     several = tables.write(several.distinct(), "several")
     pages = filter_pages(several.count())
     rows = with_hit(sets.select("id", "tx", "kind", "start", "n_words", "node"), bit_set(several, ["node"], pages), ["node"], pages).where("hit").drop("hit")
-    rows = rows.join(several, "node", "left_semi").distinct()
+    rows = rows.distinct().join(several, "node", "left_semi")  # distinct first, else the join could not split a node of very many places
     rows = rows.withColumn("component", F.col("node")) if joined is None else rows.join(joined, "node", "left")
     rows = tables.write(rows.withColumn("group", F.coalesce("component", "node")).drop("component", "node"), "rows")
     tables.drop(sets, joined, several)
