@@ -12,6 +12,7 @@ from partsieve.llm.exact_dedup import exact_groups
 from partsieve.llm.line_dedup import line_dedup
 from partsieve.llm.mixing import mix
 from partsieve.llm.ngram_join import ngram_components
+from partsieve.llm.packing import pack
 from partsieve.llm.paragraph_dedup import paragraph_clusters
 from partsieve.llm.quality_model import quality_scores
 from partsieve.llm.repetition import quality_rules
@@ -96,6 +97,14 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens, their ids as digests."""
+    import public_tokenizers
+
+    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 OP4_SQL = """
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -160,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op13_packing": op13_packing,
 }
 
 ORACLES: dict[str, str] = {
