@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partsieve.llm.bpe import Bpe
+from partsieve.llm.divergence import divergence
 from partsieve.llm.exact_dedup import exact_groups
 from partsieve.llm.line_dedup import line_dedup
 from partsieve.llm.mixing import mix
@@ -97,6 +98,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source is from every other of its language, and the terms it has more of than its language."""
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens, their ids as digests."""
     import public_tokenizers
@@ -158,6 +164,39 @@ FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i
 GROUP BY l.doc_id
 """
 
+OP12_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents
+), w AS (
+  SELECT lang, source, r, unnest(regexp_extract_all(norm, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM w GROUP BY ALL
+), k AS (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL HAVING sum(docs) >= 10
+), l AS (
+  SELECT d.lang, count(k.term) AS v, coalesce(sum(k.n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang FROM d) d LEFT JOIN k ON k.lang = d.lang GROUP BY 1
+), g AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT c.* FROM c SEMI JOIN k ON c.lang = k.lang AND c.term = k.term) c USING (lang, source) GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v) AS q
+  FROM g JOIN l ON g.lang = l.lang JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), o AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q
+), x AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM o
+)
+SELECT lang, source, part, item, value::BIGINT AS value, place::INT AS rank FROM x WHERE part = 'pair' OR place <= 10
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_quality_classifier": op2_quality_classifier,
@@ -169,6 +208,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op12_divergence_audit": op12_divergence_audit,
     "op13_packing": op13_packing,
 }
 
@@ -176,4 +216,5 @@ ORACLES: dict[str, str] = {
     "op4_url_filters": OP4_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op12_divergence_audit": OP12_SQL,
 }
