@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partsieve.llm.alignment import align
 from partsieve.llm.bpe import Bpe
 from partsieve.llm.divergence import divergence
 from partsieve.llm.exact_dedup import exact_groups
@@ -98,6 +99,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, the groups as digests."""
+    import public_tokenizers
+
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(_table(spark, sf_dir, "documents"), *files, carry=[digest])
+
+
 def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far each source is from every other of its language, and the terms it has more of than its language."""
     return divergence(_table(spark, sf_dir, "documents"))
@@ -208,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_divergence_audit": op12_divergence_audit,
     "op13_packing": op13_packing,
 }
