@@ -1,28 +1,90 @@
-"""Records packed in order into chunks under a budget."""
+"""Records packed in order into chunks under a budget, in parallel however long the order is.
+
+The sum starts over with each chunk, which no window can express. But where a chunk ends depends on nothing but where it
+begins: it ends before the first record whose running sum exceeds the sum before its beginning by more than the budget.
+So every record gets a successor, by one merge of running sums sorted by value, and the beginnings that the first record
+leads to are found by pointer doubling: joins over the records, as many rounds as the logarithm of the chunks of a group.
+Running sums are windows over range-sorted partitions plus the sums of the partitions before, one row a partition.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from partsieve.staging import Stages
+
+
+def _parts():
+    """A window over the sums of parts: one row a partition."""
+    return Window.partitionBy(F.lit(0)).orderBy("part")
+
+
+def _places():
+    return Window.partitionBy("part").orderBy("place")
+
+
+def in_order(stages: Stages, rows: DataFrame, order: Sequence[str], what: str) -> DataFrame:
+    """rows written in order, with part (of a range-sorted table) and place in it; order has to tell all rows apart that are
+    many, since equal rows share a part."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return stages.write(rows.orderBy(*order).withColumns({"part": F.spark_partition_id(), "place": place}), what)
+
+
+def running(rows: DataFrame, value: Column, out: str) -> DataFrame:
+    """Column out: the sum of value up to and with each row, in the order of in_order."""
+    v = rows.withColumn("_value", value)
+    ahead = v.groupBy("part").agg(F.sum("_value").alias("_sum")).withColumn("_ahead", F.coalesce(F.sum("_sum").over(_parts().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    here = F.sum("_value").over(_places().rowsBetween(Window.unboundedPreceding, 0))
+    return v.withColumn("_here", here).join(F.broadcast(ahead.drop("_sum")), "part").withColumn(out, F.col("_here") + F.col("_ahead")).drop("_value", "_here", "_ahead")
+
+
+def _next_point(events: DataFrame) -> DataFrame:
+    """Column found: point of the first row behind each row that has one, in the order of in_order."""
+    firsts = events.groupBy("part").agg(F.min(F.when(F.col("point").isNotNull(), F.struct("place", "point"))).alias("_first"))
+    firsts = firsts.select("part", F.first("_first.point", True).over(_parts().rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
+    here = F.first("point", True).over(_places().rowsBetween(1, Window.unboundedFollowing))
+    return events.withColumn("_here", here).join(F.broadcast(firsts), "part").withColumn("found", F.coalesce("_here", "_later")).drop("_here", "_later")
 
 
 def budget_chunks(rows: DataFrame, keys: Sequence[str], order: Sequence[str], cost: str, most: int) -> DataFrame:
-    """Column chunk, from 0 in each group: records in order, a new chunk where the budget would be passed; none is split.
+    """rows with column chunk, from 0 in each group: records in order, a new chunk where the budget would be passed; none is split.
 
-    The sum starts over with each chunk, which no window can express; a group is one task's, so keys must bound it.
+    A record above the budget is a chunk of its own. Null costs count 0, null keys are a group; costs are whole numbers of
+    0 or more. Without keys all rows are one order. An empty table gives no rows. order tells the records of a group apart
+    (equal ones are taken in any order); column names may not begin with an underscore.
     """
+    stages = Stages(rows.sparkSession, "chunks")
+    names = rows.columns
+    plain = rows.select(F.struct("*").alias("row"), F.struct(*keys).alias("key") if keys else F.lit(0).alias("key"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.coalesce(F.col(cost).cast("long"), F.lit(0)).alias("cost"))
+    told = in_order(stages, plain, ["key", *(f"o{i}" for i in range(len(order)))], "rows").select("row", "key", "cost", "part", "place")
+    told = running(running(told, F.lit(1).cast("long"), "n"), F.col("cost"), "upto")
+    told = stages.write(told.withColumn("before", F.col("upto") - F.col("cost")), "sums")
+
+    # the first record whose running sum exceeds a value: sums (points) and values (probes) sorted together, each value once
+    points = told.where("cost > 0").groupBy(F.col("upto").alias("value")).agg(F.min("n").alias("point"))
+    probes = told.select((F.col("before") + most).alias("value")).distinct()
+    events = points.withColumn("probe", F.lit(0)).unionByName(probes.select("value", F.lit(None).cast("long").alias("point"), F.lit(1).alias("probe")))
+    found = _next_point(in_order(stages, events, ["value", "probe"], "events")).where("probe = 1").select((F.col("value") - most).alias("before"), "found")
+    groups = told.groupBy("key").agg(F.min("n").alias("first"), F.max("n").alias("last"))
+    after = F.when(F.col("cost") > most, F.col("n") + 1).otherwise(F.col("found"))
+    jumps = told.select("n", "key", "before", "cost").join(found, "before").join(groups if keys else F.broadcast(groups), "key")
+    jumps = stages.write(jumps.select("n", after.alias("to"), "last").where("to <= last").select("n", "to"), "jumps")
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(list(order), kind="stable")
-        chunk, held, out = 0, 0, []
-        for n in group[cost]:
-            if held and held + n > most:
-                chunk, held = chunk + 1, 0
-            held += n
-            out.append(chunk)
-        return group.assign(chunk=out)
-
-    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", chunk int"
-    return rows.groupBy(*keys).applyInPandas(pack, shape)
+    reached = stages.write(groups.select(F.col("first").alias("n")), "reached")
+    while True:
+        more = stages.write(reached.join(jumps, "n").select(F.col("to").alias("n")), "more")
+        if more.isEmpty():
+            break
+        wider = stages.write(reached.unionByName(more), "reached")
+        onward = jumps.select(F.col("n").alias("to"), F.col("to").alias("onward"))
+        twice = stages.write(jumps.join(onward, "to").select("n", F.col("onward").alias("to")), "jumps")
+        stages.drop(reached, more, jumps)
+        reached, jumps = wider, twice
+    begins = reached.withColumn("begins", F.lit(1).cast("long"))
+    chunked = running(told.select("row", "key", "n", "part", "place").join(begins, "n", "left"), F.coalesce("begins", F.lit(0)), "number")
+    chunked = stages.write(chunked.select("row", "key", "number"), "numbers")
+    firsts = chunked.groupBy("key").agg(F.min("number").alias("first"))
+    return chunked.join(firsts if keys else F.broadcast(firsts), "key").select(*[F.col("row")[c].alias(c) for c in names], (F.col("number") - F.col("first")).alias("chunk"))

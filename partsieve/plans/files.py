@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partsieve.session import table as t
 from partsieve.sources import parts_xml, tables
+from partsieve.staging import scratch
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -25,16 +23,6 @@ def query(sql: str | None = None):
     return keep
 
 
-def scratch(s: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares; a local session without one gets a temporary folder."""
-    base = s.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not (s.sparkContext.master + "[").startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="partsieve-")
-    return f"{base.rstrip('/')}/partsieve-{name}-{uuid.uuid4().hex}"
-
-
 _PART = "p_partkey long, p_name string, p_brand string, p_size long, p_retailprice double"
 
 

@@ -207,7 +207,29 @@ def seeded_sample(s: SparkSession, d: str) -> DataFrame:
 def budget_chunks(s: SparkSession, d: str) -> DataFrame:
     """Turns of each conversation cut into chunks of at most 100 tokens, in order and whole; no SQL, a test holds it against brute force."""
     rows = t(s, d, "conversations").select("conv_id", "turn", "role", F.floor(F.length("text") / 4).cast("long").alias("tokens"))
-    return chunked(rows, ["conv_id"], ["turn", "role"], "tokens", 100)
+    return chunked(rows, ["conv_id"], ["turn", "role"], "tokens", 100).withColumn("chunk", F.col("chunk").cast("int"))
+
+
+def _chunk_sql(table: str, columns: str, order: str, most: int) -> str:
+    """One order cut greedily, record by record."""
+    return f"""WITH RECURSIVE o AS (SELECT {columns}, coalesce(length(text), 0) // 4 AS tokens, row_number() OVER (ORDER BY {order}) AS n FROM {table}),
+c AS (SELECT *, tokens AS held, CAST(0 AS BIGINT) AS chunk FROM o WHERE n = 1 UNION ALL
+SELECT o.*, CASE WHEN held + o.tokens > {most} THEN o.tokens ELSE held + o.tokens END, chunk + CAST(held + o.tokens > {most} AS INT) FROM c JOIN o ON o.n = c.n + 1)
+SELECT {columns}, tokens, chunk FROM c"""
+
+
+@query(_chunk_sql("conversations", "conv_id, turn, role", "conv_id, turn, role", 2000))
+def conversation_batches(s: SparkSession, d: str) -> DataFrame:
+    """All turns in one order, cut into batches of at most 2000 tokens."""
+    rows = t(s, d, "conversations").select("conv_id", "turn", "role", F.floor(F.coalesce(F.length("text"), F.lit(0)) / 4).cast("long").alias("tokens"))
+    return chunked(rows, [], ["conv_id", "turn", "role"], "tokens", 2000)
+
+
+@query(_chunk_sql("documents", "doc_id", "doc_id", 20000))
+def document_batches(s: SparkSession, d: str) -> DataFrame:
+    """All documents in one order, cut into batches of at most 20000 tokens."""
+    rows = t(s, d, "documents").select("doc_id", F.floor(F.coalesce(F.length("text"), F.lit(0)) / 4).cast("long").alias("tokens"))
+    return chunked(rows, [], ["doc_id"], "tokens", 20000)
 
 
 @query("""WITH h AS (SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN p_brand END AS description, CASE WHEN p_size % 3 = 0 THEN p_type END AS kind FROM part), g AS (SELECT p_partkey AS id, p_name AS description, lower(p_type) AS kind FROM part WHERE p_partkey % 4 <> 0)
