@@ -2,7 +2,9 @@
 
 import pytest
 
+from partsieve.plans import catalogue
 from partsieve.sources import markup
+from tests.oracle import differences
 
 
 def grid(spark, *texts):
@@ -57,3 +59,8 @@ def test_large_table(spark, n):
     html = "<table>" + "".join(f"<tr><td rowspan={1 + i % 3}>{i}<td>b{i}" for i in range(n))
     got = grid(spark, html)[0, 1]
     assert len(got) == n and sorted({x for r in got for x in r if x and x[0] == "b"}) == sorted(f"b{i}" for i in range(n))
+
+
+@pytest.mark.parametrize("name", ["page_parts", "page_specifications"])
+def test_queries(spark, name):
+    assert differences(spark, name, catalogue.QUERIES[name], catalogue.ORACLES[name], "/root/testdata/sf0.01") == ""
