@@ -73,6 +73,14 @@ def plain(texts):
     return out
 
 
+def test_large_groups_are_counted_first(monkeypatch):
+    """Both ways to the links of a slice give the same columns."""
+    texts = ["漢字🙂" * 300 + " ab" * 50, None, "plain words here", "yyyyyyyyy" * 100]
+    direct = module.Aligner(A, B).align(texts)
+    monkeypatch.setattr(module, "FEW", 0)
+    assert [c.to_pylist() for c in module.Aligner(A, B).align(texts)] == [c.to_pylist() for c in direct]
+
+
 @pytest.mark.parametrize("many", [module.MANY, 50])
 def test_query(spark, monkeypatch, many):
     """Whole table, with all pairs broadcast and with nearly all pairs rare."""
