@@ -3,14 +3,14 @@
 A text is split before every tag that shapes a table; each part is a tag and what follows it up to the next. Depths,
 tables, rows and cells are running sums and last values over the parts of one text, so broken markup needs no repair: a
 cell ends where another begins, a row that was never opened begins with its first cell, tags that close nothing change
-nothing. All windows share one shuffle, by text. Only cells that span rows need to know where the cells above them ended
-up: those tables, and no others, are placed in a small function for each table.
+nothing. All windows share one shuffle, by text. Which columns a cell takes depends on the cells that reach down from the
+rows above: a small function over the sorted cells places them.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -49,47 +49,58 @@ def unescaped(text: Column) -> Column:
     return reduce(lambda t, name: F.replace(t, F.lit(name), F.lit(NAMED[name])), NAMED, numbers)
 
 
+#: Stands between the parts of a cell's text; no tag reaches over it.
+BREAK = "\x01"
+
+
 def clean(text: Column) -> Column:
     """Text between tags: without them, unescaped, white space collapsed."""
-    plain = unescaped(F.regexp_replace(text, "<[^>]*>", " "))
-    return F.trim(F.regexp_replace(plain, r"[\s ]+", " "))
+    plain = unescaped(F.regexp_replace(text, f"<[^>{BREAK}]*>", " "))
+    return F.trim(F.regexp_replace(plain, rf"[\s\u00a0{BREAK}]+", " "))
 
 
-def _span(attributes: str, name: str, most: int) -> Column:
-    said = F.regexp_extract(attributes, rf"(?i)\b{name}\s*=\s*[\"']?\s*(\d{{1,6}})", 1).try_cast("int")
-    return F.when(said.isNull(), 1).when(said == 0, most if name == "rowspan" else 1).when(said > most, most).otherwise(said)
+def _span(part: Column, name: str, most: int) -> Column:
+    said = F.regexp_extract(part, rf"(?i)^[^>]*?\b{name}\s*=\s*[\"']?\s*(\d{{1,6}})", 1).try_cast("int")
+    number = F.when(said.isNull(), 1).when(said == 0, most if name == "rowspan" else 1).when(said > most, most).otherwise(said)
+    return F.when(F.lower(F.substring(part, 1, 200)).contains(name), number).otherwise(1)
 
 
 def tag_stream(rows: DataFrame, id_col: str, markup_col: str) -> DataFrame:
-    """text_row (a number for each row), id, at, tag, closes, attributes, rest (markup up to the next shaping tag)."""
+    """text_row (a number for each row), id, at, tag, closes, part (the shaping tag and the markup up to the next one)."""
     before = rf"(?i)(?=</?(?:{'|'.join(SHAPING)})(?![a-z0-9:-]))"
     texts = rows.select(F.col(id_col).alias("id"), F.col(markup_col).alias("markup")).where(F.col("markup").rlike("(?i)<table"))
     texts = texts.select(F.monotonically_increasing_id().alias("text_row"), "id", F.regexp_replace("markup", IGNORED, " ").alias("markup"))
     parts = texts.select("text_row", "id", F.posexplode(F.split("markup", before)).alias("at", "part"))
-    head = lambda group: F.regexp_extract("part", r"^<(/?)([A-Za-z]+)([^>]*)>?", group)
-    shaping = F.lower(head(2))
-    return parts.where(shaping.isin(*SHAPING)).select("text_row", "id", "at", shaping.alias("tag"), (head(1) == "/").alias("closes"), head(3).alias("attributes"), F.regexp_replace("part", "^<[^>]*>?", "").alias("rest"))
-
-
-def _placed(table: pa.Table) -> pa.Table:
-    """The cells of one table, in order, on a grid: each takes the next free columns, and holds them for its rows."""
-    out, taken, row = [], {}, None  # taken: column to the first row that is free again
-    height = max(table.column("tr").to_pylist(), default=0)
-    for i, (tr, wide, high) in enumerate(zip(*(table.column(c).to_pylist() for c in ("tr", "colspan", "rowspan")), strict=True)):
-        if tr != row:
-            row, col = tr, 0
-        for _ in range(wide):
-            while taken.get(col, 0) > tr:
+    tag = F.lower(F.regexp_extract("part", "^</?([A-Za-z]+)", 1))
+    return parts.select("text_row", "id", "at", tag.alias("tag"), F.col("part").startswith("</").alias("closes"), "part").where(F.col("tag").isin(*SHAPING))
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells in the order of their tables, on a grid: each takes the next free columns, and holds them for its rows."""
+    table = row = None
+    taken: dict[int, int] = {}  # the last row in which a cell above holds a column
+
+    for batch in batches:
+        out: list[tuple] = []
+        names = batch.schema.names
+        lists = [batch.column(c).to_pylist() for c in ("text_row", "table", "tr", "colspan", "rowspan", "height")]
+        for i, (text, number, tr, wide, high, height) in enumerate(zip(*lists, strict=True)):
+            if (text, number) != table:
+                table, row, taken = (text, number), None, {}
+            if tr != row:
+                row, col = tr, 0
+            for _ in range(wide):
+                while taken.get(col, 0) >= tr:
+                    col += 1
+                last = min(tr + high - 1, height)
+                if high > 1:
+                    taken[col] = last
+                out += [(i, t, col) for t in range(tr, last + 1)]
                 col += 1
-            last = min(tr + high - 1, height)
-            taken[col] = last + 1
-            out += [(i, t, col) for t in range(tr, last + 1)]
-            col += 1
-    which = pa.array([i for i, _, _ in out], pa.int64())
-    placed = table.take(which)
-    for name, values in (("tr", [t for _, t, _ in out]), ("col", [c for _, _, c in out])):
-        placed = placed.set_column(placed.schema.get_field_index(name), name, pa.array(values, pa.int64()))
-    return placed
+        placed = pa.Table.from_batches([batch]).take(pa.array([i for i, _, _ in out], pa.int64()))
+        for name, values in (("tr", [t for _, t, _ in out]), ("col", [c for _, _, c in out])):
+            placed = placed.set_column(names.index(name), name, pa.array(values, pa.int64()))
+        yield from placed.combine_chunks().to_batches()
 
 
 def table_cells(rows: DataFrame, id_col: str, markup_col: str) -> DataFrame:
@@ -121,57 +132,63 @@ def table_cells(rows: DataFrame, id_col: str, markup_col: str) -> DataFrame:
     s = s.withColumn("section", F.nullif(F.last(part, True).over(of_table), F.lit(""))).where("state = 'cell'")
 
     starts = lambda c: F.max(F.when(cell_tag & opens, c))
-    pieces = F.array_sort(F.collect_list(F.struct("at", clean(F.col("rest")).alias("text"), F.regexp_extract_all("rest", F.lit(r"(?is)<ext-link\b[^>]*?href\s*=\s*\"([^\"]*)\"")).alias("links"))))
     cells = s.groupBy("text_row", "table", "cell").agg(
-        F.first("id").alias("id"), starts(F.col("tr")).alias("tr"), starts(F.col("section")).alias("section"), pieces.alias("pieces"),
-        starts(_span("attributes", "colspan", MOST_COLUMNS)).cast("long").alias("colspan"), starts(_span("attributes", "rowspan", MOST_ROWS)).cast("long").alias("rowspan"),
+        F.first("id").alias("id"), starts(F.col("tr")).alias("tr"), starts(F.col("section")).alias("section"),
+        starts(F.col("part")).alias("part"), F.array_sort(F.collect_list(F.struct("at", "part"))).alias("parts"),
     )
-    text = F.array_join(F.filter(F.col("pieces.text"), lambda t: t != ""), " ")
-    linked = F.aggregate(F.flatten("pieces.links"), text, lambda v, h: F.when((h == "") | v.contains(h), v).otherwise(F.concat(v, F.lit(" ["), h, F.lit("]"))))
-    in_table = Window.partitionBy("text_row", "table")
-    cells = cells.withColumn("value", linked).withColumn("spans", F.max("rowspan").over(in_table) > 1)
-    before = F.sum("colspan").over(Window.partitionBy("text_row", "table", "tr").orderBy("cell")) - F.col("colspan")
-    names = ["text_row", "id", "table", "cell", "tr", "col", "section", "value", "colspan", "rowspan"]
-    cells = cells.withColumn("col", before).select(*names, "spans")
-    flat = cells.where("not spans").withColumn("col", F.explode(F.sequence("col", F.col("col") + F.col("colspan") - 1))).select(*names)
-    spanned = cells.where("spans").select(*names)
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spanned.schema)
-    # one table of one text a group: bounded by the text
-    grid = spanned.groupBy("text_row", "table").applyInArrow(lambda t: _placed(t.sort_by("cell")), shape)
-    return flat.unionByName(grid).select("text_row", "id", "table", "tr", "col", "section", "value")
-
-
-def table_rows(cells: DataFrame) -> DataFrame:
-    """text_row, id, table, tr, col, header, value, headers: the body of every table, each cell with the header of its column.
-
-    The header is the first row of thead, or else the first row; it is no row of the body. Where there is a tbody, only its
-    rows are the body. Columns without a header are called column_0 and on. Rows without text and sums of other rows
-    (a cell of TOTALS) are left out. headers: all headers of the table, in order.
-    """
+    markup = F.array_join(F.transform("parts", lambda x: F.regexp_replace(x["part"], "^<[^>]*>?", "")), BREAK)
+    cells = cells.withColumn("markup", markup)
+    links = F.regexp_extract_all("markup", F.lit(r"(?is)<ext-link\b[^>]*?href\s*=\s*\"([^\"]*)\""))
+    shown = lambda v, h: F.when((h == "") | v.contains(h), v).otherwise(F.concat(v, F.lit(" ["), h, F.lit("]")))
+    value = F.when(F.col("markup").contains("ext-link"), F.aggregate(links, clean(F.col("markup")), shown)).otherwise(clean(F.col("markup")))
+    spans = [_span(F.col("part"), n, most).cast("long").alias(n) for n, most in (("colspan", MOST_COLUMNS), ("rowspan", MOST_ROWS))]
+    height = F.max("tr").over(Window.partitionBy("text_row", "table"))
+    cells = cells.select("text_row", "id", "table", "cell", "tr", F.lit(0).cast("long").alias("col"), "section", value.alias("value"), *spans, height.alias("height"))
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema)
+    grid = cells.sortWithinPartitions("text_row", "table", "cell").mapInArrow(_placed, shape)
+    return grid.select("text_row", "id", "table", "tr", "col", "section", "value")
+
+
+def _headed(cells: DataFrame) -> DataFrame:
+    """cells, dealt by their texts, with head (the row of their table's headers), is_head and header."""
     of_table = Window.partitionBy("text_row", "table")
     section = F.coalesce("section", F.lit(""))
     c = cells.withColumn("head", F.coalesce(F.min(F.when(section == "thead", F.col("tr"))).over(of_table), F.min("tr").over(of_table)))
     c = c.withColumn("bodies", F.max(section == "tbody").over(of_table)).withColumn("is_head", F.col("tr") == F.col("head"))
     named = F.max(F.when(F.col("is_head"), F.col("value"))).over(Window.partitionBy("text_row", "table", "col"))
-    c = c.withColumn("header", F.coalesce(named, F.concat(F.lit("column_"), F.col("col"))))
-    heads = F.array_sort(F.collect_list(F.when(F.col("is_head"), F.struct("col", "value"))).over(of_table))
-    c = c.withColumn("headers", heads["value"])
+    return c.withColumn("header", F.coalesce(named, F.concat(F.lit("column_"), F.col("col"))))
+
+
+def _body(headed: DataFrame) -> DataFrame:
     of_row = Window.partitionBy("text_row", "table", "tr")
+    section = F.coalesce("section", F.lit(""))
     said, total = F.max(F.col("value") != "").over(of_row), F.max(F.lower("value").isin(*TOTALS)).over(of_row)
     body = F.when(F.col("bodies"), section == "tbody").otherwise(section != "thead")
-    c = c.where(~F.col("is_head") & body).withColumn("kept", said & ~total).where("kept")
-    return c.select("text_row", "id", "table", "tr", "col", "header", "value", "headers")
+    c = headed.where(~F.col("is_head") & body).withColumn("kept", said & ~total).where("kept")
+    return c.select("text_row", "id", "table", "tr", "col", "header", "value")
+
+
+def table_rows(cells: DataFrame) -> DataFrame:
+    """text_row, id, table, tr, col, header, value: the body of every table, each cell with the header of its column.
 
+    The header is the first row of thead, or else the first row; it is no row of the body. Where there is a tbody, only its
+    rows are the body. Columns without a header are called column_0 and on. Rows without text and sums of other rows
+    (a cell of TOTALS) are left out.
+    """
+    return _body(_headed(cells))
 
-def header_hits(headers: Column, words: Sequence[str]) -> Column:
-    """How often a word is in a header, over all headers and words."""
-    return F.aggregate(headers, F.lit(0), lambda n, h: n + sum((F.lower(h).contains(w).cast("int") for w in words), F.lit(0)))
+
+def hits(text: Column, words: Sequence[str]) -> Column:
+    """How many of some words are in a text, whatever their case."""
+    return reduce(lambda n, w: n + F.lower(text).contains(w).cast("int"), words, F.lit(0))
 
 
 def parts_rows(cells: DataFrame) -> DataFrame:
     """table_rows of the tables that are parts lists: two hits of PARTS_WORDS or more in their headers, none of DESIGN_WORDS."""
-    rows = table_rows(cells)
-    return rows.where((header_hits(F.col("headers"), DESIGN_WORDS) == 0) & (header_hits(F.col("headers"), PARTS_WORDS) >= 2))
+    of_table = Window.partitionBy("text_row", "table")
+    in_heads = lambda words: F.sum(F.when(F.col("is_head"), hits(F.col("value"), words)).otherwise(0)).over(of_table)
+    headed = _headed(cells).withColumns({"design": in_heads(DESIGN_WORDS), "parts": in_heads(PARTS_WORDS)})
+    return _body(headed.where("design = 0 and parts >= 2"))
 
 
 def specifications(cells: DataFrame) -> DataFrame:
