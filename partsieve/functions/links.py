@@ -109,11 +109,5 @@ def occurrences(text: Column, word: str) -> Column:
     return ((F.length(text) - F.length(F.replace(text, F.lit(word), F.lit("")))) / len(word)).cast("long")
 
 
-def keyword_score(text: Column) -> Column:
-    """Weighted occurrences of hardware keywords in a text, lower-cased; null counts 0."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    return reduce(lambda a, b: a + b, [occurrences(t, k) * w for w, words in KEYWORDS.items() for k in words])
-
-
 def keyword_class(score: Column) -> Column:
     return F.when(score >= HARDWARE_SCORE, "hardware").when(score >= AMBIGUOUS_SCORE, "ambiguous").otherwise("not hardware")

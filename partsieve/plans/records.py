@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partsieve.functions import links, parts, responses, text
+from partsieve.operators.contain import contains_join, pattern_counts
 from partsieve.operators.link import best_per_pair, cross_references, last_per_key
 from partsieve.session import table as t
 
@@ -125,11 +126,35 @@ def structure_classes(s: SparkSession, d: str) -> DataFrame:
 @query("WITH k(k, w) AS (VALUES " + ", ".join(f"('{k}', {w})" for w, words in links.KEYWORDS.items() for k in words) + """), s AS (SELECT doc_id, CAST(sum((length(l) - length(replace(l, k, ''))) // length(k) * w) AS BIGINT) AS score FROM (SELECT doc_id, lower(coalesce(text, '')) AS l FROM documents), k GROUP BY 1)
 SELECT doc_id, score, CASE WHEN score >= 20 THEN 'hardware' WHEN score >= 11 THEN 'ambiguous' ELSE 'not hardware' END AS class FROM s""")
 def keyword_classes(s: SparkSession, d: str) -> DataFrame:
-    """Weighted hardware keywords of every document."""
-    rows = t(s, d, "documents").select("doc_id", links.keyword_score(F.col("text")).alias("score"))
+    """Weighted hardware keywords of every document, all found in one scan of its text."""
+    weights = {k: w for w, words in links.KEYWORDS.items() for k in words}
+    counts = pattern_counts(F.lower(F.coalesce("text", F.lit(""))), list(weights))
+    rows = t(s, d, "documents").select("doc_id", counts.alias("counts"))
+    score = F.aggregate(F.zip_with("counts", F.array(*map(F.lit, weights.values())), lambda n, w: n * w), F.lit(0), lambda a, b: a + b)
+    rows = rows.select("doc_id", score.cast("long").alias("score"))
     return rows.withColumn("class", links.keyword_class(F.col("score")))
 
 
+@query("""SELECT doc_id, item_id, CAST((length(d.text) - length(replace(d.text, b.text, ''))) // length(b.text) AS BIGINT) AS n, CAST(strpos(d.text, b.text) - 1 AS BIGINT) AS first
+FROM documents d JOIN benchmark b ON b.text <> '' AND contains(d.text, b.text)""")
+def benchmark_passages(s: SparkSession, d: str) -> DataFrame:
+    """Documents that contain a whole benchmark text, how often and where first."""
+    return contains_join(t(s, d, "documents"), t(s, d, "benchmark"), "doc_id", "text", "item_id", "text")
+
+
+_REPO = "'See https://GitHub.com/Own' || c_nationkey || '/R' || (c_custkey % 150) || CASE c_custkey % 3 WHEN 0 THEN '/tree/main' WHEN 1 THEN '' ELSE ' and mirror github.com/own1/r1' END"
+
+
+@query(f"""WITH r AS (SELECT c_custkey AS id, {_REPO} AS url FROM customer), k AS (SELECT s_suppkey, 'github.com/own' || s_nationkey || '/r' || s_suppkey % 15 AS p FROM supplier)
+SELECT s_suppkey, min(id) AS id, count(*) AS n FROM k JOIN r ON lower(url) LIKE '%' || p || '%' GROUP BY 1""")
+def repo_like_join(s: SparkSession, d: str) -> DataFrame:
+    """The first project whose links contain a repository's address, whatever its case, and how many do."""
+    projects = t(s, d, "customer").select(F.col("c_custkey").alias("id"), F.expr(_REPO).alias("url"))
+    repos = t(s, d, "supplier").select("s_suppkey", F.concat(F.lit("github.com/own"), "s_nationkey", F.lit("/r"), F.col("s_suppkey") % 15).alias("address"))
+    found = contains_join(projects, repos, "id", "url", "s_suppkey", "address", fold=True)
+    return found.groupBy("s_suppkey").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+
+
 _SOURCE = _cases("page_id", ["'oshwa'", "'ohx'", "'osf'", "'mendeley'"])
 _PROJECT_URL = _cases("page_id % 4", ["'https://github.com/u/r' || (page_id // 8)", "'https://osf.io/k' || (page_id // 12) || ', https://data.mendeley.com/datasets/m' || (page_id // 8) || '/1, https://github.com/u/r' || (page_id // 8)", "'https://osf.io/k' || (page_id // 12)", "'https://doi.org/10.17632/m' || (page_id // 8)"])
 
