@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partsieve.plans import domain, files, pages, records, relational, reports
+from partsieve.plans import domain, files, pages, records, relational, reports, stored
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = relational.QUERIES | domain.QUERIES | records.QUERIES | reports.QUERIES | files.QUERIES | pages.QUERIES
-ORACLES: dict[str, str] = relational.ORACLES | domain.ORACLES | records.ORACLES | reports.ORACLES | files.ORACLES | pages.ORACLES
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = relational.QUERIES | domain.QUERIES | records.QUERIES | reports.QUERIES | files.QUERIES | pages.QUERIES | stored.QUERIES
+ORACLES: dict[str, str] = relational.ORACLES | domain.ORACLES | records.ORACLES | reports.ORACLES | files.ORACLES | pages.ORACLES | stored.ORACLES
