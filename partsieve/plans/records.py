@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from partsieve.functions import links, parts, responses, text
 from partsieve.operators.contain import contains_join, pattern_counts
+from partsieve.operators.distinct import by_distinct
 from partsieve.operators.link import best_per_pair, cross_references, last_per_key
 from partsieve.session import table as t
 
@@ -231,11 +232,11 @@ _NAMES = ["schottky 1n5817", "voltage regulator 5v", "op-amp", "100nf", "4.7 k",
 _FEET = ["Resistor_SMD:R_0603_1608Metric", "SOT 23-5", "sot23", "DIP-8", "R805", "1206", "603", "chip 0402 (1005 metric)", "LQFP48", "none", "TO220", "Package_SO:SOIC-8_3.9x4.9mm", "SOP8"]
 _MAKERS = ["Murata Electronics", "ti", "Digi-Key", " n/a ", "acme  CORP", "Samsung(三星)", "UNI-ROYAL(厚声)", "", "mouser.com"]
 _REFS = ["R1, R2", "ZZ3", "", "SW12"]
-# by hand: category of each name and of each footprint, code and mount of each footprint, maker and whether it only sells
+# by hand: category of each name and of each footprint (an underscore behind a package's number is no end of it), code and mount of each footprint, maker and whether it only sells
 _NAME_SQL = "['diode', 'voltage_regulator', 'ic', 'capacitor', 'resistor', 'switch', 'mechanical', 'ic', NULL, 'inductor', 'ic', NULL]"
 _FOOT_SQL = "['resistor', 'transistor', 'transistor', 'ic', NULL, NULL, NULL, NULL, NULL, NULL, 'transistor', 'ic', NULL]"
-_CODE_SQL = "['0603', 'SOT-23-5', 'SOT-23', 'DIP-8', '0805', '1206', '0603', '0402', 'LQFP-48', NULL, 'TO-220', 'SOIC-8', 'SOP-8']"
-_MOUNT_SQL = "['smd', 'smd', 'smd', 'tht', 'smd', 'smd', 'smd', 'smd', 'smd', NULL, 'tht', 'smd', 'smd']"
+_CODE_SQL = "['0603', 'SOT-23-5', 'SOT-23', 'DIP-8', '0805', '1206', '0603', '0402', 'LQFP-48', NULL, 'TO-220', NULL, 'SOP-8']"
+_MOUNT_SQL = "['smd', 'smd', 'smd', 'tht', 'smd', 'smd', 'smd', 'smd', 'smd', NULL, 'tht', NULL, 'smd']"
 _MAKER_SQL = "['Murata', 'Texas Instruments', 'Digi-Key', NULL, 'Acme  Corp', 'Samsung Electro-Mechanics', 'Uni-Royal(厚声)', NULL, 'Mouser Electronics']"
 
 
@@ -244,8 +245,10 @@ _MAKER_SQL = "['Murata', 'Texas Instruments', 'Digi-Key', NULL, 'Acme  Corp', 'S
 def part_taxonomy(s: SparkSession, d: str) -> DataFrame:
     """Category, manufacturer, footprint and mount of every line item, whose texts are picked by its keys."""
     pick = lambda values, key: F.get(F.array(*map(F.lit, values)), (F.col(key) % len(values)).cast("int"))
-    foot, maker = parts.footprint(pick(_FEET, "l_suppkey")), parts.manufacturer(pick(_MAKERS, "l_linenumber"))
-    return t(s, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", parts.category(pick(_REFS, "l_orderkey"), pick(_NAMES, "l_partkey"), pick(_FEET, "l_suppkey")).alias("category"),
-        maker["name"].alias("maker"), maker["is_distributor"].alias("is_distributor"), foot["code"].alias("footprint"), foot["mount"].alias("mount"),
+    rows = t(s, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", pick(_REFS, "l_orderkey").alias("ref"), pick(_NAMES, "l_partkey").alias("name"), pick(_FEET, "l_suppkey").alias("foot"), pick(_MAKERS, "l_linenumber").alias("made_by"),
     )
+    rows = by_distinct(rows, ["ref", "name", "foot"], {"category": parts.category(F.col("ref"), F.col("name"), F.col("foot"))})
+    rows = by_distinct(rows, ["foot"], {"package": parts.footprint(F.col("foot"))})
+    rows = by_distinct(rows, ["made_by"], {"maker": parts.manufacturer(F.col("made_by"))})
+    return rows.select("l_orderkey", "l_linenumber", "category", F.col("maker.name").alias("maker"), "maker.is_distributor", F.col("package.code").alias("footprint"), "package.mount")
