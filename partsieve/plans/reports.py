@@ -11,6 +11,7 @@ from partsieve.functions.text import present, title_key
 from partsieve.operators.chunks import budget_chunks as chunked
 from partsieve.operators.link import greedy_pairs, last_per_key, token_jaccard
 from partsieve.operators.merge import fill_known, merge
+from partsieve.operators.quantiles import exact_quantiles
 from partsieve.session import table as t
 
 QUERIES: dict = {}
@@ -157,6 +158,28 @@ def group_quartiles(s: SparkSession, d: str) -> DataFrame:
     return rows.select("o_orderstatus", F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("median"), F.get("q", F.lit(2)).alias("q3"), "n")
 
 
+def _quartile_sql(table: str, key: str, value: str) -> str:
+    of = ", ".join(f"quantile_cont(CAST({value} AS DOUBLE), {q}) AS {name}" for q, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3")))
+    return f"SELECT {key}, {of}, count({value}) AS n FROM {table} GROUP BY 1"
+
+
+def _quartiles(rows: DataFrame, key: str, value: str) -> DataFrame:
+    found = exact_quantiles(rows, [key], value, [0.25, 0.5, 0.75])
+    return found.select(key, *[F.col("quantiles")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))], "n")
+
+
+@query(_quartile_sql("lineitem", "l_returnflag", "l_extendedprice"))
+def line_quartiles(s: SparkSession, d: str) -> DataFrame:
+    """Quartiles of prices by return flag, three groups of very many rows, by distributed selection."""
+    return _quartiles(t(s, d, "lineitem"), "l_returnflag", "l_extendedprice")
+
+
+@query(_quartile_sql("documents", "source", "n_chars"))
+def document_quartiles(s: SparkSession, d: str) -> DataFrame:
+    """Quartiles of document sizes by source, by distributed selection."""
+    return _quartiles(t(s, d, "documents"), "source", "n_chars")
+
+
 @query("""SELECT count(*) FILTER (WHERE c_acctbal IS NULL) AS n_null, count(*) FILTER (WHERE c_acctbal < 0) AS below, count(*) FILTER (WHERE c_acctbal > 100) AS above, count(*) FILTER (WHERE c_acctbal = 0) AS at_floor, count(*) FILTER (WHERE c_acctbal = 100) AS at_ceiling FROM customer""")
 def sanity_counts(s: SparkSession, d: str) -> DataFrame:
     """How many scores are missing, out of their range, at its floor and at its ceiling."""
