@@ -25,7 +25,7 @@ from partsieve.llm.shared import Tables, whole
 #: Groups of a light term at most.
 LIGHT = 8
 #: Terms of a tile, about, and sources of each of its two blocks.
-TILE_TERMS, BLOCK = 512, 128
+TILE_TERMS, BLOCK = 128, 128
 #: Counts that a task holds before it hands them on (a default), and bytes of a text that are cut into terms at once.
 HELD, CUT = 1 << 19, 1 << 20
 #: A-Z become a-z, other ASCII characters but letters become spaces; bytes of other characters stay.
