@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partsieve.functions import links, parts, responses, text
+from partsieve.functions import links, parts, responses, text, verdicts
 from partsieve.operators.contain import contains_join, pattern_counts
 from partsieve.operators.distinct import by_distinct
 from partsieve.operators.link import best_per_pair, cross_references, last_per_key
@@ -198,6 +198,33 @@ def response_fields(s: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", "object", F.when(F.schema_of_variant(F.variant_get(v, "$.a.n", "variant")) == "BIGINT", F.try_variant_get(v, "$.a.n", "long")).alias("n"), F.try_variant_get(v, "$.t", "string").alias("t"))
 
 
+_LICENSE = _cases("event_id % 6", ["""'{"present": true, "type": "oss", "name": "L' || user_id || '"}'""", "NULL", "'null'", """'"text"'""", """'{"present": 0, "name": 5}'""", """'{"present": "yes", "type": null}'"""])
+_BOM = _cases("event_id % 6", ["""'{"present": [], "completeness": "full", "component_count": 12}'""", """'{"present": [0], "component_count": "7"}'""", """'{"present": {}, "component_count": "x"}'""", """'{"present": {"a": 1}, "component_count": 3.9}'""", """'{"present": "", "component_count": null}'""", """'{"present": 0.0, "component_count": true}'"""])
+_DESIGN = _cases("event_id % 6", ["""'{"hardware": {"present": true, "has_editable_source": false}, "mechanical": null}'""", """'{"hardware": "x"}'""", "NULL", "'[]'", """'{"mechanical": {"present": 1}}'""", "'null'"])
+_SPECIFIC = _cases("event_id % 6", ["""'{"hardware": {"present": true, "name": "CERN"}, "software": {"present": false, "name": "MIT"}}'""", """'{"documentation": {"present": "y", "name": "CC"}}'""", "NULL", "'7'", "NULL", "NULL"])
+_VERDICT = """CASE WHEN event_id % 11 = 10 THEN 'no verdict' ELSE 'Here: {"metadata": {"project_type": "t' || user_id || '", "structure_quality": ' || event_id % 6 || ', "documentation_location": null}' || coalesce(', "license": ' || license, '') || ', "bom": ' || bom || coalesce(', "design_files": ' || design, '') || coalesce(', "specific_licenses": ' || specific, '') || ', "testing": {"present": "' || event_type || '"}} done' END"""
+
+
+def _by_six(*values: str) -> str:
+    return "CASE k " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
+
+
+_ABSENT = ", ".join(f"CAST(NULL AS VARCHAR) AS {n}" for n in ("contributing_level", "assembly_detail", "sw_fw_type", "sw_fw_doc_level", "testing_detail", "maturity_stage", "sw_license_name", "doc_location"))
+_NONE = ", ".join(f"0 AS {n}" for n in ("contributing_present", "assembly_present", "sw_fw_present", "cost_mentioned", "suppliers_referenced", "part_numbers_present"))
+
+
+@query(f"""SELECT event_id, 't' || user_id AS project_type, CAST(k AS VARCHAR) AS structure_quality, {_by_six("1", "0", "NULL", "NULL", "0", "1")} AS license_present, CASE k WHEN 0 THEN 'oss' END AS license_type, CASE k WHEN 0 THEN 'L' || user_id WHEN 4 THEN '5' END AS license_name,
+{_by_six("0", "1", "0", "1", "0", "0")} AS bom_present, CASE k WHEN 0 THEN 'full' END AS bom_completeness, CAST({_by_six("12", "7", "NULL", "3", "0", "1")} AS BIGINT) AS bom_component_count, CAST(0 AS BIGINT) AS assembly_step_count,
+{_by_six("1", "NULL", "0", "NULL", "0", "NULL")} AS hw_design_present, {_by_six("0", "NULL", "0", "NULL", "0", "NULL")} AS hw_editable_source, {_by_six("NULL", "0", "0", "NULL", "1", "NULL")} AS mech_design_present, {_by_six("NULL", "0", "0", "NULL", "0", "NULL")} AS mech_editable_source,
+1 AS testing_present, CASE k WHEN 0 THEN 'CERN' END AS hw_license_name, CASE k WHEN 1 THEN 'CC' END AS doc_license_name, {_ABSENT}, {_NONE} FROM (SELECT *, event_id % 6 AS k FROM events WHERE event_id % 11 <> 10)""")
+def verdict_fields(s: SparkSession, d: str) -> DataFrame:
+    """The thirty fields of every verdict, out of noisy responses with wrong types, null groups and missing ones."""
+    # each part is a column first: one expression of all of them would be repeated
+    rows = t(s, d, "events").select("*", F.expr(_LICENSE).alias("license"), F.expr(_BOM).alias("bom"), F.expr(_DESIGN).alias("design"), F.expr(_SPECIFIC).alias("specific"))
+    text = F.expr(_VERDICT)
+    return verdicts.flattened(rows.select("event_id", responses.outer_object(text).alias("verdict")), "verdict")
+
+
 _FEED = _cases("p_partkey", [
     """'{"price": "$1.25", "mpn": "M' || p_partkey || '"}'""", """'[{"unitPrice": 2.5, "currency": "GBP", "vendor": "V"}, 3, {"price": "x"}, {"price": "EUR 4.5", "distributor": "D"}]'""", "'not json'", """'{"price": 0, "unitPrice": 7}'""", "NULL", """'{"mpn": "no price"}'""",
 ])
