@@ -54,17 +54,19 @@ def decode(raw: bytes) -> str:
     return raw.decode("utf-8", "replace")
 
 
-def records(raw: bytes) -> list[dict[str, str]]:
-    """Rows by lower-cased header: comments and preamble dropped, the separator guessed from the header line."""
+def records(raw: bytes, sep: str | None = None) -> list[dict[str, str]]:
+    """Rows by lower-cased header: comments, preamble and leading lines without the separator are dropped. The separator is
+    guessed from the first line that is left, if it is not given."""
     lines = [x for x in decode(raw).splitlines() if x.strip() and not x.lstrip().startswith("#")]
     while lines and lines[0].split(",")[0].strip().strip('"').lower() in PREAMBLE:
         lines.pop(0)
     if not lines:
         return []
     tabs, semis, commas = (lines[0].count(c) for c in "\t;,")
-    sep = "\t" if tabs > max(semis, commas) else ";" if semis > commas else ","
-    table = list(csv.reader(io.StringIO("\n".join(lines)), delimiter=sep))
-    names = [h.strip().lower() for h in table[0]]
+    sep = sep or ("\t" if tabs > max(semis, commas) else ";" if semis > commas else ",")
+    head = next((i for i, x in enumerate(lines) if sep in x), len(lines))
+    table = list(csv.reader(io.StringIO("\n".join(lines[head:])), delimiter=sep))
+    names = [h.strip().lower() for h in table[0]] if table else []
     return [dict(zip(names, row, strict=False)) for row in table[1:]]
 
 
@@ -77,19 +79,26 @@ def _parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         out = []
         for path, content in zip(part["path"], part["content"], strict=True):
-            for i, row in enumerate(records(bytes(content))):
+            for i, row in enumerate(records(bytes(content), "\t" if path.lower().endswith(".tsv") else None)):
                 cells = canonical(row)
                 if any(v for c, v in cells.items() if c != "footprint"):
                     out.append({"path": path, "line": i} | cells)
         yield pd.DataFrame(out, columns=["path", "line", *HEADERS])
 
 
-def read_bom(spark: SparkSession, path: str) -> DataFrame:
-    """Canonical parts-list rows of all delimited files under a path; files without known columns give none."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,tsv,txt}").load(path)
+def parse_bom(files: DataFrame) -> DataFrame:
+    """Canonical parts-list rows of delimited files (path, content), as Spark's binaryFile source gives them; line counts the
+    rows of a file from 0. Files ending in .tsv are cut at tabs; files without known columns give none. One file is one
+    task's row, and is parsed whole."""
     return files.select("path", "content").mapInPandas(_parse, SHAPE)
 
 
-def coalesced(df: DataFrame, names: list[str]) -> Column:
-    """First of several columns that is neither null nor empty; columns that df lacks are skipped."""
-    return F.coalesce(*[F.nullif(F.col(f"`{n}`").cast("string"), F.lit("")) for n in names if n in df.columns], F.lit(None).cast("string"))
+def read_bom(spark: SparkSession, path: str) -> DataFrame:
+    """Canonical parts-list rows of all delimited files under a path."""
+    return parse_bom(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,tsv,txt}").load(path))
+
+
+def canonical_columns(cells: Column) -> list[Column]:
+    """The columns of HEADERS out of a map from lower-cased headers to texts: for each the first of its headers that holds
+    something."""
+    return [F.coalesce(*[F.nullif(F.try_element_at(cells, F.lit(h)), F.lit("")) for h in names]).alias(c) for c, names in HEADERS.items()]
