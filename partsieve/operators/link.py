@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from partsieve.staging import Stages
+
 
 def cross_references(rows: DataFrame) -> DataFrame:
     """rows: id, source, key. Pairs id_a < id_b of different sources with the same key, first record of each source.
@@ -47,20 +51,25 @@ def greedy_pairs(scored: DataFrame, rounds: int = 1000) -> DataFrame:
     """a, b, score: every a in order takes its best b (highest score, then least b) that no a before it took.
 
     Each round settles all a that are first in order at their best b among those still open, so the choice equals the
-    one made row by row, and no task sees all pairs. The first a of all is always settled.
+    one made row by row, and no task sees all pairs. The first a of all is always settled. Each round is written, so plans
+    do not grow; pairs that are still open after all rounds raise an error, none is dropped.
     """
-    spark, done, left = scored.sparkSession, None, scored.select("a", "b", "score")
+    stages = Stages(scored.sparkSession, "pairs")
+    left, won_by_round = stages.write(scored.select("a", "b", "score"), "left"), []
     for _ in range(rounds):
-        left = left.checkpoint() if spark.sparkContext.getCheckpointDir() else left.cache()
         if left.isEmpty():
             break
         best = left.groupBy("a").agg(F.min(F.struct((-F.col("score")).alias("score"), "b")).alias("m")).select("a", F.col("m.b").alias("b"), (-F.col("m.score")).alias("score"))
         first = left.groupBy("b").agg(F.min("a").alias("first"))
-        won = best.join(first, "b").where("a = first").select("a", "b", "score")
-        won = won.cache()
-        done = won if done is None else done.unionByName(won)
-        left = left.join(won.select("a"), "a", "left_anti").join(won.select("b"), "b", "left_anti")
-    return done if done is not None else scored.limit(0)
+        won = stages.write(best.join(first, "b").where("a = first").select("a", "b", "score"), "won")
+        won_by_round.append(won)
+        still = stages.write(left.join(won.select("a"), "a", "left_anti").join(won.select("b"), "b", "left_anti"), "left")
+        stages.drop(left)
+        left = still
+    else:
+        if not left.isEmpty():
+            raise RuntimeError(f"pairs are still open after {rounds} rounds: allow more")
+    return reduce(DataFrame.unionByName, won_by_round) if won_by_round else left
 
 
 def best_per_pair(rows: DataFrame, pair: list[str], most: list[str], least: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from partsieve.functions import rules
 from partsieve.functions.text import title_case, to_float, years_between
+from partsieve.operators.distinct import by_distinct
 from partsieve.operators.evaluate import confusion
 from partsieve.operators.link import cross_references, token_jaccard
 from partsieve.operators.merge import merge, merge_partial, replace_groups
@@ -86,26 +87,36 @@ def license_documents(s: SparkSession, d: str) -> DataFrame:
     return t(s, d, "documents").select("doc_id", rules.first_match(F.col("text"), rules.LICENSES).alias("license"))
 
 
-_NAMES = "VALUES (1, 'Apache License 2.0'), (2, 'MIT'), (3, 'CC BY-SA 4.0; GPL v3'), (4, ''), (5, NULL), (6, 'CERN-OHL-S-2.0 and MIT'), (7, 'who knows'), (8, 'BSD 3-Clause'), (9, 'Public Domain')"
+def _picked(key: str, values: list[str]) -> str:
+    """SQL that both engines read: the value by key modulo their number."""
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
 
 
-@query("VALUES (1, 'Apache-2.0'), (2, 'MIT'), (3, 'CC-BY-SA-4.0 + GPL-3.0-or-later'), (4, 'Other'), (5, 'Other'), (6, 'CERN-OHL-S-2.0 + MIT'), (7, 'Other'), (8, 'BSD-3-Clause'), (9, 'CC0-1.0')".join(("SELECT * FROM (", ") AS v(id, license)")))
+_NAMES = _picked("c_custkey", ["'Apache License 2.0'", "'MIT'", "'CC BY-SA 4.0; GPL v3'", "''", "NULL", "'CERN-OHL-S-2.0 and MIT'", "'who knows'", "'BSD 3-Clause'", "'Public Domain'"])
+_SPDX = _picked("c_custkey", ["'Apache-2.0'", "'MIT'", "'CC-BY-SA-4.0 + GPL-3.0-or-later'", "'Other'", "'Other'", "'CERN-OHL-S-2.0 + MIT'", "'Other'", "'BSD-3-Clause'", "'CC0-1.0'"])
+
+
+@query(f"SELECT c_custkey AS id, {_SPDX} AS license FROM customer")
 def license_spdx(s: SparkSession, d: str) -> DataFrame:
-    return s.sql(f"SELECT col1 AS id, col2 AS name FROM {_NAMES}").select("id", rules.license_spdx(F.col("name")).alias("license"))
+    """Licences of every customer's record, compound ones split and joined in order; the texts are picked by key."""
+    return t(s, d, "customer").select(F.col("c_custkey").alias("id"), rules.license_spdx(F.expr(_NAMES)).alias("license"))
 
 
-_PARTS = "VALUES (1, 'R1, R2', ' 10 kohm ', 'RC0603'), (2, 'SW3', 'The Button', 'n/a'), (3, NULL, '4.7 uF', 'http://x.com/a'), (4, 'C7', '100N', '$2.50'), (5, '', NULL, 'LM317'), (6, 'BT1', 'cap 22pF', 'x'), (7, 'D4', '220R', 'a.org/b')"
+_REFERENCES = _picked("o_orderkey", ["'R1, R2'", "'SW3'", "NULL", "'C7'", "''", "'BT1'", "'D4'"])
+_RAW = _picked("o_orderkey", ["' 10 kohm '", "'The Button'", "'4.7 uF'", "'100N'", "NULL", "'cap 22pF'", "'220R'"])
+_NUMBERS = _picked("o_orderkey", ["'RC' || o_custkey", "'n/a'", "'http://x.com/a'", "'$2.50'", "'LM317'", "'x'", "'a.org/b'"])
 
 
-@query("""SELECT * FROM (VALUES (1, 'resistor', '10k', 'RC0603', 2, NULL, NULL), (2, 'switch', 'button', NULL, 1, NULL, NULL), (3, NULL, '4.7uf', NULL, NULL, 0.0000047, 'farad'),
-(4, 'capacitor', '100nf', NULL, 1, 0.0000001, 'farad'), (5, NULL, '', 'LM317', NULL, NULL, NULL), (6, 'battery', 'capacitor 22pf', NULL, 1, NULL, NULL), (7, 'diode', '220ohm', NULL, 1, 220.0, 'ohm'))
-AS v(id, category, name, mpn, quantity, value, unit)""".replace("0.0000047", "CAST(4.7e-6 AS DOUBLE)").replace("0.0000001", "CAST(1e-7 AS DOUBLE)").replace("220.0", "CAST(220.0 AS DOUBLE)"))
+@query(f"""SELECT o_orderkey AS id, {_picked("o_orderkey", ["'resistor'", "'switch'", "NULL", "'capacitor'", "NULL", "'battery'", "'diode'"])} AS category, {_picked("o_orderkey", ["'10k'", "'button'", "'4.7uf'", "'100nf'", "''", "'capacitor 22pf'", "'220ohm'"])} AS name,
+{_picked("o_orderkey", ["'RC' || o_custkey", "NULL", "NULL", "NULL", "'LM317'", "NULL", "NULL"])} AS mpn, {_picked("o_orderkey", ["2", "1", "NULL", "1", "NULL", "1", "1"])} AS quantity,
+CAST({_picked("o_orderkey", ["NULL", "NULL", "4.7e-6", "1e-7", "NULL", "NULL", "220e0"])} AS DOUBLE) AS value, {_picked("o_orderkey", ["NULL", "NULL", "'F'", "'F'", "NULL", "NULL", "'ohm'"])} AS unit FROM orders""")
 def part_fields(s: SparkSession, d: str) -> DataFrame:
-    """Category, name, part number, quantity and value of parts-list rows; its SQL has no category for the value and spells units out (part_values is the whole operator)."""
-    rows = s.sql(f"SELECT col1 AS id, col2 AS reference, col3 AS raw, col4 AS number FROM {_PARTS}").withColumn("name", rules.component_name(F.col("raw")))
-    value = rules.electrical_value(F.col("name"), F.lit(None).cast("string"))
-    unit = F.when(value["unit"] == "F", "farad").when(value["unit"] == "H", "henry").otherwise(value["unit"])
-    return rows.select("id", rules.designator_category(F.col("reference")).alias("category"), "name", rules.part_number(F.col("number")).alias("mpn"), rules.quantity(F.col("reference"), F.lit(None).cast("string")).cast("int").alias("quantity"), F.round(value["value"], 9).alias("value"), unit.alias("unit"))
+    """Category, name, part number, quantity and value of every order's row, whose texts are picked by key; values are read without a category."""
+    rows = t(s, d, "orders").select(F.col("o_orderkey").alias("id"), F.expr(_REFERENCES).alias("reference"), F.expr(_RAW).alias("raw"), F.expr(_NUMBERS).alias("number"))
+    rows = by_distinct(rows, ["raw"], {"name": rules.component_name(F.col("raw"))})
+    rows = by_distinct(rows, ["name"], {"value": rules.electrical_value(F.col("name"), F.lit(None).cast("string"))})
+    quantity = rules.quantity(F.col("reference"), F.lit(None).cast("string")).cast("int")
+    return rows.select("id", rules.designator_category(F.col("reference")).alias("category"), "name", rules.part_number(F.col("number")).alias("mpn"), quantity.alias("quantity"), F.round("value.value", 9).alias("value"), "value.unit")
 
 
 _KINDS = ["R", "C", "L", "SW", "BT", "D"]
@@ -176,14 +187,14 @@ def xref_edges(s: SparkSession, d: str) -> DataFrame:
 _TOKENS = r"regexp_extract_all(lower({}), '[a-z0-9]+')"
 
 
-@query(f"""WITH x AS (SELECT DISTINCT item_id AS a, unnest({_TOKENS.format('text')}) AS t FROM benchmark), y AS (SELECT DISTINCT p_partkey AS b, unnest({_TOKENS.format("p_name || ' ' || p_type")}) AS t FROM part),
-nx AS (SELECT a, count(*) AS n FROM x GROUP BY 1), ny AS (SELECT b, count(*) AS n FROM y GROUP BY 1)
-SELECT a, b, round(n / (nx.n + ny.n - z.n), 6) AS score FROM (SELECT a, b, count(*) AS n FROM x JOIN y USING (t) GROUP BY 1, 2) z JOIN nx USING (a) JOIN ny USING (b) WHERE n / (nx.n + ny.n - z.n) >= 0.02""".replace("SELECT a, b, round(n /", "SELECT a, b, round(z.n /").replace("WHERE n /", "WHERE z.n /"))
+@query(f"""WITH l AS (SELECT DISTINCT p_name || ' ' || p_type AS a FROM part), r AS (SELECT DISTINCT p_name || ' ' || p_brand AS b FROM part),
+x AS (SELECT DISTINCT a, unnest({_TOKENS.format('a')}) AS t FROM l), y AS (SELECT DISTINCT b, unnest({_TOKENS.format('b')}) AS t FROM r), nx AS (SELECT a, count(*) AS n FROM x GROUP BY 1), ny AS (SELECT b, count(*) AS n FROM y GROUP BY 1)
+SELECT a, b, round(z.n / (nx.n + ny.n - z.n), 6) AS score FROM (SELECT a, b, count(*) AS n FROM x JOIN y USING (t) GROUP BY 1, 2) z JOIN nx USING (a) JOIN ny USING (b) WHERE z.n / (nx.n + ny.n - z.n) >= 0.4""")
 def jaccard_titles(s: SparkSession, d: str) -> DataFrame:
+    """Titles of parts by type and by brand whose words have a Jaccard similarity of 0.4 or more."""
     tokens = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("([a-z0-9]+)")))
-    left = t(s, d, "benchmark").select(F.col("item_id").alias("a"), tokens(F.col("text")).alias("tokens"))
-    right = t(s, d, "part").select(F.col("p_partkey").alias("b"), tokens(F.concat_ws(" ", "p_name", "p_type")).alias("tokens"))
-    return token_jaccard(left, right, 0.02).select("a", "b", F.round("score", 6).alias("score"))
+    titles = lambda side, more: t(s, d, "part").select(F.concat_ws(" ", "p_name", more).alias(side)).distinct().withColumn("tokens", tokens(side))
+    return token_jaccard(titles("a", "p_type"), titles("b", "p_brand"), 0.4).select("a", "b", F.round("score", 6).alias("score"))
 
 
 _CONFUSED = """SELECT CAST(count(*) FILTER (WHERE p AND q) AS BIGINT) AS tp, CAST(count(*) FILTER (WHERE p AND NOT q) AS BIGINT) AS fp,

@@ -86,9 +86,11 @@ def left_join_preagg(s: SparkSession, d: str) -> DataFrame:
     return t(s, d, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "last_date", "most")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_totalprice > 200000)")
 def anti_join(s: SparkSession, d: str) -> DataFrame:
-    return t(s, d, "customer").join(t(s, d, "orders"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
+    """Customers without a large order that is finished."""
+    large = t(s, d, "orders").where("o_orderstatus = 'F' AND o_totalprice > 200000")
+    return t(s, d, "customer").join(large, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality = 1)")

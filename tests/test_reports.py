@@ -2,6 +2,9 @@
 
 import re
 
+import pytest
+
+from partsieve.operators.link import greedy_pairs
 from partsieve.plans import catalogue
 from partsieve.session import table
 
@@ -35,3 +38,17 @@ def test_greedy_pairs_are_those_of_a_scan(spark):
             used.add(want[a])
     got = {r["a"]: r["b"] for r in catalogue.QUERIES["greedy_titles"](spark, SF).collect()}
     assert got == want and len(want) > 5
+
+
+def test_open_pairs_are_an_error(spark):
+    """A chain of pairs settles one a round: none is lost, and too few rounds are told."""
+    chain = spark.createDataFrame([(i, b, 1.0 - (b - i) / 10) for i in range(6) for b in (i - 1, i) if b >= 0], "a long, b long, score double")
+    got = {(r["a"], r["b"]) for r in greedy_pairs(chain).collect()}
+    used, want = set(), set()
+    for i in range(6):
+        b = next(b for b in (i - 1, i) if b >= 0 and b not in used)
+        used.add(b)
+        want.add((i, b))
+    assert got == want
+    with pytest.raises(RuntimeError, match="still open"):
+        greedy_pairs(chain, rounds=1)
