@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from partsieve.operators import chunks
 from partsieve.operators.chunks import budget_chunks
 from partsieve.plans import catalogue
 from tests.oracle import differences
@@ -23,8 +24,11 @@ def scan(rows, most):
     return out
 
 
+@pytest.mark.parametrize("walk", [1 << 17, 0])
 @pytest.mark.parametrize("most", [1, 7, 50, 10**6])
-def test_against_a_scan(spark, most):
+def test_against_a_scan(spark, monkeypatch, most, walk):
+    """Entries of partitions walked, and found by doubling."""
+    monkeypatch.setattr(chunks, "WALK", walk)
     r = random.Random(most)
     costs = [0, 0, 0, 1, 2, 5, 9, 60, None]
     rows = [(r.choice([None, 1, 2, 3]) if i % 3 else 1, i, r.choice(costs)) for i in range(400)] + [(4, i, 0) for i in range(40)]
