@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partsieve.functions.text import doi
 from partsieve.session import table as t
-from partsieve.sources.articles import last_text, read_articles, titles_by_doi
+from partsieve.sources.articles import data_availability, journal, last_text, read_articles, repository_links, titles_by_doi
 from partsieve.staging import scratch
 from partsieve.streaming.queue import queue_state, run_queue, to_do
 
@@ -24,13 +25,20 @@ def query(sql: str | None = None):
     return keep
 
 
+_CODES = ["pone", "PMED", "pcbi", "pxyz"]
+
+
 def _articles(s: SparkSession, d: str) -> str:
     """Files of articles, one a document, whole texts as their bodies: a fifth has no doi, and all have references with titles of
     their own before theirs."""
     escaped = F.replace(F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     doi = F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit('<article-id pub-id-type="doi"> 10.1/'), "doc_id", F.lit("</article-id>"))).otherwise('<article-id pub-id-type="pmid">7</article-id>')
     title = F.concat(F.lit("<article-title>Other</article-title><title-group>\n<article-title> On <i>"), "source", F.lit("</i> &amp; "), "doc_id", F.lit("</article-title></title-group>"))
-    article = F.concat(F.lit("<article>\n<front>"), doi, title, F.lit("</front>\n<body>"), escaped, F.lit("</body></article>"))
+    uri = F.concat(F.lit("<self-uri>https://doi.org/10.1371/Journal."), F.element_at(F.array(*map(F.lit, _CODES)), (F.col("doc_id") % 4 + 1).cast("int")), F.lit("."), "doc_id", F.lit("</self-uri>"))
+    said = F.concat(F.lit("<meta-name>Data <b>Availability</b></meta-name><meta-value> All at <ext-link>here</ext-link> "), "doc_id", F.lit(" </meta-value></custom-meta>"))
+    meta = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("<custom-meta><meta-name>Other</meta-name><meta-value>no</meta-value></custom-meta><custom-meta>"), said)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit('<custom-meta id="data-availability"><meta-name>x</meta-name><meta-value>In '), "doc_id", F.lit("</meta-value></custom-meta>"))).otherwise("<custom-meta/>")
+    back = F.concat(F.lit("<back>Code: https://github.com/o"), "doc_id", F.lit("/r, (http://gitlab.com/g/h) <p>https://gitlab.cern.ch/p/q; https://github.com/o"), "doc_id", F.lit("/r</p></back>"))
+    article = F.concat(F.lit("<article>\n<front>"), doi, title, uri, meta, F.lit("</front>\n<body>"), escaped, F.lit("</body>"), back, F.lit("</article>"))
     path = scratch(s, "articles")
     t(s, d, "documents").select(article.alias("value")).write.text(path)
     return path
@@ -49,6 +57,23 @@ def article_bodies(s: SparkSession, d: str) -> DataFrame:
     return read_articles(s, _articles(s, d)).select(last_text(record, "article-title").alias("title"), F.md5(last_text(record, "body")).alias("body"))
 
 
+@query("""SELECT '10.1371/journal.' || lower(['pone', 'PMED', 'pcbi', 'pxyz'][doc_id % 4 + 1]) || '.' || doc_id AS doi, ['plosone', 'plosmedicine', 'ploscompbiol', 'plosone'][doc_id % 4 + 1] AS journal,
+CASE doc_id % 3 WHEN 0 THEN 'All athere' || doc_id WHEN 1 THEN 'In ' || doc_id END AS statement FROM documents""")
+def article_statements(s: SparkSession, d: str) -> DataFrame:
+    """Identifier, journal and statement on data availability of every article."""
+    found = read_articles(s, _articles(s, d)).select(doi(last_text(F.col("record"), "self-uri")).alias("doi"), data_availability(F.col("record")).alias("statement"))
+    return found.select("doi", journal(F.col("doi")).alias("journal"), "statement")
+
+
+@query("""SELECT doc_id, unnest(['https://github.com/o' || doc_id || '/r', 'http://gitlab.com/g/h', 'https://gitlab.cern.ch/p/q']) AS repo_url, unnest(['GitHub', 'GitLab', 'GitLab']) AS platform FROM documents""")
+def article_repositories(s: SparkSession, d: str) -> DataFrame:
+    """Repositories that the back matter of every article links to, with their platforms."""
+    back = F.concat(F.lit("<back>"), F.substring_index("record", "<back>", -1))
+    number = F.regexp_extract(last_text(F.col("record"), "self-uri"), r"(\d+)$", 1).cast("long")
+    found = read_articles(s, _articles(s, d)).select(number.alias("doc_id"), F.explode(repository_links(back)).alias("link"))
+    return found.select("doc_id", "link.*")
+
+
 _DAY = 86_400_000
 
 

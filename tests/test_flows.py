@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partsieve.plans import catalogue
-from partsieve.sources.articles import last_text, read_articles, titles_by_doi
+from partsieve.sources.articles import data_availability, last_text, read_articles, repository_links, titles_by_doi
 from partsieve.streaming.queue import queue_state, run_queue
 from tests.oracle import differences
 
@@ -46,6 +46,17 @@ def test_queue_with_restarts(spark, tmp_path):
     assert got == want and {0, 1} == {p for p, _, _ in want.values()}
 
 
-@pytest.mark.parametrize("name", ["article_titles", "article_bodies", "queue_stream"])
+@pytest.mark.parametrize("name", ["article_titles", "article_bodies", "article_statements", "article_repositories", "queue_stream"])
 def test_queries(spark, name):
     assert differences(spark, name, catalogue.QUERIES[name], catalogue.ORACLES[name], "/root/testdata/sf0.01") == ""
+
+
+def test_statements_and_links(spark):
+    records = [
+        '<article><custom-meta id="data-availability"><meta-value> </meta-value></custom-meta><custom-meta><meta-name>DATA AVAILABILITY statement</meta-name><meta-value>a <i> b </i>c &amp; d</meta-value></custom-meta>',
+        "<article><p>See HTTPS://GitHub.com/A/b) and\nhttps://gitlab.x.org/c/d], https://www.gitlab.com/e/f</p>",
+        "<article>",
+    ]
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "i long, record string")
+    got = {r["i"]: (r["s"], [tuple(x) for x in r["l"]]) for r in rows.select("i", data_availability(F.col("record")).alias("s"), repository_links(F.col("record")).alias("l")).collect()}
+    assert got == {0: ("abc & d", []), 1: (None, [("HTTPS://GitHub.com/A/b", "GitHub"), ("https://www.gitlab.com/e/f", "GitLab"), ("https://gitlab.x.org/c/d", "GitLab")]), 2: (None, [])}
