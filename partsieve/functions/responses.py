@@ -50,6 +50,13 @@ def outer_object(texts: pa.Array) -> pa.Array:
     return pa.array([None if x is None else _parsed(_span(x)) for x in texts.to_pylist()], pa.string())
 
 
+def event_payload(text: Column) -> Column:
+    """The first line of a server-sent-event response behind "data: " that is JSON; null if there is none."""
+    lines = F.filter(F.split(text, "\r\n|\r|\n"), lambda x: x.startswith("data: "))
+    payloads = F.transform(lines, lambda x: F.substring(x, 7, F.length(x)))
+    return F.get(F.filter(payloads, lambda x: F.try_parse_json(x).isNotNull()), F.lit(0))
+
+
 def _field(v: Column, *names: str) -> Column:
     """The first of several fields that is neither null, empty, zero nor false, as text."""
     texts = [F.try_variant_get(v, f"$.{n}", "string") for n in names]

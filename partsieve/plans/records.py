@@ -198,6 +198,17 @@ def response_fields(s: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", "object", F.when(F.schema_of_variant(F.variant_get(v, "$.a.n", "variant")) == "BIGINT", F.try_variant_get(v, "$.a.n", "long")).alias("n"), F.try_variant_get(v, "$.t", "string").alias("t"))
 
 
+_EVENTS = _cases("event_id", [
+    """'event: message' || chr(10) || 'data: {"id": ' || event_id || '}' || chr(10) || 'data: {"id": 0}'""", """'data: not json' || chr(13) || chr(10) || 'data: [1, ' || user_id || ']'""", "'data:{\"id\": 1}'", "NULL", "': comment' || chr(10) || 'data: '", "' data: 1'",
+])
+
+
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN '{"id": ' || event_id || '}' WHEN 1 THEN '[1, ' || user_id || ']' END AS payload FROM events""")
+def event_payloads(s: SparkSession, d: str) -> DataFrame:
+    """The JSON of server-sent-event responses."""
+    return t(s, d, "events").select("event_id", responses.event_payload(F.expr(_EVENTS)).alias("payload"))
+
+
 _LICENSE = _cases("event_id % 6", ["""'{"present": true, "type": "oss", "name": "L' || user_id || '"}'""", "NULL", "'null'", """'"text"'""", """'{"present": 0, "name": 5}'""", """'{"present": "yes", "type": null}'"""])
 _BOM = _cases("event_id % 6", ["""'{"present": [], "completeness": "full", "component_count": 12}'""", """'{"present": [0], "component_count": "7"}'""", """'{"present": {}, "component_count": "x"}'""", """'{"present": {"a": 1}, "component_count": 3.9}'""", """'{"present": "", "component_count": null}'""", """'{"present": 0.0, "component_count": true}'"""])
 _DESIGN = _cases("event_id % 6", ["""'{"hardware": {"present": true, "has_editable_source": false}, "mechanical": null}'""", """'{"hardware": "x"}'""", "NULL", "'[]'", """'{"mechanical": {"present": 1}}'""", "'null'"])
