@@ -52,8 +52,10 @@ def running(rows: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
 def _next_point(events: DataFrame) -> DataFrame:
     """Column found: point of the first row behind each row that has one, in the order of in_order."""
     firsts = events.groupBy("part").agg(F.min(F.when(F.col("point").isNotNull(), F.struct("place", "point"))).alias("_first"))
-    firsts = firsts.select("part", F.first("_first.point", True).over(_parts().rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
-    here = F.first("point", True).over(_places().rowsBetween(1, Window.unboundedFollowing))
+    # backwards, since a frame that runs to the end would be read again for each row
+    behind = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.select("part", F.last("_first.point", True).over(behind(Window.partitionBy(F.lit(0)).orderBy(F.desc("part")))).alias("_later"))
+    here = F.last("point", True).over(behind(Window.partitionBy("part").orderBy(F.desc("place"))))
     return events.withColumn("_here", here).join(F.broadcast(firsts), "part").withColumn("found", F.coalesce("_here", "_later")).drop("_here", "_later")
 
 
