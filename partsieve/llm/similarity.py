@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from partsieve.llm.components import components
 from partsieve.llm.shared import Tables, bit_set, filter_pages, with_hit
+from partsieve.operators.components import components
 
 #: Least keys of a node under which it is first tested against one other.
 FIRST = 6

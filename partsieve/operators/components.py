@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partsieve.llm.shared import Tables
+from partsieve.staging import Stages
 
 
-def _hang(tables: Tables, edges: DataFrame, up: bool) -> DataFrame:
+def _hang(tables: Stages, edges: DataFrame, up: bool) -> DataFrame:
     """Every neighbour of a node (up: larger ones of both directions; else smaller ones) hung on the node's least neighbour.
 
     The least neighbours are written first, so that the join exchanges both sides and a node of very many edges is split.
@@ -30,7 +30,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     before, and the loop ends when a round changes nothing. Self loops and nulls are ignored; nodes that only have those
     are not returned.
     """
-    tables = Tables(edges.sparkSession, "components")
+    tables = Stages(edges.sparkSession, "components")
     now = tables.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     seen = None
     for _ in range(rounds):

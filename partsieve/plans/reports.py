@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from partsieve.functions.text import present, title_key
 from partsieve.operators.chunks import budget_chunks as chunked
-from partsieve.operators.link import greedy_pairs, last_per_key, token_jaccard
+from partsieve.operators.link import greedy_titles as titles_paired
+from partsieve.operators.link import last_per_key
 from partsieve.operators.merge import fill_known, merge
 from partsieve.operators.quantiles import exact_quantiles
 from partsieve.session import table as t
@@ -319,4 +320,4 @@ def greedy_titles(s: SparkSession, d: str) -> DataFrame:
     tokens = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("([a-z0-9]+)")))
     left = t(s, d, "part").where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("a"), tokens(F.concat_ws(" ", "p_name", "p_type")).alias("tokens"))
     right = t(s, d, "part").where("p_partkey % 5 = 1").select(F.col("p_partkey").alias("b"), tokens(F.concat_ws(" ", "p_name", "p_brand")).alias("tokens"))
-    return greedy_pairs(token_jaccard(left, right, 0.3))
+    return titles_paired(left, right, 0.3)

@@ -40,6 +40,26 @@ def test_greedy_pairs_are_those_of_a_scan(spark):
     assert got == want and len(want) > 5
 
 
+def test_titles_that_repeat(spark, tmp_path):
+    """Copies compete for the same partners: settled pair by pair these took more rounds than greedy_pairs allows."""
+    names, types, brands = ["large bolt", "small bolt", "hot ring"], ["SMALL", "ECONOMY", "LARGE"], ["Brand#1", "Small#2"]
+    parts = [(k, names[k * 7 % 11 % 3], types[k * 5 % 13 % 3], brands[k % 17 % 2]) for k in range(6000)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    words = lambda *c: frozenset(re.findall("[a-z0-9]+", " ".join(c).lower()))
+    left = {k: words(n, x) for k, n, x, _ in parts if k % 5 == 0}
+    right = {k: words(n, x) for k, n, _, x in parts if k % 5 == 1}
+    scores = {(x, y): len(x & y) / len(x | y) for x in set(left.values()) for y in set(right.values())}
+    want, free = [], dict(right)
+    for a in sorted(left):
+        scored = [(-scores[left[a], y], b) for b, y in free.items() if scores[left[a], y] >= 0.3]
+        if scored:
+            score, b = min(scored)
+            want.append((a, b, -score))
+            del free[b]
+    got = [tuple(r) for r in catalogue.QUERIES["greedy_titles"](spark, str(tmp_path)).select("a", "b", "score").orderBy("a").collect()]
+    assert got == want and len({b for _, b, _ in want}) > 1000
+
+
 def test_open_pairs_are_an_error(spark):
     """A chain of pairs settles one a round: none is lost, and too few rounds are told."""
     chain = spark.createDataFrame([(i, b, 1.0 - (b - i) / 10) for i in range(6) for b in (i - 1, i) if b >= 0], "a long, b long, score double")
