@@ -1,13 +1,15 @@
 """The substring join against plain search."""
 
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from partsieve.operators import contain
 from partsieve.operators.contain import Automaton, contains_join, pattern_counts
-from partsieve.plans import catalogue
-from tests.oracle import differences
+from partsieve.plans import catalogue, records
+from tests.oracle import TABLES, differences
 
 
 @pytest.mark.parametrize("dictionary", [1 << 21, 40])
@@ -38,3 +40,20 @@ def test_counts(spark):
 def test_queries(spark, name):
     assert differences(spark, name, catalogue.QUERIES[name], catalogue.ORACLES[name], "/root/testdata/sf0.01") == ""
     assert catalogue.QUERIES[name](spark, "/root/testdata/sf0.01").count() > 10
+
+
+def test_addresses_and_links_that_repeat(spark, monkeypatch, tmp_path):
+    """The join grows with distinct links and addresses, not with the product of their copies."""
+    base = "/root/testdata/sf0.01"
+    for name in TABLES:
+        os.symlink(f"{base}/{name}.parquet", tmp_path / f"{name}.parquet")
+    for name, key, step in (("customer", "c_custkey", 45_000), ("supplier", "s_suppkey", 1500)):
+        os.unlink(tmp_path / f"{name}.parquet")
+        copies = spark.read.parquet(f"{base}/{name}.parquet").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(7))))
+        copies.withColumn(key, F.col(key) + F.col("copy") * step).drop("copy").write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = []
+    monkeypatch.setattr(records, "contains_join", lambda *a, **k: found.append(contains_join(*a, **k)) or found[-1])
+    plain = catalogue.QUERIES["repo_like_join"](spark, base).count()
+    assert catalogue.QUERIES["repo_like_join"](spark, str(tmp_path)).count() == 8 * plain
+    assert found[1].count() == found[0].count()
+    assert differences(spark, "repo_like_join", catalogue.QUERIES["repo_like_join"], catalogue.ORACLES["repo_like_join"], str(tmp_path)) == ""
