@@ -32,6 +32,8 @@ FIRST = 6
 SMALL = 8
 #: Members of a side of a tile.
 TILE = 2048
+#: Bits of a sketch for each member, at least; a power of 2.
+FINE = 4
 #: Nearest pairs of a component that leave a tile, round by round; None: all.
 ROUNDS = (1, 16, None)
 SETS = "node long, size long, sketch binary, payload binary"
@@ -54,8 +56,12 @@ def shared_members(set_of: Callable[[bytes], np.ndarray]):
 
 
 def parity(members: np.ndarray) -> bytes:
-    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with one or two bits a member."""
-    bits = max(64, 1 << (len(members) | 1).bit_length())
+    """Parity sketch for comparing: member h flips bit h mod 2 ** k, with FINE to 2 * FINE bits a member.
+
+    Members that differ and share a bit hide each other; with few bits so many do that sets which are not near enough, but
+    almost, pass for near ones, every pair of them.
+    """
+    bits = max(64, FINE << (len(members) | 1).bit_length())
     odd = np.bincount((members >> np.uint64(6) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -86,16 +92,25 @@ class SimilarityJoin:
         texts = self.texts.select(F.xxhash64("id", "tx").alias("pick"), "text")
         texts = with_hit(texts, bit_set(picks, ["pick"], pages), ["pick"], pages).where("hit").select("pick", "text")
         if self.single:
-            sets = texts.select("text").mapInArrow(self.members, SETS)
-            if not picks.where("n > 1").isEmpty():  # rows that repeat id and text
-                sets = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "payload")])
+            sets = self._once(self.tables.write(texts.select("text").mapInArrow(self.members, SETS), "sets"))
         else:
             found = texts.join(picks, "pick").groupBy("pick").agg(F.first("text").alias("text"), F.first("nodes").alias("nodes"))
-            sets = found.select("text", "nodes").mapInArrow(self.members, SETS)
-        sets = self.tables.write(sets, "sets")
+            sets = self.tables.write(found.select("text", "nodes").mapInArrow(self.members, SETS), "sets")
         self.tables.drop(nodes, picks)
         return sets
 
+    def _once(self, sets: DataFrame) -> DataFrame:
+        """Sets with one row of each node: copies of a text, which the filter passes for nothing or which repeat an id, would multiply its pairs. Only they are shuffled."""
+        several = self.tables.write(sets.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "several")
+        out, pages = sets, filter_pages(several.count())
+        if not several.isEmpty():
+            marked = with_hit(sets, bit_set(several, ["node"], pages), ["node"], pages)
+            one = marked.where("hit").groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "payload")])
+            out = self.tables.write(marked.where("not hit").select(one.columns).unionByName(one), "sets")
+            self.tables.drop(sets)
+        self.tables.drop(several)
+        return out
+
     def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the pairs of nodes a, b that reach the threshold, by the exact size of the intersection."""
         pages = filter_pages(2 * pairs.count())
@@ -236,16 +251,19 @@ def _compared(num: int, den: int, nearest: int | None):
     def tile(t: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         node, c, size, side, is_major = (t.column(k).to_numpy(zero_copy_only=False) for k in ("node", "c", "size", "side", "is_major"))
         words = _folded(t.column("sketch").to_pylist())
+        coarse = np.bitwise_xor.reduce(words.reshape(len(words), min(FINE, words.shape[1]), -1), axis=1)
         ask = np.flatnonzero((side == 0) | ((side == 2) & ~is_major))
-        step, found = max(1, (1 << 20) // (len(node) * words.shape[1])), []
+        step, found = max(1, (1 << 20) // (len(node) * coarse.shape[1])), []
         for first in range(0, len(ask), step):
             i = ask[first : first + step]
             near = (c[i, None] != c[None, :]) & (den * np.minimum(size[i, None], size[None, :]) >= num * np.maximum(size[i, None], size[None, :]))
             near &= (side[i, None] == 2) | (side[None, :] == 1)
             x, y = np.nonzero(near)
-            differ = np.bitwise_count(words[i[x]] ^ words[y]).sum(1, dtype=np.int64)
-            good = (den + num) * differ <= (den - num) * (size[i[x]] + size[y])
-            found.append(few(i[x[good]], y[good], differ[good], c, 1)[:3])
+            for drawn in (coarse, words) if coarse.shape[1] < words.shape[1] else (words,):
+                differ = np.bitwise_count(drawn[i[x]] ^ drawn[y]).sum(1, dtype=np.int64)
+                good = (den + num) * differ <= (den - num) * (size[i[x]] + size[y])
+                x, y, differ = x[good], y[good], differ[good]
+            found.append(few(i[x], y, differ, c, 1)[:3])
         x, y, _, cut = few(*(np.concatenate(k) for k in zip(*found, strict=True)), c, 0) if found else (np.zeros(0, int),) * 4
         return np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), cut
 
