@@ -6,6 +6,8 @@ before the shuffle, to the least and greatest component under it: only keys unde
 and only their members are gathered. Members of an open group that are not in its largest component are compared with
 all others by parity sketches inside a task, in tiles of bounded size, and each component's nearest pairs leave it,
 more of them from round to round and all at last; those that pass the exact test merge components, and groups close.
+Of keys with the same members one is compared. Long sketches go to the groups folded, and the pairs that are near by
+those meet once more by the whole sketches, each pair once, however many keys it shares.
 Every pair that shares a key is in the end linked, ruled out by its sketches or tested, or lies in one component:
 components come out exactly, however a group's pairs are spread.
 
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import BinaryType, LongType
 
 from partsieve.llm.shared import Tables, bit_set, filter_pages, with_hit
 from partsieve.operators.components import components
@@ -34,6 +36,8 @@ SMALL = 8
 TILE = 2048
 #: Bits of a sketch for each member, at least; a power of 2.
 FINE = 4
+#: A sketch goes to groups folded so often, but not to fewer bytes than SHORT: it goes under every key of its node.
+FOLDS, SHORT = 4, 128
 #: Nearest pairs of a component that leave a tile, round by round; None: all.
 ROUNDS = (1, 16, None)
 SETS = "node long, size long, sketch binary, payload binary"
@@ -66,6 +70,22 @@ def parity(members: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+@F.arrow_udf(BinaryType())
+def folded(sketches: pa.Array) -> pa.Array:
+    """Sketches folded FOLDS times, or to SHORT bytes: their distances only get less."""
+    out = []
+    for s in sketches:
+        s = s.as_py()
+        out.append(np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(max(1, min(FOLDS, len(s) // SHORT)), -1), axis=0).tobytes())
+    return pa.array(out, pa.binary())
+
+
+@F.arrow_udf(LongType())
+def distances(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Bits in which two sketches differ."""
+    return pa.array([_distance(x.as_py(), y.as_py()) for x, y in zip(left, right, strict=True)], pa.int64())
+
+
 class SimilarityJoin:
     """Components of sets that meet under a common key.
 
@@ -111,12 +131,21 @@ class SimilarityJoin:
         self.tables.drop(several)
         return out
 
-    def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Those of the pairs of nodes a, b that reach the threshold, by the exact size of the intersection."""
+    def _both(self, pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+        """a, b with the sizes n, m of their sets and a column of theirs as left, right."""
         pages = filter_pages(2 * pairs.count())
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        some = with_hit(sets.select("node", "size", "payload"), bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").drop("hit")
-        both = pairs.join(some.toDF("b", "m", "right"), "b").join(some.toDF("a", "n", "left"), "a")
+        some = with_hit(sets.select("node", "size", column), bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").drop("hit")
+        return pairs.join(some.toDF("b", "m", "right"), "b").join(some.toDF("a", "n", "left"), "a")
+
+    def _sketched(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those of the pairs that are near enough by their whole sketches."""
+        near = (self.den + self.num) * distances("left", "right") <= (self.den - self.num) * (F.col("n") + F.col("m"))
+        return self.tables.write(self._both(pairs, sets, "sketch").where(near).select("a", "b"), "sketched")
+
+    def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those of the pairs of nodes a, b that reach the threshold, by the exact size of the intersection."""
+        both = self._both(pairs, sets, "payload")
         n, m = F.col("n"), F.col("m")
         both = both.where(self.den * F.least(n, m) >= self.num * F.greatest(n, m)).withColumn("shared", self.shared("left", "right"))
         return self.tables.write(both.where(self.den * F.col("shared") >= self.num * (n + m - F.col("shared"))).select("a", "b"), "links")
@@ -179,15 +208,19 @@ class SimilarityJoin:
         members = self._open()
         sets = self._sets(members.select("node"))
         self.tables.free()
-        drawn = sets.select("node", "size", "sketch")
+        drawn = sets.select("node", "size", folded("sketch").alias("sketch") if self.single else "sketch")
         tested = None
         for nearest in ROUNDS:
             named = self.tables.write(self._named(members), "members")
             self.tables.drop(members)
-            parts = named.groupBy("key", "c").agg(F.count("*").alias("n"))
-            groups = parts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("major"), F.count("*").alias("parts")).where("parts > 1")
+            marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in (0, 1)]
+            parts = named.groupBy("key", "c").agg(F.count("*").alias("n"), *marks)
+            marks = [F.bit_xor(f"mark{i}").alias(f"mark{i}") for i in (0, 1)]
+            groups = parts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("major"), F.count("*").alias("parts"), *marks).where("parts > 1")
             if tested is not None:  # all pairs of small groups have been compared
                 groups = groups.where(F.col("n") > SMALL)
+            else:  # groups of the same members are one: two numbers of 64 bits tell them apart
+                groups = groups.groupBy("n", "mark0", "mark1").agg(F.min("key").alias("key"), F.first("major").alias("major"))
             groups = self.tables.write(groups.select("key", "n", F.col("major.n").alias("n_major"), F.col("major.c").alias("major")), "groups")
             opened = self.tables.write(named.join(groups, "key"), "opened")
             members = opened.select("key", "node")
@@ -201,7 +234,8 @@ class SimilarityJoin:
             pairs = self.tables.write(pairs, "pairs")
             self.tables.drop(named, groups)
             if not pairs.isEmpty():
-                self._merge(self._linked(pairs, sets))
+                near = self._sketched(pairs, sets) if self.single else pairs
+                self._merge(self._linked(near, sets))
             self.tables.free()
             if found.where("cut").isEmpty():  # no component had more near pairs than have been tested
                 break

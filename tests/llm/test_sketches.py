@@ -2,6 +2,8 @@
 
 import numpy as np
 
+from partsieve.llm import similarity
+from partsieve.llm.ngram_join import ngram_dedup
 from partsieve.llm.shared import Tables
 from partsieve.llm.similarity import SETS, SimilarityJoin, parity, shared_members
 
@@ -21,3 +23,26 @@ def test_one_set_a_node(spark):
     join = SimilarityJoin(None, None, None, shared_members(lambda p: p), 85, 100, Tables(spark, "once"), single=True)
     sets = join._once(join.tables.write(spark.createDataFrame(rows, SETS), "sets"))
     assert sorted(tuple(x) for x in sets.collect()) == [(n, 3, bytes([n]), b"p") for n in (1, 2, 3)]
+
+
+def test_keys_of_the_same_members_are_compared_once(spark, monkeypatch):
+    """Two documents that share many keys, too little for a link, and two that are near: short sketches meet once a pair."""
+    r, dealt, near = np.random.default_rng(3), [], similarity.SimilarityJoin._near
+    x = [f"w{i}" for i in r.integers(0, 10**6, 1200)]
+    y, z = x[:1080] + [f"v{i}" for i in range(120)], x[:1120] + [f"u{i}" for i in range(80)]
+    other = [f"o{i}" for i in range(1200)]
+    texts = [" ".join(words) for words in (x, y, other, [*other[:900], *(f"p{i}" for i in range(300))], z)]
+
+    def counted(self, opened, nearest):
+        dealt.extend((row["key"], row["node"], len(row["sketch"])) for row in opened.collect())
+        return near(self, opened, nearest)
+
+    monkeypatch.setattr(similarity.SimilarityJoin, "_near", counted)
+    monkeypatch.setattr(similarity.SimilarityJoin, "_first_links", lambda self: None)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {row["doc_id"] for row in ngram_dedup(docs).collect()} == {0, 2, 3}
+    groups = {}
+    for key, node, size in dealt:
+        groups.setdefault(key, set()).add(node)
+        assert size <= 1024 // similarity.FOLDS
+    assert len(groups) == len({frozenset(g) for g in groups.values()}) <= 5
