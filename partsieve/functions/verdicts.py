@@ -70,6 +70,11 @@ def _count(v: Column) -> Column:
     return F.when(truth(v), number).otherwise(F.lit(0).cast("long"))
 
 
+def _flags() -> list[tuple[str, str]]:
+    """Group and field of what is read by its truth: the flags, and whether a licence is there."""
+    return list(dict.fromkeys((g, "present" if kind == "licence" else f) for _, g, f, kind in FIELDS if kind in ("flag", "licence")))
+
+
 def flattened(rows: DataFrame, json_col: str) -> DataFrame:
     """rows whose text is a JSON object, without that text, with the columns of FIELDS.
 
@@ -77,26 +82,35 @@ def flattened(rows: DataFrame, json_col: str) -> DataFrame:
     included, says nothing: all its columns are null. Fields of another type than expected count by their truth, as text,
     or as null where no whole number can be read from them.
     """
-    parsed = rows.withColumn("_v", F.try_parse_json(json_col)).where(_is_object(F.col("_v"))).drop(json_col)
+    # what parses and starts with a brace is an object; the schema of a whole verdict would cost more than its parts
+    objects = rows.where(F.regexp_like(json_col, F.lit(r"^[ \t\r\n]*\{")) & F.try_parse_json(json_col).isNotNull())
+    parsed = objects.withColumn("_v", F.try_parse_json(json_col)).drop(json_col)
     groups = list(dict.fromkeys(g for _, g, _, _ in FIELDS))
-    for k, group in enumerate(groups):
-        outer, _, inner = group.partition(".")
-        member = _member(F.col("_v"), outer)
-        state = F.when(member.isNull(), "missing").when(_is_object(member), "object")
-        if inner:
-            within = _member(member, inner)
-            state = F.when(state == "object", F.when(within.isNull(), "missing").when(_is_object(within), "object")).otherwise(state)
-            member = within
-        parsed = parsed.withColumns({f"_state_{k}": state, f"_group_{k}": member})
-    out = []
+    outers = list(dict.fromkeys(g.partition(".")[0] for g in groups))
+    paths = outers + [g for g in groups if g not in outers]
+    # values of a kind are read by one expression over an array of them: thirty expressions side by side outgrow what the JVM compiles
+    each = {
+        "_states": ([_member(F.col("_v"), p) for p in paths], lambda m: F.when(m.isNull(), "missing").when(_is_object(m), "object")),
+        "_texts": ([_member(F.col("_v"), f"{g}.{f}") for _, g, f, kind in FIELDS if kind in ("text", "licence")], _text),
+        "_flags": ([_member(F.col("_v"), f"{g}.{f}") for g, f in _flags()], truth),
+        "_counts": ([_member(F.col("_v"), f"{g}.{f}") for _, g, f, kind in FIELDS if kind == "count"], _count),
+    }
+    parsed = parsed.select("*", *[F.array(*values).alias(n) for n, (values, _) in each.items()]).select(*[c for c in rows.columns if c != json_col], *[F.transform(n, of).alias(n) for n, (_, of) in each.items()])
+    out, texts, counts = [], 0, 0
     for name, group, field, kind in FIELDS:
-        k = groups.index(group)
-        state, value = F.col(f"_state_{k}"), _member(F.col(f"_group_{k}"), field)
+        outer = group.partition(".")[0]
+        state = F.get("_states", F.lit(paths.index(group)))
+        if outer != group:  # a group that is missing inside of what is no object says nothing either
+            around = F.get("_states", F.lit(paths.index(outer)))
+            state = F.when(around == "object", state).otherwise(around)
         here, missing = state == "object", state == "missing"
-        out.append({
-            "text": F.when(here, _text(value)),
-            "flag": F.when(missing, F.lit(0)).when(here, truth(value).cast("int")),
-            "count": F.when(missing, F.lit(0).cast("long")).when(here, _count(value)),
-            "licence": F.when(here & truth(_member(F.col(f"_group_{k}"), "present")), _text(value)),
-        }[kind].alias(name))
+        if kind in ("text", "licence"):
+            text, texts = F.get("_texts", F.lit(texts)), texts + 1
+            value = F.when(here if kind == "text" else here & F.get("_flags", F.lit(_flags().index((group, "present")))), text)
+        elif kind == "flag":
+            value = F.when(missing, F.lit(0)).when(here, F.get("_flags", F.lit(_flags().index((group, field)))).cast("int"))
+        else:
+            count, counts = F.get("_counts", F.lit(counts)), counts + 1
+            value = F.when(missing, F.lit(0).cast("long")).when(here, count)
+        out.append(value.alias(name))
     return parsed.select(*[c for c in rows.columns if c != json_col], *out)

@@ -57,3 +57,12 @@ def test_against_plain_rules(spark):
 
 def test_query(spark):
     assert differences(spark, "verdict_fields", catalogue.QUERIES["verdict_fields"], catalogue.ORACLES["verdict_fields"], "/root/testdata/sf0.01") == ""
+
+
+def test_fields_of_a_kind_are_read_by_one_expression(spark):
+    """Fields side by side, each with expressions of its own, are more than the JVM compiles."""
+    df = spark.createDataFrame([(1, ' \n{"bom": {"present": 1}}'), (2, ' [{"bom": 1}]'), (3, '"{}"'), (4, "{bad}")], "id long, t string")
+    out = verdicts.flattened(df, "t")
+    assert [(x["id"], x["bom_present"]) for x in out.collect()] == [(1, 1)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(") == 4 and plan.count("schema_of_variant") < 20
