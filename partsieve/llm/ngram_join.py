@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 from partsieve.llm.shared import Tables, keep_one_of, written
 from partsieve.llm.similarity import SimilarityJoin, parity
 
-#: Words whose hashes a worker keeps.
-KNOWN = 1 << 19
 #: Nodes that a task remembers to have sent.
 SEEN = 1 << 19
 U = np.uint64
@@ -49,21 +47,19 @@ def grams(a: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """The 64-bit hash of each word; it takes less time than to look the word up."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 class Shingler:
     """Sorted distinct n-gram hashes of a text."""
 
     def __init__(self, n: int):
-        self.n, self._known = n, {}
+        self.n = n
 
     def __call__(self, text: bytes) -> np.ndarray:
-        words, known = text.lower().split(), self._known
-        if len(known) > KNOWN:
-            known.clear()
-        h = [known.get(w) for w in words]
-        if None in h:
-            h = [known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words]
-        a = np.array(h, np.uint64)
-        return np.unique(grams(a, self.n))
+        return np.unique(grams(word_hashes(text.lower().split()), self.n))
 
 
 class Bands:

@@ -18,16 +18,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partsieve.llm.ngram_join import KNOWN, SEEN, U, _mixed, grams
+from partsieve.llm.ngram_join import SEEN, U, _mixed, grams, word_hashes
 from partsieve.llm.shared import Tables, bit_set, filter_pages, with_hit, written
-from partsieve.llm.similarity import SimilarityJoin, parity
+from partsieve.llm.similarity import FINE, SimilarityJoin
 from partsieve.llm.suffix_dedup import PLACE_BITS, _least
 
 #: Words of a shingle; words of the shortest line that is a paragraph alone; words of a picked paragraph.
@@ -42,22 +42,11 @@ LINES, PICKED = 0, 1
 
 
 class WordHashes:
-    """64-bit hashes of the words of each line of a text."""
-
-    def __init__(self):
-        self._known = {}
+    """64-bit hashes of the words of a text, and how many words each of its lines has."""
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        lines, known = [line.split() for line in text.lower().split(b"\n")], self._known
-        if len(known) > KNOWN:
-            known.clear()
-        out = []
-        for words in lines:
-            h = [known.get(w) for w in words]
-            if None in h:
-                h = [known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words]
-            out += h
-        return np.array(out, np.uint64), np.array([len(x) for x in lines], np.int64)
+        lines = [line.split() for line in text.lower().split(b"\n")]
+        return word_hashes(list(chain.from_iterable(lines))), np.array([len(x) for x in lines], np.int64)
 
 
 def lines_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,10 +91,10 @@ def picked(shingles: np.ndarray, base: np.ndarray, lengths: np.ndarray) -> np.nd
 def _sets(shingles: np.ndarray, at: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingles of each paragraph, end to end, and how many each has."""
     n = np.maximum(n_words - SHINGLE + 1, 1)
-    which = np.repeat(np.arange(len(at)), n)
-    every = shingles[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + at[which]]
-    order = np.lexsort((every, which))
-    every = every[order]
+    first, which, every = np.cumsum(n) - n, np.repeat(np.arange(len(at)), n), np.empty(n.sum(), np.uint64)
+    for k in np.unique(n):  # those of one length are sorted as rows of a matrix
+        i, r = np.flatnonzero(n == k)[:, None], np.arange(k)
+        every[first[i] + r] = np.sort(shingles[at[i] + r], axis=1)
     new = np.append(True, (every[1:] != every[:-1]) | (which[1:] != which[:-1]))
     return every[new], np.bincount(which[new], minlength=len(at))
 
@@ -186,18 +175,37 @@ def _signatures(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.clear()
 
 
+def _packed(bits: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Bytes laid end to end as binary values that end at ends."""
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(bits)]).cast(pa.binary())
+
+
+def parities(sets: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """parity() of each of the sets that lie end to end."""
+    bits = np.maximum(64, FINE << np.ceil(np.log2((sizes | 1) + 1)).astype(np.int64))
+    ends = np.cumsum(bits)
+    at = (sets >> U(6)).astype(np.int64) & np.repeat(bits - 1, sizes)
+    odd = np.bincount(at + np.repeat(ends - bits, sizes), minlength=ends[-1] if len(ends) else 0) & 1
+    return _packed(np.packbits(odd.astype(np.uint8), bitorder="little"), ends // 8)
+
+
 def _members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, nodes) -> (node, size, sketch, payload: the hashes of the set) of the asked paragraphs of each text."""
-    hashes = WordHashes()
+    """(text, nodes: structs of node, start, n_words) -> (node, size, sketch, payload: the hashes of the set) of the asked paragraphs of each text."""
     for part in parts:
         for first, texts in _batches(part.column(0)):
-            wanted = [set(part.column(1)[first + i].as_py()) for i in range(len(texts))]
-            found = {}
-            for _, which, _, _, sets, sizes, nodes in paragraphs(texts, hashes):
-                ends = np.cumsum(sizes)
-                found |= {(i, x): sets[e - s : e].tobytes() for i, x, s, e in zip(which.tolist(), nodes.tolist(), sizes.tolist(), ends.tolist(), strict=True) if x in wanted[i]}
-            drawn = [parity(np.frombuffer(x, np.uint64)) for x in found.values()]
-            columns = [pa.array([x for _, x in found], pa.int64()), pa.array([len(x) // 8 for x in found.values()], pa.int64()), pa.array(drawn, pa.binary()), pa.array(list(found.values()), pa.binary())]
+            asked = part.column(1).slice(first, len(texts))
+            each = np.diff(asked.offsets.to_numpy()).tolist()
+            start, n_words = (asked.flatten().field(k).to_numpy() for k in ("start", "n_words"))
+            words, at, spans = [], 0, list(zip(start.tolist(), (start + n_words).tolist(), strict=True))
+            for text, n in zip(texts, each, strict=True):
+                all_words = text.lower().split()
+                for lo, hi in spans[at : at + n]:
+                    words += all_words[lo:hi]
+                at += n
+            lengths = n_words.astype(np.int64)
+            base = np.cumsum(lengths) - lengths
+            sets, sizes = _sets(_shingles(word_hashes(words), base, lengths), base, lengths)
+            columns = [pa.array(_numbers(sets, sizes)), pa.array(sizes, pa.int64()), parities(sets, sizes), _packed(sets, 8 * np.cumsum(sizes))]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "sketch", "payload"])
 
 
@@ -212,7 +220,7 @@ def _clusters(docs: DataFrame, num: int, den: int, id_col: str, text_col: str) -
     kind = texts.schema["id"].dataType.simpleString()
     shape = f"id {kind}, tx long, kind byte, start int, n_words int, size long, node long, keys array<long>"
     sets = tables.write(texts.mapInArrow(_signatures, shape), "signatures")
-    joined = SimilarityJoin(sets, texts, _members, _hashes, num, den, tables, first=0).links()
+    joined = SimilarityJoin(sets, texts, _members, _hashes, num, den, tables, first=0, where=("start", "n_words")).links()
     several = sets.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     several = several if joined is None else several.unionByName(joined.select("node"))
     several = tables.write(several.distinct(), "several")

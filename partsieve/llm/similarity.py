@@ -91,13 +91,13 @@ class SimilarityJoin:
 
     rows: id, tx (a hash of the text), size, node (a number for the set's content), keys; sets of size 0 are left out.
     texts: id, tx, text. members: a function for mapInArrow from (text, nodes) to (node, size, sketch, payload), which
-    gives those of the wanted nodes that the text has, once each; set_of gives the sorted 64-bit hashes of the set that a
-    payload stands for. single: a text has one node, and the function takes (text) alone. Two sets are linked if they
-    share num/den of their union or more.
+    gives the wanted nodes of the text, once each; set_of gives the sorted 64-bit hashes of the set that a payload stands
+    for. nodes are structs of a node and the columns of rows in where, which tell where the text has it. single: a text has
+    one node, and the function takes (text) alone. Two sets are linked if they share num/den of their union or more.
     """
 
-    def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, set_of: Callable, num: int, den: int, tables: Tables, first: int = FIRST, single: bool = False):
-        self.rows, self.texts, self.members, self.num, self.den, self.tables, self.first, self.single = rows, texts, members, num, den, tables, first, single
+    def __init__(self, rows: DataFrame, texts: DataFrame, members: Callable, set_of: Callable, num: int, den: int, tables: Tables, first: int = FIRST, single: bool = False, where: tuple[str, ...] = ()):
+        self.rows, self.texts, self.members, self.num, self.den, self.tables, self.first, self.single, self.where = rows, texts, members, num, den, tables, first, single, where
         self.shared = shared_members(set_of)
         self.joined: DataFrame | None = None
 
@@ -105,9 +105,13 @@ class SimilarityJoin:
         """node, size, sketch, payload of the asked nodes (and of few others), each read from one text that has it, in place where texts are single."""
         nodes = self.tables.write(nodes.distinct(), "asked")
         pages = filter_pages(nodes.count())
-        rows = self.rows.select("node", F.xxhash64("id", "tx").alias("pick"))
-        rows = with_hit(rows, bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").groupBy("node", "pick").agg(F.count("*").alias("n")).groupBy("node").agg(F.min(F.struct("pick", "n")).alias("p"))
-        picks = rows.join(nodes, "node", "left_semi").groupBy("p.pick").agg(F.collect_list("node").alias("nodes"), F.max("p.n").alias("n"))
+        rows = self.rows.select("node", F.xxhash64("id", "tx").alias("pick"), *self.where)
+        rows = with_hit(rows, bit_set(nodes, ["node"], pages), ["node"], pages).where("hit").drop("hit")
+        if self.single:
+            picks = rows.groupBy("node").agg(F.min("pick").alias("pick")).join(nodes, "node", "left_semi").select("pick").distinct()
+        else:
+            rows = rows.groupBy("node").agg(F.min(F.struct("pick", *self.where)).alias("p")).join(nodes, "node", "left_semi")
+            picks = rows.groupBy("p.pick").agg(F.collect_list(F.struct("node", *(f"p.{c}" for c in self.where))).alias("nodes"))
         picks = self.tables.write(picks, "picks")
         texts = self.texts.select(F.xxhash64("id", "tx").alias("pick"), "text")
         texts = with_hit(texts, bit_set(picks, ["pick"], pages), ["pick"], pages).where("hit").select("pick", "text")

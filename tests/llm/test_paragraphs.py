@@ -3,9 +3,13 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from partsieve.llm.paragraph_dedup import LINE_WORDS, SPREAD, WINDOW, WordHashes, lines_of, paragraph_clusters, paragraph_dedup, paragraphs
+from partsieve.llm import paragraph_dedup as paragraph_dedup_module
+from partsieve.llm.paragraph_dedup import LINE_WORDS, SPREAD, WINDOW, WordHashes, _members, lines_of, paragraph_clusters, paragraph_dedup, paragraphs
+from partsieve.llm.similarity import parity
 from tests.llm.test_operators import SF, components, shingles
 
 
@@ -113,3 +117,22 @@ def test_null_ids_copies_clashing_names_and_no_rows(spark):
     kept = sorted((x["_gone"], x["text"]) for x in paragraph_dedup(docs).collect())
     assert kept == [(1, a), (2, ""), (2, ""), (3, b), (4, None), (5, ""), (6, "few words")]
     assert paragraph_clusters(docs.limit(0)).count() == 0 and paragraph_dedup(docs.limit(0)).count() == 0
+
+
+def test_asked_paragraphs_are_read_at_their_places(monkeypatch):
+    """Only the asked places are cut into shingles; sets, nodes and sketches are those of the paragraphs there."""
+    r = random.Random(8)
+    texts = ["\n".join(" ".join(_text(r, n)) for n in (30, 4, 25)), "a B\tc", " ".join(_text(r, 300))]
+    asked, want = [], {}
+    for text in texts:
+        asked.append([])
+        for _, _, at, n_words, sets, sizes, nodes in paragraphs([text.encode()], WordHashes()):
+            cuts = np.split(sets, np.cumsum(sizes)[:-1])
+            for k in range(0, len(nodes), 2):
+                want[int(nodes[k])] = (int(sizes[k]), parity(cuts[k]), cuts[k].tobytes())
+                asked[-1].append({"node": int(nodes[k]), "start": int(at[k]), "n_words": int(n_words[k])})
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("start", pa.int32()), ("n_words", pa.int32())]))
+    monkeypatch.setattr(paragraph_dedup_module, "paragraphs", None)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(asked, kind)], names=["text", "nodes"])
+    got = [row for part in _members(iter([batch.slice(0, 1), batch.slice(1)])) for row in part.to_pylist()]
+    assert len(want) > 10 and {x["node"]: (x["size"], x["sketch"], x["payload"]) for x in got} == want
