@@ -6,6 +6,7 @@ before the shuffle, to the least and greatest component under it: only keys unde
 and only their members are gathered. Members of an open group that are not in its largest component are compared with
 all others by parity sketches inside a task, in tiles of bounded size, and each component's nearest pairs leave it,
 more of them from round to round and all at last; those that pass the exact test merge components, and groups close.
+Only groups of which a round left near pairs out are compared again.
 Of keys with the same members one is compared. Long sketches go to the groups folded, and the pairs that are near by
 those meet once more by the whole sketches, each pair once, however many keys it shares.
 Every pair that shares a key is in the end linked, ruled out by its sketches or tested, or lies in one component:
@@ -230,9 +231,8 @@ class SimilarityJoin:
             members = opened.select("key", "node")
             if opened.isEmpty():
                 break
-            found = self._near(opened.join(drawn, "node"), nearest).groupBy("a", "b").agg(F.max("cut").alias("cut"))
-            found = self.tables.write(found, "near")
-            pairs = found.select("a", "b")
+            found = self.tables.write(self._near(opened.join(drawn, "node"), nearest).distinct(), "near")
+            pairs, cut = found.where("key is null").select("a", "b"), found.where("key is not null").select("key")
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             pairs = self.tables.write(pairs, "pairs")
@@ -241,14 +241,15 @@ class SimilarityJoin:
                 near = self._sketched(pairs, sets) if self.single else pairs
                 self._merge(self._linked(near, sets))
             self.tables.free()
-            if found.where("cut").isEmpty():  # no component had more near pairs than have been tested
+            if cut.isEmpty():  # no component had more near pairs than have been tested
                 break
+            members = members.join(cut, "key", "left_semi")  # all near pairs of other groups have been tested
             tested = pairs if tested is None else tested.unionByName(pairs)
         return self.joined
 
     def _near(self, opened: DataFrame, nearest: int | None) -> DataFrame:
         """Pairs a, b of members of a group that are in different components, near enough in size and in sketch; of each component but the
-        largest of a group above SMALL only so many of the nearest a tile, and whether that cut any off."""
+        largest of a group above SMALL only so many of the nearest a tile. Rows with a key instead name the groups where that cut any off."""
         hashed, n_minor = F.xxhash64("node"), F.col("n") - F.col("n_major")
         p, q = (F.ceil(x / TILE).cast("int") for x in (n_minor, F.col("n_major")))
         r = opened.withColumn("is_major", F.col("c") == F.col("major")).withColumn("p", p).withColumn("q", q)
@@ -261,7 +262,7 @@ class SimilarityJoin:
         spots = F.when(F.col("n") <= TILE, F.array(spot(zero, zero, two))).when(F.col("is_major"), with_minors).otherwise(F.concat(with_majors, among))
         dealt = r.withColumn("at", F.explode(spots)).select("key", "at.x", "at.y", "at.side", "node", "c", "is_major", "size", "sketch")
         dealt = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-        return dealt.mapInArrow(_compared(self.num, self.den, nearest), "a long, b long, cut boolean")
+        return dealt.mapInArrow(_compared(self.num, self.den, nearest), "a long, b long, key long")
 
 
 def _folded(drawn: list[bytes]) -> np.ndarray:
@@ -316,7 +317,7 @@ def _compared(num: int, den: int, nearest: int | None):
         cut = np.searchsorted(held, held, "right") - begin > nearest + more
         return x[first], y[first], differ[first], cut[first]
 
-    def small(t: pa.RecordBatch, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def small(t: pa.RecordBatch, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         node, c, size = (t.column(k).to_numpy() for k in ("node", "c", "size"))
         drawn, a, b = t.column("sketch"), [np.zeros(0, int)], [np.zeros(0, int)]
         for d in range(1, SMALL):
@@ -327,17 +328,23 @@ def _compared(num: int, den: int, nearest: int | None):
         i, j = np.concatenate(a), np.concatenate(b)
         differ = [_distance(drawn[x].as_py(), drawn[y].as_py()) for x, y in zip(i.tolist(), j.tolist(), strict=True)]
         good = (den + num) * np.array(differ, np.int64) <= (den - num) * (size[i] + size[j])
-        return np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good], np.zeros(good.sum(), bool)
+        return np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good]
 
     def compare(t: pa.RecordBatch, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys = t.column("key").to_numpy()
         starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         sizes = np.diff(np.append(starts, len(group)))
         rows = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
-        pairs = [small(t.take(pa.array(rows)), group[rows])] if len(rows) else []
-        pairs += [tile(t.slice(int(starts[k]), int(sizes[k]))) for k in np.flatnonzero(sizes > SMALL)]
+        pairs, cut = [small(t.take(pa.array(rows)), group[rows])] if len(rows) else [], []
+        for k in np.flatnonzero(sizes > SMALL):
+            a, b, more = tile(t.slice(int(starts[k]), int(sizes[k])))
+            pairs.append((a, b))
+            cut += [int(keys[starts[k]])] * bool(more.any())
         if pairs:
-            a, b, cut = np.unique(np.stack([np.concatenate(k).astype(np.int64) for k in zip(*pairs, strict=True)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(cut == 1)], names=["a", "b", "cut"])
+            a, b = np.unique(np.stack([np.concatenate(k).astype(np.int64) for k in zip(*pairs, strict=True)]), axis=1)
+            none = pa.nulls(len(cut), pa.int64())
+            columns = [pa.concat_arrays([pa.array(a), none]), pa.concat_arrays([pa.array(b), none]), pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(cut, pa.int64())])]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "key"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None

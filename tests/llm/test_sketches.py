@@ -3,7 +3,7 @@
 import numpy as np
 
 from partsieve.llm import similarity
-from partsieve.llm.ngram_join import ngram_dedup
+from partsieve.llm.ngram_join import Shingler, ngram_dedup, set_number
 from partsieve.llm.shared import Tables
 from partsieve.llm.similarity import SETS, SimilarityJoin, parity, shared_members
 
@@ -46,3 +46,24 @@ def test_keys_of_the_same_members_are_compared_once(spark, monkeypatch):
         groups.setdefault(key, set()).add(node)
         assert size <= 1024 // similarity.FOLDS
     assert len(groups) == len({frozenset(g) for g in groups.values()}) <= 5
+
+
+def test_only_groups_that_left_pairs_out_are_compared_again(spark, monkeypatch):
+    """Twelve near copies, each with more near pairs than the first round tests, and sixteen texts that share keys but are not near."""
+    r, rounds, near = np.random.default_rng(4), [], similarity.SimilarityJoin._near
+    words = lambda mark, n: [f"{mark}{i}" for i in r.integers(0, 10**6, n)]
+    x, y = words("x", 1160), words("y", 900)
+    copies = [" ".join(x + words("u", 40)) for _ in range(12)]
+    far = [" ".join(y + words("v", 300)) for _ in range(16)]
+    nodes = [{set_number(Shingler(5)(t.encode())) for t in some} for some in (copies, far)]
+
+    def counted(self, opened, nearest):
+        rounds.append({row["node"] for row in opened.collect()})
+        return near(self, opened, nearest)
+
+    monkeypatch.setattr(similarity.SimilarityJoin, "_near", counted)
+    monkeypatch.setattr(similarity.SimilarityJoin, "_first_links", lambda self: None)
+    monkeypatch.setattr(similarity.SimilarityJoin, "_merge", lambda self, links: None)  # so that no group closes
+    ngram_dedup(spark.createDataFrame(list(enumerate(copies + far)), "doc_id long, text string"))
+    assert len(rounds) == 2 and rounds[0] & nodes[0] and rounds[0] & nodes[1]
+    assert rounds[1] & nodes[0] and not rounds[1] & nodes[1]
