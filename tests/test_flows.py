@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from partsieve.plans import catalogue
 from partsieve.sources.articles import data_availability, last_text, read_articles, repository_links, titles_by_doi
-from partsieve.streaming.queue import queue_state, run_queue
+from partsieve.streaming.queue import BUCKETS, queue_state, run_queue
 from tests.oracle import differences
 
 
@@ -46,6 +46,26 @@ def test_queue_with_restarts(spark, tmp_path):
     assert got == want and {0, 1} == {p for p, _, _ in want.values()}
 
 
+def test_queue_of_many_items(spark, tmp_path):
+    """State has one row a bucket, not one an item; items, counts, versions and times may be null, times differ by microseconds."""
+    r = random.Random(5)
+    items = [None, *range(2**60, 2**60 + 2500)]
+    rows = [(10**12 + i * 1000 + r.randrange(1000), 9000 - i, r.choice(items), r.choice([0, 0, 2**60 + 1, None]), r.choice(["a", "b", None])) for i in range(8000)]
+    rows += [(10**12 + 8 * 10**6 + 100, 9, 7, 0, "a"), (10**12 + 8 * 10**6 + 900, 1, 7, 5, "b"), (None, 9001, 8, 0, "a"), (10**12 + 8 * 10**6, 9002, 8, 1, "b")]
+    result = {"item": F.col("item"), "ts": F.timestamp_micros("at"), "number": F.col("number"), "component_count": F.col("n"), "version": F.col("version")}
+    for some in (rows[:3000], rows[3000:]):
+        spark.createDataFrame(some, "at long, number long, item long, n long, version string").write.mode("append").parquet(f"{tmp_path}/in")
+        run_queue(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/checkpoint", result, 2000, "1 second")
+    last = {}
+    for at, number, item, n, version in rows:
+        last[item] = max(last.get(item, (0, 0)), (at or 2**63 - 1, number, n, version), key=lambda x: x[:2])
+    end = 10**9 + 8000 - 1000
+    want = {item: (0 if n == 0 and at // 1000 + 2000 < end else 1, n, version) for item, (at, _, n, version) in last.items()}
+    got = {x["item"]: (x["processed"], x["component_count"], x["version"]) for x in queue_state(spark, f"{tmp_path}/out").collect()}
+    assert got == want and {0, 1} == {p for p, _, _ in want.values()}
+    assert spark.read.format("statestore").load(f"{tmp_path}/checkpoint").count() <= BUCKETS < len(want)
+
+
 @pytest.mark.parametrize("name", ["article_titles", "article_bodies", "article_statements", "article_repositories", "queue_stream"])
 def test_queries(spark, name):
     assert differences(spark, name, catalogue.QUERIES[name], catalogue.ORACLES[name], "/root/testdata/sf0.01") == ""
